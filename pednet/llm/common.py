@@ -233,3 +233,58 @@ def digest(b: bytes) -> bytes:
 
 def as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
+
+
+# --- choosing rows -------------------------------------------------------------------------------------------
+
+#: Ids are broadcast up to so many rows (8 bytes each); beyond, a Bloom filter of fixed size and a shuffled join do the same.
+BROADCAST_IDS = 500_000
+
+
+def restrict(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """rows whose long column is among ids (one column of the same name, distinct)."""
+    if ids.count() <= BROADCAST_IDS:
+        return rows.join(F.broadcast(ids), column, "left_semi")
+    return bloom_test(rows, column, bloom(ids, column)).join(ids, column, "left_semi")
+
+
+def lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
+    """A list array of long or binary-free numbers from arrays."""
+    off = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(off), pa.array(np.concatenate(values) if values else np.zeros(0, np.int64), kind))
+
+
+class Sets:
+    """A small union-find over positions, inside a task."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def find(self, x: int) -> int:
+        while self.up[x] != x:
+            self.up[x] = self.up[self.up[x]]
+            x = self.up[x]
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        self.up[self.find(x)] = self.find(y)
+
+
+def groups_of(batches, key: str):
+    """Runs of rows with one key, as one batch each; rows come sorted by it. Only a run is held."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        edges = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+        if held and held[-1].column(key)[0].as_py() != keys[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
+            if a:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
