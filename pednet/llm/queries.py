@@ -11,6 +11,7 @@ from pednet.llm.language import op5_language
 from pednet.llm.lines import op1_line_dedup
 from pednet.llm.mixing import op3_mix
 from pednet.llm.packing import op6_pack
+from pednet.llm.pii import op7_personal_data
 from pednet.llm.quality import op8_quality
 from pednet.llm.repair import op2_repair_ids
 from pednet.llm.substrings import op10_substring_dedup
@@ -25,6 +26,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_topk": op4_topk,
         "op5_language": op5_language,
         "op6_pack": op6_pack,
+        "op7_personal_data": op7_personal_data,
         "op8_quality": op8_quality,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_substring_dedup": op10_substring_dedup,
