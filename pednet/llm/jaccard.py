@@ -5,10 +5,11 @@ differ in at most (|A| + |B|) (100 - PERCENT) / (100 + PERCENT) elements. Each s
 power of two above that number); a part's hash is a compound token. Sets that link agree in all parts but as many as they differ in.
 
 1. Equal sets are one class. A class of whose tokens fewer than needed occur in any other class links with nothing and is left out.
-2. The others are partitioned into groups of similar classes: by their least shared token, large ones split by hash into about BLOCK.
+2. The others are partitioned into groups of similar classes: by the token of theirs that most classes have, large ones split by hash into
+   about GROUP classes, and these into blocks of about BLOCK.
 3. The token-group matrix holds each group's union of tokens. The tokens a query shares with that union bound those it shares with any
    member, so only groups with as many as needed are opened; others can't hold a link.
-4. An opened group is a task's unit: at most about BLOCK members and BLOCK visiting classes, with their sets. Token counts choose the pairs
+4. A unit of work is two blocks of a group, or a block of an opened group and a block of its visitors, with their sets. Token counts choose the pairs
    to verify exactly; pairs already connected within the unit are skipped, so a unit gives fewer links than it has classes.
 5. Distributed union-find over the links gives components.
 
@@ -29,6 +30,7 @@ from pednet.llm import common
 SHINGLE = 3
 PERCENT = 90
 BLOCK = 128
+GROUP = 1024
 
 
 def most_apart(sizes, percent: int = PERCENT):
@@ -167,12 +169,13 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     common.drop(every)
     # 1: classes with enough tokens that another class has too
     flat = one.select(F.explode("tokens").alias("t"), "id", "level", "need")
-    shared = flat.groupBy("t").agg(F.count("*").alias("c")).where("c > 1").select("t")
-    active = flat.join(shared, "t").groupBy("id", "level", "need").agg(F.count("*").alias("c"), F.min("t").alias("least")).where("c >= need").drop("c")
-    active = common.written(active, "active")
-    # 2: groups
-    split = active.groupBy("level", "least").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("split"))
-    grouped = active.join(split, ["level", "least"]).select("id", "level", "need", F.xxhash64("level", "least", F.pmod(F.xxhash64("id"), F.col("split"))).alias("g"))
+    shared = flat.groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
+    active = flat.join(shared, "t").groupBy("id", "level", "need").agg(F.count("*").alias("n"), F.max(F.struct("c", "t")).alias("top")).where("n >= need")
+    active = common.written(active.select("id", "level", "need", "top.t"), "active")
+    # 2: groups, and blocks within them
+    split = active.groupBy("level", "t").agg(F.count("*").alias("n")).withColumn("groups", F.ceil(F.col("n") / GROUP)).withColumn("blocks", F.ceil(F.col("n") / F.col("groups") / BLOCK).cast("int"))
+    group = F.xxhash64("level", "t", F.pmod(F.xxhash64("id"), F.col("groups")))
+    grouped = active.join(split, ["level", "t"]).select("id", "level", "need", group.alias("g"), "blocks", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int").alias("b"))
     grouped = common.written(grouped, "groups")
     # 3: the matrix, and the groups that each class may have links in
     mine = one.select("id", "level", "tokens").join(grouped, ["id", "level"]).select(F.explode("tokens").alias("t"), "id", "level", "need", "g")
@@ -180,11 +183,17 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     matrix = mine.select("t", "g").distinct().withColumnRenamed("g", "to")
     qualify = mine.join(matrix, "t").where("`to` > g").groupBy("id", "level", "need", "to").agg(F.count("*").alias("c")).where("c >= need").select("id", "level", F.col("to").alias("g"))
     qualify = common.written(qualify, "qualify")
-    # 4: units of members and visitors
-    blocks = grouped.groupBy("g").agg(F.count("*").alias("m")).join(qualify.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("v")), "g", "left").fillna(0, ["v"]).where("m > 1 or v > 0")
-    member = grouped.join(blocks, "g").select("g", F.explode(F.sequence(F.lit(0), F.greatest(F.col("v") - 1, F.lit(0)))).alias("nth"), F.lit(0).alias("role"), "id", "level")
-    visitor = qualify.join(blocks, "g").select("g", F.pmod(F.xxhash64("id"), F.col("v")).cast("int").alias("nth"), F.lit(1).alias("role"), "id", "level")
-    units = member.unionByName(visitor).select(F.xxhash64("g", "nth").alias("unit"), (F.col("nth") == 0).alias("own"), "role", "id", "level")
+    # 4: units: two blocks of one group, or a block of a group and one of its visitors
+    visits = qualify.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("visits"))
+    sizes = grouped.select("g", "blocks").distinct().join(visits, "g", "left").fillna(0, ["visits"])
+    upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    own = grouped.select("id", "level", "g", "b", upto("blocks").alias("to"))
+    own = own.select(F.xxhash64("g", F.least("b", "to"), F.greatest("b", "to")).alias("unit"), (F.col("b") == F.col("to")).alias("own"), (F.col("b") > F.col("to")).cast("int").alias("role"), "id", "level")
+    host = grouped.join(sizes.where("visits > 0").select("g", "visits"), "g").select("id", "level", "g", "b", upto("visits").alias("v"))
+    host = host.select(F.xxhash64("g", "b", "v", F.lit("v")).alias("unit"), F.lit(False).alias("own"), F.lit(0).alias("role"), "id", "level")
+    guest = qualify.join(sizes, "g").withColumn("v", F.pmod(F.xxhash64("id"), F.col("visits")).cast("int")).select("id", "level", "g", "v", upto("blocks").alias("b"))
+    guest = guest.select(F.xxhash64("g", "b", "v", F.lit("v")).alias("unit"), F.lit(False).alias("own"), F.lit(1).alias("role"), "id", "level")
+    units = own.unionByName(host).unionByName(guest)
     wanted = active.select("id").distinct()
     sets = common.written(full_sets(common.restrict(rows, wanted, "id"), shingle, percent), "full")
     units = units.join(sets, ["id", "level"]).select("unit", "own", "role", "id", "sig", "u")
