@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -52,7 +53,10 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def drop(*tables: DataFrame) -> None:
-    """Delete tables that written() made and nothing reads any more."""
+    """Delete tables that written() made and nothing reads any more, and let Spark delete the shuffle files of finished steps."""
+    gc.collect()
+    for df in tables[:1]:
+        df.sparkSession._jvm.System.gc()
     for df in tables:
         path = getattr(df, "_pednet_path", None)
         if path:

@@ -1,10 +1,10 @@
 """Line dedup: fuzzy equal lines over all documents, one line of each component kept.
 
 A line's normal form is lower case with single spaces; blank lines take no part. Equal normal forms are one line. Others are candidates if
-one of BANDS bands of ROWS MinHash values of their character shingles agrees (0.995 of the pairs at similarity 0.8), and links if the
-exact Jaccard similarity of their shingle sets is PERCENT or more. Each bucket's lines are first verified against its least line; the
-components of these links leave few buckets with lines of several components, and in those every pair between components is verified, in
-units of two blocks of about BLOCK lines, so that no task gets a large bucket. Distributed union-find joins all links. Of a component, the
+one of BANDS bands of ROWS MinHash values of their character shingles agrees (0.995 of the pairs at similarity 0.8), and links if SKETCH of
+all the values agree and the exact Jaccard similarity of their shingle sets is PERCENT or more. Each bucket's lines are first verified against its least line. In
+buckets that still hold lines of several components, every pair between components is compared by its sketch, in units of two blocks of
+about BLOCK lines, so that no task gets a large bucket; texts are fetched for the pairs that pass. Distributed union-find joins all links. Of a component, the
 line of the smallest (doc_id, text hash, line number) stays.
 
 Edge cases: null and empty texts have no lines; lines shorter than a shingle are equal or not, never fuzzy; rows that repeat a doc_id and
@@ -27,6 +27,8 @@ PERCENT = 80
 BANDS = 10
 ROWS = 4
 BLOCK = 64
+#: Of the BANDS * ROWS MinHash values, as many must agree before a pair's texts are fetched (a pair of similarity 0.8 has fewer once in 2000).
+SKETCH = 24
 
 _rng = np.random.default_rng(23)
 _A = _rng.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
@@ -46,11 +48,11 @@ def similar(a: set[str], b: set[str]) -> bool:
     return bool(a) and bool(b) and 100 * both >= PERCENT * (len(a) + len(b) - both)
 
 
-def bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Which lines have a shingle, and these lines' band hashes."""
+def bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which lines have a shingle, and these lines' band hashes and sketches (8 bits of each MinHash value)."""
     codes = np.frombuffer(("\x00".join(x.replace("\x00", " ") for x in lines) + "\x00").encode("utf-32-le", "replace"), np.uint32)
     if len(codes) < SHINGLE:
-        return np.zeros(0, np.int64), np.zeros((0, BANDS), np.uint64)
+        return np.zeros(0, np.int64), np.zeros((0, BANDS), np.uint64), np.zeros((0, BANDS * ROWS), np.uint8)
     n = len(codes) - SHINGLE + 1
     line = np.cumsum(codes == 0)
     line = np.concatenate([[0], line[:-1]])
@@ -61,17 +63,18 @@ def bands(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
         inside = (line[:n] == line[SHINGLE - 1 :]) & (codes[SHINGLE - 1 :] != 0)
         h, line = (common.mix(h[inside]) >> np.uint64(32)).astype(np.uint32), line[:n][inside]
         if not len(h):
-            return np.zeros(0, np.int64), np.zeros((0, BANDS), np.uint64)
+            return np.zeros(0, np.int64), np.zeros((0, BANDS), np.uint64), np.zeros((0, BANDS * ROWS), np.uint8)
         start = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]]))
-        out = np.zeros((len(start), BANDS), np.uint64)
+        out, sketch = np.zeros((len(start), BANDS), np.uint64), np.zeros((len(start), BANDS * ROWS), np.uint8)
         for i in range(BANDS * ROWS):
             low = np.minimum.reduceat(h * _A[i] + _B[i], start)
+            sketch[:, i] = (low ^ (low >> np.uint32(16))).astype(np.uint8)
             out[:, i // ROWS] = common.mix(out[:, i // ROWS] + low + np.uint64(i))
-    return line[start], out
+    return line[start], out, sketch
 
 
 def split(docs: DataFrame) -> DataFrame:
-    """A row for each line that isn't blank: id, row (hash of the text), nth, k1 and k2 (digest of the normal form), bands, line."""
+    """A row for each line that isn't blank: id, row (hash of the text), nth, k1 and k2 (digest of the normal form), bands and sketch."""
 
     def run(batches):
         for batch in batches:
@@ -89,15 +92,18 @@ def split(docs: DataFrame) -> DataFrame:
                             if d not in seen:  # bands once a batch
                                 seen.add(d)
                                 fresh.append(len(rows) - 1)
-                which, sig = bands([texts[i] for i in fresh])
+                which, sig, sketch = bands([texts[i] for i in fresh])
+                sketches = [None] * len(rows)
+                for i, x in zip(np.array(fresh, np.int64)[which].tolist(), sketch, strict=True):
+                    sketches[i] = x.tobytes()
                 size = np.zeros(len(rows), np.int32)
                 size[np.array(fresh, np.int64)[which]] = BANDS
                 cols = list(zip(*rows, strict=True)) if rows else [[]] * 5
                 sigs = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(common.as_long(sig.reshape(-1))))
                 kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
-                yield pa.record_batch([*(pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)), sigs], names=["id", "row", "nth", "k1", "k2", "bands"])
+                yield pa.record_batch([*(pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)), sigs, pa.array(sketches, pa.binary())], names=["id", "row", "nth", "k1", "k2", "bands", "sketch"])
 
-    return docs.mapInArrow(run, "id long, row long, nth int, k1 long, k2 long, bands array<long>")
+    return docs.mapInArrow(run, "id long, row long, nth int, k1 long, k2 long, bands array<long>, sketch binary")
 
 
 def texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
@@ -133,55 +139,73 @@ def verify_pairs(pairs: DataFrame) -> DataFrame:
     return pairs.mapInArrow(run, "a long, b long")
 
 
-def verify_units(units: DataFrame) -> DataFrame:
-    """Links between lines of different roots in each unit (unit, side, k1, root, line); only what its two sides don't yet share."""
+def alike(pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b, sa, sb) whose sketches agree enough."""
 
     def run(batches):
-        for g in common.groups_of(batches, "unit"):
-            side, key, root = (g.column(c).to_pylist() for c in ("side", "k1", "root"))
-            sets, links = [shingle_set(x) for x in g.column("line").to_pylist()], []
-            number = {r: i for i, r in enumerate(dict.fromkeys(root))}
-            done = common.Sets(len(number))
-            both = len(set(side)) > 1
-            for i in range(len(key)):
-                for j in range(i):
-                    if (both and side[i] == side[j]) or done.find(number[root[i]]) == done.find(number[root[j]]):
-                        continue
-                    if similar(sets[i], sets[j]):
-                        done.join(number[root[i]], number[root[j]])
-                        links.append((key[i], key[j]))
-            if links:
-                yield pa.record_batch([pa.array([x for x, _ in links], pa.int64()), pa.array([y for _, y in links], pa.int64())], names=["a", "b"])
+        for b in batches:
+            m = [np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, BANDS * ROWS) for c in ("sa", "sb")]
+            yield b.select(["a", "b"]).filter(pa.array((m[0] == m[1]).sum(1) >= SKETCH))
+
+    return pairs.mapInArrow(run, "a long, b long")
 
-    return units.mapInArrow(run, "a long, b long")
+
+def alike_in_units(units: DataFrame) -> DataFrame:
+    """Pairs of lines of different roots in each unit (unit, side, k1, root, sketch) whose sketches agree enough; between its two sides."""
+
+    def run(batches):
+        for g in common.groups_of(batches, "unit"):
+            side, key, root = (g.column(c).to_numpy() for c in ("side", "k1", "root"))
+            m = np.frombuffer(b"".join(g.column("sketch").to_pylist()), np.uint8).reshape(-1, BANDS * ROWS)
+            both, found = side.min() != side.max(), []
+            for i in range(1, len(key)):
+                ok = ((m[:i] == m[i]).sum(1) >= SKETCH) & (root[:i] != root[i])
+                if both:
+                    ok &= side[:i] != side[i]
+                found += [(int(min(key[i], key[j])), int(max(key[i], key[j]))) for j in np.flatnonzero(ok).tolist()]
+            if found:
+                yield pa.record_batch([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], names=["a", "b"])
+
+    return units.mapInArrow(run, "a long, b long").distinct()
+
+
+def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The written pairs (a, b) that are similar, by their texts."""
+    keys = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct().withColumnRenamed("a", "k1")
+    texts = common.written(texts_of(docs, keys), "lines")
+    first, second = texts.select(F.col("k1").alias("a"), F.col("line").alias("la")), texts.select(F.col("k1").alias("b"), F.col("line").alias("lb"))
+    links = common.written(verify_pairs(pairs.join(second, "b").join(first, "a").select("a", "b", "la", "lb")), "links")
+    common.drop(texts)
+    return links
 
 
 def fuzzy(docs: DataFrame, every: DataFrame) -> DataFrame:
     """(id, root) of the lines, by k1, that are similar to others. every: split(docs), written."""
     flat = every.select(F.explode("bands").alias("band"), "k1")
+    sketches = every.where("sketch is not null").groupBy("k1").agg(F.min("sketch").alias("sketch"))
     buckets = common.written(flat.groupBy("band").agg(F.min("k1").alias("least"), F.max("k1").alias("most")).where("least <> most").select("band", "least"), "buckets")
     members = common.bloom_test(flat, "band", common.bloom(buckets, "band")).distinct().join(buckets, "band")
     members = common.written(members.select("band", "least", "k1"), "members")
     common.drop(buckets)
-    texts = common.written(texts_of(docs, members.select("k1").distinct()), "lines")
     pairs = members.where("k1 <> least").select(F.col("least").alias("a"), F.col("k1").alias("b")).distinct()
-    first = texts.select(F.col("k1").alias("a"), F.col("line").alias("la"))
-    second = texts.select(F.col("k1").alias("b"), F.col("line").alias("lb"))
-    links = common.written(verify_pairs(pairs.join(second, "b").join(first, "a").select("a", "b", "la", "lb")), "links")
-    roots = common.components(links)
+    first, second = sketches.select(F.col("k1").alias("a"), F.col("sketch").alias("sa")), sketches.select(F.col("k1").alias("b"), F.col("sketch").alias("sb"))
+    pairs = common.written(alike(pairs.join(second, "b").join(first, "a").select("a", "b", "sa", "sb")), "pairs")
+    links = verified(docs, pairs)
+    roots = common.written(common.components(links), "roots")
     # buckets whose lines are not all connected: every pair between components, but those with the least line
-    rest = members.join(roots.withColumnRenamed("id", "k1"), "k1", "left").select("band", "k1", F.coalesce("root", "k1").alias("root"), (F.col("k1") == F.col("least")).alias("seen"))
+    rest = members.where("k1 <> least").join(roots.withColumnRenamed("id", "k1"), "k1", "left").select("band", "k1", F.coalesce("root", "k1").alias("root"))
     rest = common.written(rest, "rest")
-    sizes = rest.where("not seen").groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("lo <> hi").select("band", "blocks")
-    block = F.pmod(F.xxhash64("k1"), F.col("blocks")).cast("int")
-    rows = rest.where("not seen").join(sizes, "band").withColumn("block", block)
+    common.drop(members, pairs)
+    sizes = rest.groupBy("band").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).where("lo <> hi").select("band", "blocks")
+    rows = rest.join(sizes, "band").withColumn("block", F.pmod(F.xxhash64("k1"), F.col("blocks")).cast("int")).join(sketches, "k1")
     rows = rows.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    rows = rows.select(F.xxhash64("band", F.least("block", "other"), F.greatest("block", "other")).alias("unit"), (F.col("block") > F.col("other")).cast("int").alias("side"), "k1", "root")
-    units = rows.join(texts, "k1").select("unit", "side", "k1", "root", "line").repartition("unit").sortWithinPartitions("unit", "side", "k1")
-    more = common.written(verify_units(units), "links")
-    out = roots if more.isEmpty() else common.components(links.unionByName(more))
-    common.drop(rest, texts, members)
-    return out
+    rows = rows.select(F.xxhash64("band", F.least("block", "other"), F.greatest("block", "other")).alias("unit"), (F.col("block") > F.col("other")).cast("int").alias("side"), "k1", "root", "sketch")
+    more = common.written(alike_in_units(rows.repartition("unit").sortWithinPartitions("unit", "side", "k1")), "pairs")
+    common.drop(rest)
+    if more.isEmpty():
+        return roots
+    more = verified(docs, more)
+    return roots if more.isEmpty() else common.components(links.unionByName(more))
 
 
 def kept_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
