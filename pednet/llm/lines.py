@@ -26,7 +26,7 @@ SHINGLE = 5
 PERCENT = 80
 BANDS = 10
 ROWS = 4
-BLOCK = 64
+BLOCK = 512
 #: Of the BANDS * ROWS MinHash values, as many must agree before a pair's texts are fetched (a pair of similarity 0.8 has fewer once in 2000).
 SKETCH = 24
 
