@@ -26,12 +26,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents that with the smallest doc_id; of rows that repeat a doc_id, one."""
+    """Of each group of linked documents that with the smallest doc_id; of rows that repeat a doc_id, one; rows without a doc_id stay."""
     found = jaccard.join(docs)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
     rows = docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi")
     order = Window.partitionBy("doc_id").orderBy("text", "source", "lang")
-    return rows.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").select(*docs.columns)
+    rows = rows.withColumn("__nth", F.row_number().over(order)).where("__nth = 1").select(*docs.columns)
+    return rows.unionByName(docs.where("doc_id is null"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

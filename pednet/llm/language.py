@@ -19,6 +19,7 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pednet.llm import common
 
@@ -154,7 +155,8 @@ def train(rows: DataFrame) -> Filter:
 
 
 def predict(docs: DataFrame, model: Filter, text_column: str = "text") -> DataFrame:
-    """docs with lang_pred and score."""
+    """docs with lang_pred and score; columns of docs with these names are replaced."""
+    docs = docs.drop("lang_pred", "score")
     spark = common.ready(docs.sparkSession)
     sent = spark.sparkContext.broadcast((model.languages, model.masks))
     names = docs.columns
@@ -167,8 +169,6 @@ def predict(docs: DataFrame, model: Filter, text_column: str = "text") -> DataFr
                 lang, score = m.predict(b.column(text_column))
                 yield pa.record_batch([*b.columns, pa.array(lang, pa.string()), pa.array(score)], names=[*names, "lang_pred", "score"])
 
-    from pyspark.sql import types as T
-
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return docs.mapInArrow(label, schema)
 

@@ -70,7 +70,8 @@ def model(docs: DataFrame, labels: DataFrame) -> list[float]:
 
 
 def rules(docs: DataFrame, ratios: list[float]) -> DataFrame:
-    """docs with the base counts, base_failed, score and kept."""
+    """docs with the base counts, base_failed, score and kept; columns of docs with these names are replaced."""
+    docs = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept")
     rows = hashed(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
     h = F.col("__h")
