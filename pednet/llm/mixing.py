@@ -26,6 +26,8 @@ MOST = 2
 NEWTON_ROUNDS = 40
 CLOSE = 1e-4
 EXCHANGES = 8
+#: Parts of a source in joins by source.
+SALT = 64
 #: Log odds of the rate that every document has before any tilt.
 ODDS = math.log(SHARE / MOST / (1 - SHARE / MOST))
 
@@ -50,6 +52,13 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: flo
     return rows.select("absent", "src", "total", F.least("cap", F.coalesce("level", F.lit(float("inf"))) * F.col("w")).alias("target"))
 
 
+def by_source(rows: DataFrame, small: DataFrame) -> DataFrame:
+    """rows with the columns of their source; a source's rows are dealt to SALT keys, so that a hot one doesn't meet in one task."""
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int"))
+    each = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
+    return salted.join(each, ["absent", "src", "__salt"]).drop("__salt")
+
+
 def rate(b, z):
     """Of the most copies; b null: every copy."""
     return F.when(b.isNull(), F.lit(float(MOST))).otherwise(MOST / (1 + F.exp(-(ODDS + b * z))))
@@ -101,14 +110,14 @@ def mix(docs: DataFrame) -> DataFrame:
     tilt = state.select("absent", "src", F.col("total").alias("source_size"), "target", "mean", "b", (F.col("target") <= 0).alias("none"))
     w = F.when(F.col("none"), 0.0).otherwise(rate(F.col("b"), F.when(F.col("mean") > 0, F.col("size") / F.col("mean")).otherwise(F.lit(0.0))))
     unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    drawn = slim.join(tilt, ["absent", "src"]).select("doc_id", "absent", "src", "size", "source_size", "target", F.least(F.floor(w) + F.when(unit < w - F.floor(w), 1).otherwise(0), F.lit(MOST)).cast("int").alias("copies"))
+    drawn = by_source(slim, tilt).select("doc_id", "absent", "src", "size", "source_size", "target", F.least(F.floor(w) + F.when(unit < w - F.floor(w), 1).otherwise(0), F.lit(MOST)).cast("int").alias("copies"))
     drawn = common.written(drawn, "drawn")
     more = None
     for _ in range(EXCHANGES):  # a row a source and round
         now = drawn.withColumn("add", F.lit(0)) if more is None else drawn.join(more.groupBy("absent", "src", "doc_id").agg(F.sum("step").alias("add")), ["absent", "src", "doc_id"], "left").fillna(0, ["add"])
         now = now.withColumn("copies", F.col("copies") + F.col("add"))
         gap = now.groupBy("absent", "src").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
-        fit = now.where("size > 0").join(gap, ["absent", "src"])
+        fit = by_source(now.where("size > 0"), gap)
         up = F.when((F.col("gap") >= F.col("size") / 2) & (F.col("gap") > 0) & (F.col("copies") < MOST), F.when(F.col("size") <= F.col("gap") * 1.5, F.struct("size", -F.col("doc_id"))))
         down = F.when((-F.col("gap") >= F.col("size") / 2) & (F.col("gap") < 0) & (F.col("copies") > 0), F.when(F.col("size") <= -F.col("gap") * 1.5, F.struct("size", -F.col("doc_id"))))
         pick = fit.groupBy("absent", "src").agg(F.max(up).alias("u"), F.max(down).alias("d")).where("u is not null or d is not null")
