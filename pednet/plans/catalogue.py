@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pednet.functions import geo, normalize
+from pednet.operators import areas as X
 from pednet.operators import changes as C
 from pednet.operators import completeness as K
 from pednet.operators import features as E
@@ -16,6 +17,7 @@ from pednet.operators import quality as Q
 from pednet.operators import spatial as S
 from pednet.operators import summaries as A
 from pednet.operators import terrain as R
+from pednet.operators import themes as T
 from pednet.plans.network_views import LAYER, view, ways, with_views
 
 QUERIES: dict = {}
@@ -374,3 +376,26 @@ def feature_keys(spark, d):
 def keyword_documents(spark, d):
     docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.lit("").alias("title"), F.col("text").alias("description"))
     return E.keyword_match(docs, ["the", "Ción"]).select("doc_id", F.size("matched_keywords").alias("n_keywords"))
+
+
+_BOX = (-49.29, -25.46, -49.27, -25.45)
+
+
+@query("theme_smoothness", f"""SELECT count(*) AS total, count(*) FILTER (WHERE v <> '?') AS known, count(*) FILTER (WHERE v = '?') AS unknown, 'count' AS measure, 'ok' AS status
+       FROM (SELECT {_LABEL.format("smoothness")} AS v FROM net_ways) t""")
+def theme(spark, d):
+    return T.theme_summary(ways(spark, d), "smoothness").select("total", "known", "unknown", "measure", "status")
+
+
+@query("viewport_layers", f"""SELECT count(*) AS total, count(DISTINCT layer) AS n_values FROM (SELECT {LAYER} AS layer, lon0::DOUBLE AS a, lat0::DOUBLE AS b, lon1::DOUBLE AS c, lat1::DOUBLE AS e FROM net_ways) t
+       WHERE greatest(a, c) >= {_BOX[0]}::DOUBLE AND least(a, c) <= {_BOX[2]}::DOUBLE AND greatest(b, e) >= {_BOX[1]}::DOUBLE AND least(b, e) <= {_BOX[3]}::DOUBLE""")
+def viewport(spark, d):
+    rows = _ends(ways(spark, d)).withColumn("position", F.col("id"))
+    return T.viewport_theme(rows, "footway_categories", _BOX).select("total", F.size("values").cast("long").alias("n_values"))
+
+
+@query("masked_pixels", "SELECT px // 4 AS px, py // 4 AS py, round(avg(elev::DOUBLE), 6) AS elev FROM net_dem WHERE px BETWEEN 10 AND 29 AND py BETWEEN 5 AND 14 GROUP BY 1, 2")
+def masked(spark, d):
+    ring = X.square_ring(-49.3 + 10 * 0.0003, -25.4 - 15 * 0.0003, -49.3 + 30 * 0.0003, -25.4 - 5 * 0.0003)
+    dem = view(spark, d, "net_dem").withColumn("elev", F.col("elev").cast("double"))
+    return X.downsample(X.mask_to_boundary(dem, ring, -49.3, -25.4, 0.0003), 4).select("px", "py", F.round("elev", 6).alias("elev"))
