@@ -24,8 +24,15 @@ MASK = (1 << 64) - 1
 # --- shared folder -------------------------------------------------------------------------------------------
 
 
+#: Rows of an Arrow batch: with long texts, the default of 10,000 is hundreds of MB in a worker.
+BATCH_ROWS = 2000
+
+
 def ready(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this package, also when it runs from a source folder."""
+    """Let Python workers import this package, also when it runs from a source folder, and bound their batches."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key)) > BATCH_ROWS or int(spark.conf.get(key)) <= 0:
+        spark.conf.set(key, BATCH_ROWS)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
