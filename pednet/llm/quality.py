@@ -85,7 +85,7 @@ def rules(docs: DataFrame, ratios: list[float]) -> DataFrame:
     covered = F.aggregate(at, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), lambda a, i: F.struct((a["n"] + F.least(F.lit(WINDOW), i + WINDOW - a["end"])).alias("n"), (i + WINDOW).alias("end")), lambda a: a["n"])
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANK)) != "")
     rows = rows.withColumn("__lines", lines)
-    table = F.lit(ratios)
+    table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")  # a constant, folded by the optimizer
     feats = features(F.col("__w"), h)
     rows = rows.withColumn("__f", feats)
     score = F.aggregate("__f", F.lit(0.0), lambda a, b: a + F.get(table, b)) / F.greatest(F.size("__f"), F.lit(1))
