@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: Bits of the Bloom filters that are broadcast (4 MB). A fuller filter lets more rows through; results stay the same.
 BLOOM_BITS = 1 << 25
 #: Text that the numpy kernels take at once.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 MASK = (1 << 64) - 1
 

@@ -130,7 +130,7 @@ def train(rows: DataFrame) -> Filter:
                     u, n = np.unique(h[of == i], return_counts=True)
                     held.setdefault(name, []).append((u, n))
                     waiting += len(u)
-            if waiting > 4_000_000:
+            if waiting > 1_500_000:
                 yield from flush()
                 held, waiting = {}, 0
         yield from flush()
