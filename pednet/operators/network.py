@@ -11,9 +11,6 @@ from pednet.functions.geo import TOLERANCE, haversine_m, vertex_key
 from pednet.operators.grading import directional_weight
 from pednet.policies.profiles import PROFILES
 
-#: Rounds of relaxation between checkpoints.
-CHECKPOINT_ROUNDS = 4
-
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """df with its lineage cut, in the shared folder of spark.checkpoint.dir (a local one only where that is unset)."""
@@ -91,16 +88,14 @@ def route_batch(pairs: DataFrame, edges: DataFrame, profile: str = "distance", r
     pair's goal are dropped, which keeps frontiers near the pairs."""
     cost = edges.where(F.col(f"w_{profile}") < float("inf")).select(F.col("src").alias("node"), F.col("dst").alias("to"), F.col(f"w_{profile}").cast("double").alias("w"))
     best = checkpointed(pairs.select("od_id", F.col("src").alias("node"), "dst", F.lit(0.0).alias("cost"), F.lit(0).alias("edges"), F.lit(True).alias("open")))
-    for i in range(rounds):
+    for _ in range(rounds):
         moved = best.where("open").join(cost, "node").select("od_id", F.col("to").alias("node"), "dst", (F.col("cost") + F.col("w")).alias("cost"), (F.col("edges") + 1).alias("edges"), F.lit(True).alias("open"))
         every = best.withColumn("open", F.lit(False)).unionByName(moved)
         best = every.groupBy("od_id", "node", "dst").agg(F.min(F.struct("cost", "open", "edges")).alias("b")).select("od_id", "node", "dst", "b.cost", "b.edges", "b.open")
-        goal = best.where("node = dst").select("od_id", F.col("cost").alias("bound"))
-        best = best.join(goal, "od_id", "left").withColumn("open", F.col("open") & (F.coalesce("bound", F.lit(float("inf"))) > F.col("cost"))).drop("bound")
-        if i % CHECKPOINT_ROUNDS == CHECKPOINT_ROUNDS - 1:
-            best = checkpointed(best)
-            if best.where("open").isEmpty():
-                break
+        bound = F.min(F.when(F.col("node") == F.col("dst"), F.col("cost"))).over(Window.partitionBy("od_id"))
+        best = checkpointed(best.withColumn("open", F.col("open") & (F.coalesce(bound, F.lit(float("inf"))) > F.col("cost"))))
+        if best.where("open").isEmpty():
+            break
     done = best.where("node = dst").select("od_id", "cost", "edges")
     return pairs.select("od_id").join(done, "od_id", "left")
 
