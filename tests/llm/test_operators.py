@@ -255,6 +255,34 @@ def test_substrings(spark, docs, none):
     assert substrings.passages(docs).count() == 34 and substrings.passages(none).count() == 0
 
 
+def test_substrings_around_unrelated_text(spark):
+    """Exact passages around unrelated text of many lengths, and a near copy with a rewritten paragraph."""
+    r = random.Random(5)
+    filler = lambda n: [f"f{r.randrange(10**9)}" for _ in range(n)]
+    data, want = [], {}
+    for n, gap in ((60, 40), (60, 80), (60, 120), (200, 300), (200, 500), (185, 130)):
+        p, q = filler(n), filler(n)
+        for i in (len(data), len(data) + 1):
+            lead = r.randrange(20)
+            data.append((i, " ".join([*filler(lead), *p, *filler(gap), *q, *filler(30)])))
+            want[i] = [(lead, lead + n), (lead + n + gap, lead + 2 * n + gap)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    got = {x["id"]: [(s["start"], s["end"]) for s in x["passages"]] for x in substrings.passages(df).collect()}
+    assert got == want
+
+
+def test_common_words():
+    r = random.Random(6)
+    for _ in range(200):
+        a, b = ([r.randrange(5) for _ in range(r.randrange(90))] for _ in range(2))
+        row = [0] * (len(b) + 1)
+        for w in a:
+            last = 0
+            for j, v in enumerate(b, 1):
+                last, row[j] = row[j], last + 1 if w == v else max(row[j], row[j - 1])
+        assert substrings.common_words(a, b) == row[-1]
+
+
 def test_chains_follow_both_orders():
     x, y = [0, 10, 20, 30, 400], [100, 110, 5, 130, 500]
     best = max(substrings.chains(x, y), key=len)
