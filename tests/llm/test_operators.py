@@ -271,6 +271,21 @@ def test_substrings_around_unrelated_text(spark):
     assert got == want
 
 
+@pytest.mark.parametrize("copies", [1, 12])
+def test_substrings_with_several_partners(spark, copies):
+    """A passage whose halves stand in other documents first, once or in many; and one that stands twice in the first document."""
+    r = random.Random(7)
+    filler = lambda n: [f"f{r.randrange(10**9)}" for _ in range(n)]
+    p, q = filler(80), filler(60)
+    data = [[*filler(9), *p[:40], *filler(9)] for _ in range(copies)] + [[*filler(9), *p[40:], *filler(9)] for _ in range(copies)]
+    data += [[*filler(20), *p, *filler(7)], [*filler(5), *p, *filler(8)]]
+    data += [[*filler(11), *q, *filler(200), *q, *filler(9)], [*filler(30), *q]]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(data)], "doc_id long, text string")
+    got = {x["id"]: [(s["start"], s["end"]) for s in x["passages"]] for x in substrings.passages(df).collect()}
+    n = 2 * copies
+    assert got == {i: [] for i in range(n)} | {n: [(20, 100)], n + 1: [(5, 85)], n + 2: [(11, 71), (271, 331)], n + 3: [(30, 90)]}
+
+
 def test_common_words():
     r = random.Random(6)
     for _ in range(200):
