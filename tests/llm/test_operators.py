@@ -286,6 +286,23 @@ def test_substrings_with_several_partners(spark, copies):
     assert got == {i: [] for i in range(n)} | {n: [(20, 100)], n + 1: [(5, 85)], n + 2: [(11, 71), (271, 331)], n + 3: [(30, 90)]}
 
 
+def test_substrings_with_edited_words(spark):
+    """Passages of 64 words of which every 8th, or 15 % at random, are others."""
+    r = random.Random(8)
+    filler = lambda n: [f"f{r.randrange(10**9)}" for _ in range(n)]
+    data = []
+    for k in range(40):
+        p = filler(64)
+        q = p.copy()
+        for i in range(4, 64, 8) if k % 2 else r.sample(range(1, 63), 9):
+            q[i] = f"e{r.randrange(10**9)}"
+        data += [(2 * k, " ".join([*filler(20), *p, *filler(20)])), (2 * k + 1, " ".join([*filler(20), *q, *filler(20)]))]
+    got = {x["id"]: [(s["start"], s["end"]) for s in x["passages"]] for x in substrings.passages(spark.createDataFrame(data, "doc_id long, text string")).collect()}
+    for i, spans in got.items():
+        assert spans == [(20, 84)] if i // 2 % 2 else len(spans) == 1 and 20 <= spans[0][0] <= spans[0][1] - 50 <= 34, (i, spans)
+    assert len(got) == 80
+
+
 def test_common_words():
     r = random.Random(6)
     for _ in range(200):
