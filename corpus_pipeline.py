@@ -10,6 +10,9 @@ from pednet.llm.common import documents, ready, written
 
 #: Texts whose best language holds less of their n-grams are rejected.
 LEAST_SCORE = 0.3
+#: Documents link when their sets of five-word shingles have a Jaccard similarity of 80 % or more.
+SHINGLE = 5
+PERCENT = 80
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +30,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents that with the smallest doc_id; of rows that repeat a doc_id, one; rows without a doc_id stay."""
-    found = jaccard.join(docs)
+    found = jaccard.join(docs, shingle=SHINGLE, percent=PERCENT)
     kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__id")).distinct()
     rows = docs.join(kept, docs["doc_id"] == kept["__id"], "left_semi")
     order = Window.partitionBy("doc_id").orderBy("text", "source", "lang")
