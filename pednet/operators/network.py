@@ -82,12 +82,13 @@ def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     raise RuntimeError("connected_components: not converged")
 
 
-def route_batch(pairs: DataFrame, edges: DataFrame, profile: str = "distance", rounds: int = 64) -> DataFrame:
-    """Least cost from src to dst for many pairs at once (P6): od_id, cost (null if unreachable or farther than `rounds` edges) and the
-    number of edges. All frontiers relax together, one join and one least-cost aggregation a round; labels beyond the best cost of a
+def route_batch(pairs: DataFrame, edges: DataFrame, profile: str = "distance", rounds: int | None = None) -> DataFrame:
+    """Least cost from src to dst for many pairs at once (P6): od_id, cost (null if unreachable) and the number of edges. Rounds go on until
+    no label is open; more than `rounds` (by default as many as there are vertices, which no least path exceeds) is an error. All frontiers relax together, one join and one least-cost aggregation a round; labels beyond the best cost of a
     pair's goal are dropped, which keeps frontiers near the pairs."""
     cost = edges.where(F.col(f"w_{profile}") < float("inf")).select(F.col("src").alias("node"), F.col("dst").alias("to"), F.col(f"w_{profile}").cast("double").alias("w"))
     best = checkpointed(pairs.select("od_id", F.col("src").alias("node"), "dst", F.lit(0.0).alias("cost"), F.lit(0).alias("edges"), F.lit(True).alias("open")))
+    rounds = cost.select("node").distinct().count() + 1 if rounds is None else rounds
     for _ in range(rounds):
         moved = best.where("open").join(cost, "node").select("od_id", F.col("to").alias("node"), "dst", (F.col("cost") + F.col("w")).alias("cost"), (F.col("edges") + 1).alias("edges"), F.lit(True).alias("open"))
         every = best.withColumn("open", F.lit(False)).unionByName(moved)
@@ -96,11 +97,13 @@ def route_batch(pairs: DataFrame, edges: DataFrame, profile: str = "distance", r
         best = checkpointed(best.withColumn("open", F.col("open") & (F.coalesce(bound, F.lit(float("inf"))) > F.col("cost"))))
         if best.where("open").isEmpty():
             break
+    else:
+        raise RuntimeError("route_batch: labels are open after all rounds")
     done = best.where("node = dst").select("od_id", "cost", "edges")
     return pairs.select("od_id").join(done, "od_id", "left")
 
 
-def route_compare(pairs: DataFrame, edges: DataFrame, profile: str, baseline: str = "distance", rounds: int = 64) -> DataFrame:
+def route_compare(pairs: DataFrame, edges: DataFrame, profile: str, baseline: str = "distance", rounds: int | None = None) -> DataFrame:
     """A profile's routes beside the baseline's (P7): the baseline alone where the profile has none; both null: disconnected."""
     one, two = route_batch(pairs, edges, profile, rounds), route_batch(pairs, edges, baseline, rounds)
     both = one.select("od_id", "cost").join(two.select("od_id", F.col("cost").alias("baseline_cost")), "od_id")

@@ -324,7 +324,7 @@ def routes(spark, d):
     key = lambda a, b: [F.floor((F.floor((F.col(c).cast("double") - o) / 0.0005) * 0.0005 + o) / geo.TOLERANCE + 0.5).cast("long").alias(k) for c, o, k in ((a, -49.30, "kx"), (b, -25.47, "ky"))]
     src = od.select("od_id", *key("lon_a", "lat_a")).join(at, ["kx", "ky"]).select("od_id", F.col("vertex").alias("src"))
     dst = od.select("od_id", *key("lon_b", "lat_b")).join(at, ["kx", "ky"]).select("od_id", F.col("vertex").alias("dst"))
-    return N.route_batch(src.join(dst, "od_id"), e, rounds=24)
+    return N.route_batch(src.join(dst, "od_id"), e)
 
 
 @query("profile_audit")
