@@ -2,25 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pednet.functions.geo import TOLERANCE, haversine_m, vertex_key
 from pednet.operators.grading import directional_weight
+from pednet.operators.shared import checkpointed
 from pednet.policies.profiles import PROFILES
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """df with its lineage cut, in the shared folder of spark.checkpoint.dir (a local one only where that is unset)."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        at = sc.getConf().get("spark.checkpoint.dir", None) or df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(at or tempfile.mkdtemp(prefix="spark-shared-"))
-    return df.checkpoint()
-
-
 def build_vertices(lines: DataFrame, tolerance: float = TOLERANCE) -> DataFrame:
     """Vertices by lattice key: the last coordinate wins, ids by first appearance are left to the key (P1). lines: position, coords."""
     kx, ky = vertex_key("c.lon", "c.lat", tolerance)
@@ -82,35 +72,6 @@ def connected_components(edges: DataFrame, rounds: int = 40) -> DataFrame:
     raise RuntimeError("connected_components: not converged")
 
 
-def route_batch(pairs: DataFrame, edges: DataFrame, profile: str = "distance", rounds: int | None = None) -> DataFrame:
-    """Least cost from src to dst for many pairs at once (P6): od_id, cost (null if unreachable) and the number of edges. Rounds go on until
-    no label is open; more than `rounds` (by default as many as there are vertices, which no least path exceeds) is an error. All frontiers relax together, one join and one least-cost aggregation a round; labels beyond the best cost of a
-    pair's goal are dropped, which keeps frontiers near the pairs."""
-    cost = edges.where(F.col(f"w_{profile}") < float("inf")).select(F.col("src").alias("node"), F.col("dst").alias("to"), F.col(f"w_{profile}").cast("double").alias("w"))
-    best = checkpointed(pairs.select("od_id", F.col("src").alias("node"), "dst", F.lit(0.0).alias("cost"), F.lit(0).alias("edges"), F.lit(True).alias("open")))
-    rounds = cost.select("node").distinct().count() + 1 if rounds is None else rounds
-    for _ in range(rounds):
-        moved = best.where("open").join(cost, "node").select("od_id", F.col("to").alias("node"), "dst", (F.col("cost") + F.col("w")).alias("cost"), (F.col("edges") + 1).alias("edges"), F.lit(True).alias("open"))
-        every = best.withColumn("open", F.lit(False)).unionByName(moved)
-        best = every.groupBy("od_id", "node", "dst").agg(F.min(F.struct("cost", "open", "edges")).alias("b")).select("od_id", "node", "dst", "b.cost", "b.edges", "b.open")
-        bound = F.min(F.when(F.col("node") == F.col("dst"), F.col("cost"))).over(Window.partitionBy("od_id"))
-        best = checkpointed(best.withColumn("open", F.col("open") & (F.coalesce(bound, F.lit(float("inf"))) > F.col("cost"))))
-        if best.where("open").isEmpty():
-            break
-    else:
-        raise RuntimeError("route_batch: labels are open after all rounds")
-    done = best.where("node = dst").select("od_id", "cost", "edges")
-    return pairs.select("od_id").join(done, "od_id", "left")
-
-
-def route_compare(pairs: DataFrame, edges: DataFrame, profile: str, baseline: str = "distance", rounds: int | None = None) -> DataFrame:
-    """A profile's routes beside the baseline's (P7): the baseline alone where the profile has none; both null: disconnected."""
-    one, two = route_batch(pairs, edges, profile, rounds), route_batch(pairs, edges, baseline, rounds)
-    both = one.select("od_id", "cost").join(two.select("od_id", F.col("cost").alias("baseline_cost")), "od_id")
-    why = F.when(F.col("cost").isNotNull(), "route").when(F.col("baseline_cost").isNotNull(), "barrier").otherwise("disconnected")
-    return both.withColumn("status", why)
-
-
 def network_metadata(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """One row of counts and bounds."""
     v = vertices.agg(F.count("*").alias("vertices"), F.min("lon").alias("xmin"), F.min("lat").alias("ymin"), F.max("lon").alias("xmax"), F.max("lat").alias("ymax"))
@@ -121,6 +82,11 @@ def edge_kind_counts(df: DataFrame) -> DataFrame:
     return df.groupBy("edge_kind").agg(F.count("*").alias("n"))
 
 
+def slope_source_counts(prepared: DataFrame) -> DataFrame:
+    """Features by where their slope comes from."""
+    return prepared.groupBy("incline_source").agg(F.count("*").alias("n"))
+
+
 def routing_ids(df: DataFrame) -> DataFrame:
     """layer:id:place, the place among the features of a layer by id."""
     w = Window.partitionBy("layer").orderBy("id")

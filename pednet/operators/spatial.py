@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from pednet.functions.geo import DEGREE_M, EARTH_M, clip, planar_m, tile_x, tile_y
 
 CELL_M = 100.0
+#: Beyond any distance on earth.
+FAR_M = 1e8
 ENDS = ("lon0", "lat0", "lon1", "lat1")
 
 
@@ -116,23 +118,25 @@ def tile_lengths(lines: DataFrame, zoom: int, zone: int) -> DataFrame:
     return features_x_tiles(lines, zoom).groupBy("x", "y").agg(F.sum(planar_m("clon0", "clat0", "clon1", "clat1", zone)).alias("length_m"))
 
 
-def snap(points: DataFrame, segments: DataFrame, first_m: float = 100.0, rounds: int = 6) -> DataFrame:
-    """Each point's nearest segment (J15): od_id, segment_id, t, lon, lat, distance_m. Rings double until every point has one; points
-    without a segment in the last ring don't appear. points: od_id, lon, lat."""
+def snap(points: DataFrame, segments: DataFrame, first_m: float = 100.0) -> DataFrame:
+    """Each point's nearest segment (J15): od_id, segment_id, t, lon, lat, distance_m. Rings double until every point has one, however far
+    it is; each ring is cut from the plan of those before. Without segments there are no rows. points: od_id, lon, lat."""
     from pednet.functions.geo import project_on_segment
+    from pednet.operators.shared import checkpointed
 
-    left = points.select(F.lit("point").alias("element"), F.col("od_id").alias("id"), *[F.col(c).cast("double").alias(f"{c}{i}") for i in (0, 1) for c in ("lon", "lat")])
+    left = points.select(F.lit("point").alias("element"), F.col("od_id").alias("id"), *[F.col(c).cast("double").alias(f"{c}{i}") for i in (0, 1) for c in ("lon", "lat")]).where("not isnan(lon0) and not isnan(lat0)")
     right = segments.select(F.lit("segment").alias("element"), F.col("segment_id").alias("id"), *ENDS)
-    out = None
-    for i in range(rounds):
-        found = nearest_within(left, right, first_m * 2**i)
-        p = project_on_segment("lon", "lat", "r_lon0", "r_lat0", "r_lon1", "r_lat1")
-        found = found.join(points.select(F.col("od_id").alias("l_id"), "lon", "lat"), "l_id").select(F.col("l_id").alias("od_id"), F.col("r_id").alias("segment_id"), p.alias("p")).select("od_id", "segment_id", "p.*")
+    right = right.where(" and ".join(f"{c} is not null" for c in ENDS))
+    p = project_on_segment("lon", "lat", "r_lon0", "r_lat0", "r_lon1", "r_lat1")
+    out, ring, some = None, first_m, not right.isEmpty()
+    while some and ring < FAR_M and not left.isEmpty():
+        found = checkpointed(nearest_within(left, right, ring))
+        left = checkpointed(left.join(found.select(F.col("l_id").alias("id")), "id", "left_anti"))
         out = found if out is None else out.unionByName(found)
-        left = left.join(found.select(F.col("od_id").alias("id")), "id", "left_anti")
-        if left.isEmpty():
-            break
-    return out
+        ring *= 2
+    out = nearest_within(left, right, ring) if out is None else out
+    at = out.join(points.select(F.col("od_id").alias("l_id"), "lon", "lat"), "l_id")
+    return at.select(F.col("l_id").alias("od_id"), F.col("r_id").alias("segment_id"), p.alias("p")).select("od_id", "segment_id", "p.*")
 
 
 def dem_sample(points: DataFrame, dem: DataFrame, lon0: float, lat0: float, pixel: float) -> DataFrame:

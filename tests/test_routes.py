@@ -2,7 +2,9 @@
 
 import heapq
 
-from pednet.operators import network as N
+import pytest
+
+from pednet.operators import routing as P
 
 
 def dijkstra(edges, src, dst):
@@ -19,11 +21,46 @@ def dijkstra(edges, src, dst):
     return None
 
 
-def test_routes_of_many_edges(spark):
-    """A path of 70 edges, dear short cuts along it, and an island."""
+@pytest.mark.parametrize("cell", [4096, 7])
+def test_routes_of_many_edges(spark, monkeypatch, cell):
+    """A path of 70 edges, dear short cuts along it, and an island; whole, and in cells of a few vertices."""
+    monkeypatch.setattr(P, "CELL_VERTICES", cell)
+    monkeypatch.setattr(P, "BUCKET", 2)
     edges = [(i, i + 1, 1.0) for i in range(70)] + [(0, 70, 90.0), (10, 40, 35.0), (100, 101, 1.0)]
-    pairs = [(1, 0, 70), (2, 0, 9), (3, 5, 60), (4, 0, 101), (5, 7, 7), (6, 70, 0)]
+    pairs = [(1, 0, 70), (2, 0, 9), (3, 5, 60), (4, 0, 101), (5, 7, 7), (6, 70, 0), (7, 500, 500), (8, 70, 70)]
     e = spark.createDataFrame(edges, "src long, dst long, w_distance double")
     od = spark.createDataFrame(pairs, "od_id long, src long, dst long")
-    got = {x["od_id"]: x["cost"] for x in N.route_batch(od, e).collect()}
-    assert got == {i: dijkstra(edges, a, b) for i, a, b in pairs}
+    v = spark.createDataFrame([(i, i * 0.01, 0.0) for i in range(102)], "vertex long, lon double, lat double")
+    rows = P.route_batch(od, e, cells=P.graph_cells(v, cell) if cell < 10 else None).collect()
+    want = {i: dijkstra(edges, a, b) for i, a, b in pairs} | {7: 0.0}
+    assert {x["od_id"]: x["cost"] for x in rows} == want
+    weight = {(a, b): w for a, b, w in edges}
+    for x in rows:
+        if x["cost"] is not None:
+            _, a, b = pairs[x["od_id"] - 1]
+            assert (x["nodes"][0], x["nodes"][-1], x["edges"]) == (a, b, len(x["nodes"]) - 1)
+            assert sum(weight[s] for s in zip(x["nodes"][:-1], x["nodes"][1:], strict=True)) == x["cost"]
+    assert P.route_batch(od.limit(0), e).count() == 0
+
+
+def test_routes_between_places(spark):
+    """Three vertices in a row; one direction of the second segment is barred to a profile."""
+    v = spark.createDataFrame([(0, 0.0, 0.0), (1, 0.001, 0.0), (2, 0.002, 0.0)], "vertex long, lon double, lat double")
+    e = spark.createDataFrame([(0, 1, 111.2, 111.2), (1, 0, 111.2, 111.2), (1, 2, 111.2, float("inf")), (2, 1, 111.2, 111.2)], "src long, dst long, w_distance double, w_accessible double")
+    od = spark.createDataFrame([(1, 0.0002, 0.0001, 0.0018, -0.0001), (2, 0.0018, 0.0, 0.0002, 0.0), (3, 0.0002, 0.0, 0.0007, 0.0), (4, 0.001, 0.0, 0.001, 0.0)], "od_id long, lon_a double, lat_a double, lon_b double, lat_b double")
+    got = {r["od_id"]: r for r in P.route_compare(od, e, v, "accessible").collect()}
+    assert got[1]["status"] == "barrier" and got[1]["path"] is None
+    assert len(got[1]["baseline_path"]) == 3 and 177 < got[1]["baseline_m"] < 179 and got[1]["baseline_cost"] == pytest.approx(1.6 * 111.2)
+    assert got[2]["status"] == "route" and got[2]["longer_percent"] == 0 and len(got[2]["path"]) == 3
+    assert got[3]["cost"] == pytest.approx(55.6) and [round(p["lon"], 6) for p in got[3]["path"]] == [0.0002, 0.0007]
+    assert got[4]["cost"] == pytest.approx(0) and len(got[4]["path"]) == 2 and got[4]["distance_m"] == pytest.approx(0)
+
+
+def test_snap_far_away(spark):
+    from pednet.operators import spatial as S
+
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, 3.0, 1.0), (3, None, 0.0), (4, float("nan"), 0.0)], "od_id long, lon double, lat double")
+    segments = spark.createDataFrame([(10, 0.0, 0.001, 0.01, 0.001), (11, 5.0, 0.0, 5.0, 0.5)], "segment_id long, lon0 double, lat0 double, lon1 double, lat1 double")
+    got = {r["od_id"]: (r["segment_id"], r["distance_m"]) for r in S.snap(points, segments).collect()}
+    assert set(got) == {1, 2} and got[1][0] == 10 and got[2][0] == 11 and got[1][1] == pytest.approx(111.2, rel=0.01) and got[2][1] > 200_000
+    assert S.snap(points, segments.limit(0)).count() == 0
