@@ -77,55 +77,76 @@ def factor_grade(f: Factor, sign: int = 1) -> tuple[Column, Column]:
     return F.when(n.isNull(), unknown).otherwise(grade), F.when(n.isNull(), 0).otherwise(sure)
 
 
-def _inputs(p: Profile, sign: int) -> tuple[Column, Column]:
-    """The reasons of barriers that hold, and the factors that apply with grade, place, name, confidence and weight."""
+def _sum(terms) -> Column:
+    out = F.lit(0.0)
+    for t in terms:
+        out = out + t
+    return out
+
+
+def _verdict(p: Profile, name: str, factors: list, value: Column, caps: list[Column]) -> Column:
+    """struct(grade, allowed, confidence, limit, reasons) (G8). factors: name, whether it applies, grade and confidence."""
     kind = F.col("edge_kind")
-    blocked = F.filter(F.array(*[F.when(applies(b.applies_to, kind) & condition(b), b.reason) for b in p.barriers], F.lit(None).cast("string")), lambda r: r.isNotNull())
-    items = []
-    for i, (name, f) in enumerate(p.factors.items()):
-        g, c = factor_grade(f, sign)
-        items.append(F.when(applies(f.applies_to, kind), F.struct(g.cast("double").alias("g"), F.lit(i).alias("i"), F.lit(name).alias("name"), c.cast("double").alias("c"), F.lit(float(f.weight)).alias("w"))))
-    return blocked, F.filter(F.array(*items), lambda r: r.isNotNull())
-
-
-def _means(items: Column) -> Column:
-    """The least factor, the weighted harmonic mean of grades and the weighted mean of confidences."""
-    total = F.aggregate(items, F.lit(0.0), lambda a, r: a + r["w"])
-    least = F.array_min(items)
-    mean = F.when(F.size(items) == 0, 100.0).when(least["g"] <= 0, 0.0).otherwise(total / F.aggregate(items, F.lit(0.0), lambda a, r: a + r["w"] / F.nullif(r["g"], F.lit(0.0))))
-    sure = F.when(F.size(items) > 0, F.bround(F.aggregate(items, F.lit(0.0), lambda a, r: a + r["c"] * r["w"]) / total)).otherwise(0)
-    return F.struct(least["g"].alias("g"), least["name"].alias("name"), mean.alias("mean"), sure.cast("int").alias("sure"))
-
-
-def _verdict(p: Profile, blocked: Column, m: Column, value: Column, reasons: list[Column]) -> Column:
-    """struct(grade, allowed, confidence, limit, reasons)."""
-    stop = F.size(blocked) > 0
+    barriers = [applies(b.applies_to, kind) & condition(b) for b in p.barriers]
+    stop = F.lit(False)
+    for b in barriers:
+        stop = stop | b
+    blocked = F.array_compact(F.array(*[F.when(b, c.reason) for b, c in zip(barriers, p.barriers, strict=True)], F.lit(None).cast("string")))
+    least = F.col(f"__least_{name}")
+    limit = F.coalesce(*[F.when(a & (g == least), F.lit(f)) for f, a, g, _ in factors], F.lit(None).cast("string"))
     return F.struct(
         F.when(stop, 0).otherwise(F.greatest(F.lit(0), F.least(F.lit(100), F.bround(value).cast("int")))).alias("grade"),
         F.when(stop, False).otherwise(value > 0).alias("allowed"),
-        F.when(stop, 100).otherwise(m["sure"]).alias("confidence"),
-        F.when(stop, "barrier").otherwise(m["name"]).alias("limit"),
-        F.when(stop, blocked).otherwise(F.array_distinct(F.filter(F.array(*reasons, F.when(m["g"] < 50, m["name"])), lambda r: r.isNotNull()))).alias("reasons"),
+        F.when(stop, 100).otherwise(F.col(f"__sure_{name}")).alias("confidence"),
+        F.when(stop, "barrier").otherwise(limit).alias("limit"),
+        F.when(stop, blocked).otherwise(F.array_distinct(F.array_compact(F.array(*caps, F.when(least < 50, limit))))).alias("reasons"),
     )
 
 
 def grade_features(df: DataFrame, policies=PROFILES) -> DataFrame:
-    """prepare_features(df) with <profile>_fwd and <profile>_bwd (G9). Each step is a projection of its own, so that no step is computed twice."""
-    sides = [(p, side, sign, f"{p.name}_{side}") for p in policies if p.mode != "distance" for side, sign in (("fwd", 1), ("bwd", -1))]
-    inputs = {name: _inputs(p, sign) for p, _, sign, name in sides}
-    df = df.withColumns({f"__b_{k}": b for k, (b, _) in inputs.items()} | {f"__i_{k}": i for k, (_, i) in inputs.items()})
-    df = df.withColumns({f"__m_{name}": _means(F.col(f"__i_{name}")) for *_, name in sides})
+    """prepare_features(df) with <profile>_fwd and <profile>_bwd (G9). A policy's factors are known when the plan is made, so sums and
+    minima are written out over them (G4 to G7): scalar expressions that Spark compiles. Each step is a projection of its own, so that no
+    step is computed twice; a factor that doesn't depend on the direction is computed once."""
+    kind = F.col("edge_kind")
+    sides = [(p, sign, f"{p.name}_{side}") for p in policies if p.mode != "distance" for side, sign in (("fwd", 1), ("bwd", -1))]
+    graded, factors = {}, {}
+    for p, sign, name in sides:
+        factors[name] = []
+        for i, (f_name, f) in enumerate(p.factors.items()):
+            at = f"{name if f.ascending else p.name}_{i}"
+            if f"__g_{at}" not in graded:
+                g, c = factor_grade(f, sign)
+                graded |= {f"__g_{at}": g.cast("double"), f"__c_{at}": c.cast("double")}
+            factors[name].append((f_name, applies(f.applies_to, kind), F.col(f"__g_{at}"), F.col(f"__c_{at}"), float(f.weight)))
+    df = df.withColumns(graded)
+    means = {}
+    for _, _, name in sides:
+        rows = factors[name]
+        weight = _sum(F.when(a, w).otherwise(0.0) for _, a, _, _, w in rows)
+        # least() wants two columns at least; nulls don't count
+        means[f"__least_{name}"] = F.least(*[F.when(a, g) for _, a, g, _, _ in rows], F.lit(None).cast("double"), F.lit(None).cast("double"))
+        means[f"__weight_{name}"] = weight
+        means[f"__slow_{name}"] = _sum(F.when(a & (g > 0), w / F.nullif(g, F.lit(0.0))).otherwise(0.0) for _, a, g, _, w in rows)
+        means[f"__sum_{name}"] = _sum(F.when(a, c * w).otherwise(0.0) for _, a, _, c, w in rows)
+    df = df.withColumns(means)
     out = {}
-    for p, _, _, name in sides:
-        value, reasons = F.col(f"__m_{name}")["mean"], []
+    for _, _, name in sides:
+        least, weight, slow, total = (F.col(f"__{x}_{name}") for x in ("least", "weight", "slow", "sum"))
+        out[f"__mean_{name}"] = F.when(least.isNull(), 100.0).when(least <= 0, 0.0).otherwise(weight / F.nullif(slow, F.lit(0.0)))
+        out[f"__sure_{name}"] = F.when(least.isNull(), 0).otherwise(F.bround(total / F.nullif(weight, F.lit(0.0)))).cast("int")
+    df = df.withColumns(out)
+    values, caps = {}, {}
+    for p, _, name in sides:
+        value, reasons = F.col(f"__mean_{name}"), []
         for cap in p.caps:  # in order (G6)
-            hit = applies(cap.applies_to, F.col("edge_kind")) & condition(cap) & (value > cap.most)
+            hit = applies(cap.applies_to, kind) & condition(cap) & (value > cap.most)
             reasons.append(F.when(hit, cap.reason))
             value = F.when(hit, float(cap.most)).otherwise(value)
-        out[f"__v_{name}"], out[f"__r_{name}"] = value, F.array(*reasons, F.lit(None).cast("string"))
-    df = df.withColumns(out)
-    final = {name: _verdict(p, F.col(f"__b_{name}"), F.col(f"__m_{name}"), F.col(f"__v_{name}"), [F.get(F.col(f"__r_{name}"), F.lit(i)) for i in range(len(p.caps))]) for p, _, _, name in sides}
-    return df.withColumns(final).drop(*[f"__{x}_{name}" for x in "bimvr" for *_, name in sides])
+        values[f"__value_{name}"], caps[name] = value, len(reasons)
+        values |= {f"__cap_{name}_{i}": r for i, r in enumerate(reasons)}
+    df = df.withColumns(values)
+    final = {name: _verdict(p, name, [x[:4] for x in factors[name]], F.col(f"__value_{name}"), [F.col(f"__cap_{name}_{i}") for i in range(caps[name])]) for p, _, name in sides}
+    return df.withColumns(final).drop(*graded, *means, *out, *values)
 
 
 def compact_grades(df: DataFrame, policies=PROFILES) -> DataFrame:

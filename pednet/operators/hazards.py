@@ -18,49 +18,62 @@ def coverage() -> Column:
     return F.bround(F.when(F.col("edge_kind") == "crossing", total(known + more) / 8).otherwise(total(known) / 5) * 100).cast("int")
 
 
-def matches(profile: str, sign: int, rules=RULES) -> Column:
-    """The rules that hold, in order: array of rule, category, confidence, severity, impact, traversability (H1, H2)."""
+def hits(rules, sign: int = 1) -> dict[str, Column]:
+    """Whether each rule holds (H1); directional ones for the direction of this sign."""
     kind = F.coalesce("edge_kind", F.lit("footway"))
     field = lambda name: F.col("incline_percent") * sign if name == "directional_incline_percent" else F.col(name)
-    out = []
-    for r in rules:
-        if profile not in r.effects:
-            continue
-        severity, impact, *rest = r.effects[profile]
-        sure = {"longitudinal_slope": F.least(F.lit(r.confidence), F.col("incline_confidence")), "cross_slope": F.least(F.lit(r.confidence), F.col("cross_slope_confidence"))}.get(r.category, F.lit(r.confidence))
-        row = F.struct(F.lit(r.id).alias("rule"), F.lit(r.category).alias("category"), sure.cast("int").alias("confidence"), F.lit(severity).alias("severity"), F.lit(impact).alias("impact"), F.lit(TRAVERSABILITY.index(rest[0]) if rest else 0).alias("traversability"))
-        out.append(F.when(applies(r.applies_to, kind) & condition(r.condition, field), row))
-    return F.filter(F.array(*out), lambda m: m.isNotNull())
-
-
-def assessment(found: Column, severity: Column, decisive: Column, cover: Column) -> Column:
-    """The overall verdict on the matches of a direction (H3, H4)."""
+    return {r.id: applies(r.applies_to, kind) & condition(r.condition, field) for r in rules}
+
+
+def sureness(rule) -> Column:
+    """A rule's confidence, no more than that of the slope it tests (H2)."""
+    slope = {"longitudinal_slope": "incline_confidence", "cross_slope": "cross_slope_confidence"}.get(rule.category)
+    return F.least(F.lit(rule.confidence), F.col(slope)) if slope else F.lit(rule.confidence)
+
+
+def greatest(terms: list[Column], least) -> Column:
+    return F.greatest(*terms, F.lit(least), F.lit(least))
+
+
+def listed(terms: list[Column], some: Column) -> Column:
+    """The terms that aren't null as an array, where some holds; else an empty one."""
+    mark = "\x1f"
+    return F.when(some, F.split(F.concat_ws(mark, *terms), mark)).otherwise(F.array().cast("array<string>"))
+
+
+def assessment(rules: list, hit: dict[str, Column], profile: str, severity: Column, cover: Column) -> Column:
+    """The overall verdict of a direction (H3, H4): decisive rules are those of the greatest severity that holds."""
+    decisive = [(r, hit[r.id] & (severity == r.effects[profile][0]), r.effects[profile]) for r in rules]
     names = F.array(*[F.lit(t) for t in TRAVERSABILITY])
-    worst = F.coalesce(F.array_max(F.transform(decisive, lambda m: m["traversability"])), F.lit(0))
-    by = []
-    for c in CATEGORIES:
-        by.append(F.coalesce(F.array_max(F.transform(F.filter(found, lambda m: m["category"] == c), lambda m: m["severity"])), F.lit(0)).alias(c))  # noqa: B023
+    worst = greatest([F.when(d, TRAVERSABILITY.index(rest[0]) if rest else 0) for _, d, (_, _, *rest) in decisive], 0)
+    by = [greatest([F.when(hit[r.id], r.effects[profile][0]) for r in rules if r.category == c], 0).alias(c) for c in CATEGORIES]
+    found = severity > 0
     return F.struct(
         severity.alias("severity"),
-        F.array_sort(F.array_distinct(F.transform(decisive, lambda m: m["impact"]))).alias("impact"),
+        F.array_sort(F.array_distinct(listed([F.when(d, e[1]) for _, d, e in decisive], found))).alias("impact"),
         F.get(names, worst).alias("traversability"),
-        F.coalesce(F.array_max(F.transform(decisive, lambda m: m["confidence"])), cover).alias("confidence"),
+        F.when(found, F.greatest(*[F.when(d, sureness(r)) for r, d, _ in decisive], F.lit(None).cast("int"), F.lit(None).cast("int"))).otherwise(cover).alias("confidence"),
         cover.alias("coverage"),
-        F.when(severity > 0, "hazard_detected").when(cover >= 60, "no_detected_hazard").otherwise("insufficient_data").alias("status"),
-        F.transform(decisive, lambda m: m["rule"]).alias("rule_ids"),
+        F.when(found, "hazard_detected").when(cover >= 60, "no_detected_hazard").otherwise("insufficient_data").alias("status"),
+        listed([F.when(d, r.id) for r, d, _ in decisive], found).alias("rule_ids"),
         F.struct(*by).alias("categories"),
     )
 
 
 def assess_hazards(df: DataFrame, rules=RULES, profiles=PROFILES) -> DataFrame:
-    """prepare_features(df) with <profile>_hazard_fwd and _bwd."""
-    df = df.withColumn("__cover", coverage())
-    for p in profiles:
-        df = df.withColumns({f"__{p}_{s}": matches(p, sign, rules) for s, sign in (("fwd", 1), ("bwd", -1))})
-        df = df.withColumns({f"__{p}_{s}_top": F.coalesce(F.array_max(F.transform(f"__{p}_{s}", lambda m: m["severity"])), F.lit(0)) for s in ("fwd", "bwd")})
-        df = df.withColumns({f"__{p}_{s}_worst": F.filter(f"__{p}_{s}", lambda m: m["severity"] == F.col(f"__{p}_{s}_top")) for s in ("fwd", "bwd")})  # noqa: B023
-        df = df.withColumns({f"{p}_hazard_{s}": assessment(F.col(f"__{p}_{s}"), F.col(f"__{p}_{s}_top"), F.col(f"__{p}_{s}_worst"), F.col("__cover")) for s in ("fwd", "bwd")})
-    return df.drop("__cover", *[f"__{p}_{s}{x}" for p in profiles for s in ("fwd", "bwd") for x in ("", "_top", "_worst")])
+    """prepare_features(df) with <profile>_hazard_fwd and _bwd. The rules are known when the plan is made, so maxima are written out over
+    them, as scalar expressions that Spark compiles; what holds is computed once for all profiles, and for both directions where these
+    don't matter."""
+    sides = (("fwd", 1), ("bwd", -1))
+    both = {f"__hit_{k}": c for k, c in hits([r for r in rules if not r.directional]).items()}
+    each = {s: {f"__hit_{s}_{k}": c for k, c in hits([r for r in rules if r.directional], sign).items()} for s, sign in sides}
+    df = df.withColumns({"__cover": coverage()} | both | each["fwd"] | each["bwd"])
+    hit = {s: {r.id: F.col(f"__hit_{s}_{r.id}" if r.directional else f"__hit_{r.id}") for r in rules} for s, _ in sides}
+    of = {p: [r for r in rules if p in r.effects] for p in profiles}
+    tops = {f"__top_{p}_{s}": greatest([F.when(hit[s][r.id], r.effects[p][0]) for r in of[p]], 0) for p in profiles for s, _ in sides}
+    df = df.withColumns(tops)
+    df = df.withColumns({f"{p}_hazard_{s}": assessment(of[p], hit[s], p, F.col(f"__top_{p}_{s}"), F.col("__cover")) for p in profiles for s, _ in sides})
+    return df.drop("__cover", *both, *each["fwd"], *each["bwd"], *tops)
 
 
 def compact_hazard(df: DataFrame, profile: str) -> DataFrame:
