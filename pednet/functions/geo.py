@@ -19,10 +19,10 @@ _A, _F = 6_378_137.0, 1 / 298.257223563  # WGS 84
 
 
 def haversine_m(lon1, lat1, lon2, lat2) -> Column:
-    """Great-circle distance in metres."""
+    """Great-circle distance in metres (N19); null where a coordinate is."""
     lon1, lat1, lon2, lat2 = map(col, (lon1, lat1, lon2, lat2))
     a = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    return 2 * EARTH_M * F.asin(F.least(F.lit(1.0), F.sqrt(a)))
+    return 2 * EARTH_M * F.asin(F.when(a > 1, 1.0).otherwise(F.sqrt(a)))  # least() would skip a null
 
 
 def utm_zone(lon) -> Column:
@@ -109,6 +109,35 @@ def tile_id(z, x, y) -> Column:
     return F.concat_ws("/", col(z).cast("string"), col(x).cast("string"), col(y).cast("string"))
 
 
+def tile_parent(x, y, up: int = 1) -> tuple[Column, Column]:
+    """x, y of the tile `up` zooms above."""
+    return F.shiftright(col(x), up), F.shiftright(col(y), up)
+
+
+def tile_children(x, y) -> Column:
+    """Array of (x, y) of the four tiles a zoom below."""
+    x, y = col(x), col(y)
+    return F.array(*[F.struct((2 * x + i).alias("x"), (2 * y + j).alias("y")) for j in (0, 1) for i in (0, 1)])
+
+
+def parse_tile(c) -> Column:
+    """struct(z, x, y) of a z/x/y text; null where it isn't one."""
+    part = lambda i: F.regexp_extract(col(c), r"^(\d+)/(\d+)/(\d+)$", i).try_cast("long")
+    return F.when(part(1).isNotNull(), F.struct(part(1).cast("int").alias("z"), part(2).alias("x"), part(3).alias("y")))
+
+
+def line_length_in_bounds(parts, w: float, s: float, e: float, n: float) -> Column:
+    """Metres of a line of several parts (arrays of lon, lat) inside a box, to six places."""
+    box = [F.lit(float(v)) for v in (w, s, e, n)]
+
+    def inside(p):
+        k = F.greatest(F.size(p) - 1, F.lit(0))
+        c = F.zip_with(F.slice(p, F.lit(1), k), F.slice(p, F.lit(2), k), lambda a, b: clip(a["lon"], a["lat"], b["lon"], b["lat"], *box))
+        return F.transform(c, lambda x: F.coalesce(haversine_m(x["lon1"], x["lat1"], x["lon2"], x["lat2"]), F.lit(0.0)))
+
+    return F.round(F.aggregate(F.flatten(F.transform(col(parts), inside)), F.lit(0.0), lambda a, x: a + x), 6)
+
+
 def vertex_key(lon, lat, tolerance: float = TOLERANCE) -> tuple[Column, Column]:
     """Lattice coordinates of a vertex (N24); null where not finite."""
     ok = (F.abs(col(lon)) < float("inf")) & (F.abs(col(lat)) < float("inf"))

@@ -46,26 +46,27 @@ def parse_number(c: Column | str) -> Column:
     return F.when(~is_unknown(c) & (F.abs(value) < float("inf")), value)
 
 
+# A width in feet and perhaps inches, whole; and texts anywhere in a width that give its unit, in metres, first match first.
+FEET = r"^(\d+(?:\.\d+)?)\s*'\s*(?:(\d+(?:\.\d+)?)\s*(?:\"|in)?)?$"
+INCH_M = 0.0254
+UNITS = (("ft", FOOT_M), ("feet", FOOT_M), ("cm", 0.01), ("mm", 0.001))
+
+
 def _width_one(text: Column) -> Column:
     t = normalize_categorical(text)
-    feet = F.regexp_extract(t, r"^(\d+(?:[.,]\d+)?)\s*'\s*(?:(\d+(?:[.,]\d+)?)\s*(?:\"|'')?)?$", 1)
-    inches = F.regexp_extract(t, r"^(\d+(?:[.,]\d+)?)\s*'\s*(?:(\d+(?:[.,]\d+)?)\s*(?:\"|'')?)?$", 2)
-    both = (parse_number(feet) + F.coalesce(parse_number(inches), F.lit(0.0)) / 12) * FOOT_M
+    feet, inches = F.regexp_extract(t, FEET, 1), F.regexp_extract(t, FEET, 2)
     n = parse_number(t)
-    value = (
-        F.when(feet != "", both)
-        .when(t.rlike(r"(ft|feet|foot)\s*$"), n * FOOT_M)
-        .when(t.rlike(r"cm\s*$"), n / 100)
-        .when(t.rlike(r"mm\s*$"), n / 1000)
-        .otherwise(n)
-    )
-    return F.when(value >= 0, value)
+    value = F.when(feet != "", parse_number(feet) * FOOT_M + F.coalesce(parse_number(inches), F.lit(0.0)) * INCH_M)
+    for unit, metres in UNITS:
+        value = value.when(t.contains(unit), n * metres)
+    return value.otherwise(n)
 
 
 def parse_width_m(c: Column | str) -> Column:
     """A width in metres: the least of the parts between semicolons; feet and inches, cm and mm are converted."""
-    parts = F.transform(F.split(col(c).cast("string"), ";"), _width_one)
-    return F.array_min(F.filter(parts, lambda x: x.isNotNull()))
+    whole = col(c).cast("string")
+    parts = F.transform(F.split(whole, ";"), _width_one)
+    return F.when(whole.contains(";"), F.array_min(F.filter(parts, lambda x: x.isNotNull()))).otherwise(_width_one(whole))
 
 
 def parse_incline(c: Column | str) -> Column:
@@ -128,6 +129,11 @@ def feature_url(element: Column | str, id_: Column | str) -> Column:
     return F.concat(F.lit("https://www.openstreetmap.org/"), col(element), F.lit("/"), col(id_).cast("string"))
 
 
+def history_url(element: Column | str, id_: Column | str) -> Column:
+    """Link to a feature's versions."""
+    return F.concat(feature_url(element, id_), F.lit("/history"))
+
+
 # The element a geometry type is mapped as.
 GEOMETRY_ELEMENT = {"Point": "node", "LineString": "way", "Polygon": "way", "MultiPolygon": "relation", "MultiLineString": "way"}
 
@@ -167,6 +173,27 @@ def fingerprint(*parts: Column) -> Column:
     return F.sha2(F.concat_ws("\x1f", *[F.coalesce(F.concat(F.lit("+"), p.cast("string")), F.lit("-")) for p in parts]), 256)
 
 
+def split_type_id(c: Column | str) -> Column:
+    """struct(element, id) of a type_id key."""
+    parts = F.split(col(c), "_")
+    return F.struct(F.get(parts, F.lit(0)).alias("element"), F.get(parts, F.lit(1)).try_cast("long").alias("id"))
+
+
+def edit_url(element: Column | str, id_: Column | str, zoom: int, lat: Column, lon: Column) -> Column:
+    """Link to a feature in the editor, at a place of the map."""
+    return F.concat(F.lit("https://www.openstreetmap.org/edit?"), col(element), F.lit("="), col(id_).cast("string"), F.lit(f"#map={zoom}/"), lat.cast("string"), F.lit("/"), lon.cast("string"))
+
+
+def survey_year(c: Column | str) -> Column:
+    """The last part of a d-m-yyyy date."""
+    return F.element_at(F.split(col(c), "-"), -1).try_cast("int")
+
+
+def status_name(c: Column | str, names: dict) -> Column:
+    """A status code's name, or the code itself."""
+    return replace_values(col(c).cast("string"), {str(k): v for k, v in names.items()})
+
+
 def humanize(c: Column | str) -> Column:
     """snake_case as a title."""
     return F.initcap(F.regexp_replace(col(c), "_", " "))

@@ -8,13 +8,17 @@ from pyspark.sql import functions as F
 
 def apply_changes(base: DataFrame, changes: DataFrame, mode: str = "latest") -> DataFrame:
     """base after changes, by (element, id) (E1). changes: the columns of base, ts, creation, tag_change, geometry_change, deletion.
-    latest: the change of the greatest ts decides. reference: keys with any deletion or change go, then the last row that creates or
+    A change without any flag doesn't count. latest: the change of the greatest ts decides, of those a deletion, then the greatest
+    event_id, if changes has that. reference: keys with any deletion or change go, then the last row that creates or
     changes comes back, so a change followed by a deletion in one batch stays."""
     keys = ["element", "id"]
     rest = [c for c in base.columns if c not in keys]
-    touched = changes.where("deletion or geometry_change or tag_change or creation").select(*keys).distinct()
-    live = changes if mode == "latest" else changes.where("creation or geometry_change or tag_change")
-    last = live.groupBy(*keys).agg(F.max_by(F.struct(*rest, F.coalesce("deletion", F.lit(False)).alias("__gone")), F.struct("ts", F.coalesce("deletion", F.lit(False)))).alias("r")).select(*keys, "r.*")
+    any_change = changes.where("deletion or geometry_change or tag_change or creation")
+    touched = any_change.select(*keys).distinct()
+    live = any_change if mode == "latest" else changes.where("creation or geometry_change or tag_change")
+    gone = F.coalesce("deletion", F.lit(False))
+    order = F.struct("ts", gone.alias("gone"), *[c for c in ("event_id",) if c in changes.columns])
+    last = live.groupBy(*keys).agg(F.max_by(F.struct(*rest, gone.alias("__gone")), order).alias("r")).select(*keys, "r.*")
     if mode == "latest":
         last = last.where("not __gone")
     return base.join(touched, keys, "left_anti").unionByName(last.drop("__gone"))
@@ -55,3 +59,8 @@ def top_deletions(changes: DataFrame, as_of: str, days: int = 120, n: int = 5) -
     """The changesets with most deletions in the days before as_of."""
     recent = changes.where(F.col("deletion") & (F.col("ts") >= F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")) & (F.col("ts") <= F.lit(as_of).cast("timestamp")))
     return recent.groupBy("changeset_id").agg(F.count("*").alias("deletions")).orderBy(F.desc("deletions"), "changeset_id").limit(n)
+
+
+def enrich_changesets(top: DataFrame, changesets: DataFrame) -> DataFrame:
+    """Changesets with their metadata (J14), by changeset_id; those without go."""
+    return top.join(changesets, "changeset_id")

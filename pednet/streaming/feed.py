@@ -30,8 +30,8 @@ def changeset_sessions(changes: DataFrame, gap: str = "1 hour", late: str = "1 d
 
 
 def apply_stream(changes: DataFrame, base_path: str, checkpoint: str, mode: str = "latest") -> StreamingQuery:
-    """Apply each batch to the base table (E1, E2): version n+1 is written from version n under its batch number, so a repeated batch
-    writes the same version again. Read the newest with newest()."""
+    """Apply each batch to the base table (E1): version n+1 is written from version n under its batch number, so a repeated batch writes the
+    same version again. Read the newest with newest()."""
 
     def one(batch: DataFrame, n: int) -> None:
         spark = batch.sparkSession
@@ -41,6 +41,28 @@ def apply_stream(changes: DataFrame, base_path: str, checkpoint: str, mode: str
     return changes.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def newest(spark: SparkSession, base_path: str) -> DataFrame:
+    """The version of the base table of the greatest number: one that a batch has finished, as Spark marks it."""
+    done = spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS").option("recursiveFileLookup", "true").load(base_path).select("path")
+    n = done.select(F.max(F.regexp_extract("path", r"/v(\d+)/[^/]*$", 1).cast("int"))).first()[0]
+    return spark.read.parquet(f"{base_path}/v{n}")
+
+
+def advance_watermark(state: DataFrame, newest_available: str, now: str) -> DataFrame:
+    """layer, start, end, action of the next fetch of each layer (E2). state: layer, since (the end of the last fetch that succeeded). The
+    end is the lesser of now and what the provider has; a layer that is up to date needs nothing (current), and one whose provider is
+    behind its own state waits (stale)."""
+    at = F.least(F.lit(newest_available).cast("timestamp"), F.lit(now).cast("timestamp"))
+    action = F.when(F.col("since").isNull(), "full").when(F.col("since") > at, "stale").when(F.col("since") == at, "current").otherwise("fetch")
+    return state.select("layer", F.col("since").alias("start"), at.alias("end"), action.alias("action"))
+
+
+def record_success(state: DataFrame, fetched: DataFrame) -> DataFrame:
+    """state after the fetches (layer, end, ok): the end of those that succeeded is the new since; others keep theirs."""
+    done = fetched.where("ok").groupBy("layer").agg(F.max("end").alias("__end"))
+    return state.join(done, "layer", "left").select("layer", F.greatest("since", "__end").alias("since"))
+
+
 def write_daily(changes: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Final days as Parquet by date."""
     return daily_activity_stream(changes).writeStream.outputMode("append").format("parquet").partitionBy("date").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
