@@ -32,6 +32,11 @@ def completeness_snapshot(roads: DataFrame, footways: DataFrame, sidewalks: Data
     return completeness_ratios(rows.groupBy("z", "x", "y").agg(*sums)).withColumn("tile", tile_id("z", "x", "y"))
 
 
+def completeness_footways(sidewalks: DataFrame, main_footways: DataFrame, columns=("lon0", "lat0", "lon1", "lat1")) -> DataFrame:
+    """What counts as a footway (U3): sidewalks and the main footways that are mapped as such, repeats kept."""
+    return sidewalks.select(*columns).unionByName(main_footways.where("highway = 'footway'").select(*columns))
+
+
 def snapshot_dates(today: str, months: int = 3) -> list[str]:
     """The month starts before a day, then the day itself."""
     from datetime import date, timedelta

@@ -92,6 +92,17 @@ def routable_lines(df: DataFrame) -> DataFrame:
     return df.where(F.col("geom_type").isin("LineString", "MultiLineString") & (F.size("parts") > 0)).select("*", F.posexplode("parts").alias("part", "coords")).drop("parts").where(F.size("coords") > 1)
 
 
+def attribute_filter(df: DataFrame, expr: str) -> DataFrame:
+    """Rows that a SQL predicate holds for (F8)."""
+    return df.where(expr)
+
+
+def age_lookup(raw: DataFrame, processed: DataFrame) -> DataFrame:
+    """raw with the age its processed feature has (J2), by layer and id; null where there is none."""
+    ages = processed.groupBy("layer", "id").agg(F.max("age").alias("age"))
+    return raw.drop("age").join(ages, ["layer", "id"], "left")
+
+
 def keyword_match(df: DataFrame, keywords: list[str]) -> DataFrame:
     """Rows whose title or description holds a keyword, with those it holds."""
     text = F.lower(F.concat_ws(" ", "title", "description"))
@@ -119,10 +130,11 @@ def keep_last(df: DataFrame, keys=("element", "id"), position: str = "position")
 
 
 def attach_versioning(df: DataFrame, versions: DataFrame, as_of: str) -> DataFrame:
-    """last_update, age and n_revs of each feature (J1); ids without a version get a null date text and age -1."""
+    """last_update, age and n_revs of each feature (J1); of several versions the one of most revisions; ids without a version get nulls."""
     from pednet.functions.normalize import age_years, last_update
 
-    v = versions.select(F.col("osmid").alias("id"), last_update("rev_day", "rev_month", "rev_year").alias("last_update"), age_years("rev_year", "rev_month", "rev_day", as_of).alias("age"), "n_revs")
+    newest = versions.groupBy("osmid").agg(F.max_by(F.struct("n_revs", "rev_day", "rev_month", "rev_year"), F.struct("n_revs", "rev_year", "rev_month", "rev_day")).alias("v")).select("osmid", "v.*")
+    v = newest.select(F.col("osmid").alias("id"), last_update("rev_day", "rev_month", "rev_year").alias("last_update"), age_years("rev_year", "rev_month", "rev_day", as_of).alias("age"), "n_revs")
     return df.join(v, "id", "left")
 
 

@@ -112,6 +112,22 @@ def geometry_issues(df: DataFrame, category: str, comment: str) -> DataFrame:
     return df.select("layer", "element", "id", F.lit(category).alias("category"), F.lit("not appliable").alias("key"), F.lit("not appliable").alias("value"), F.lit(comment).alias("commentary"))
 
 
+#: The geometric products of Q8 as (category, commentary).
+GEOMETRIC = {"disjointed_geometries": "not connected to the network", "improper_geometries": "geometry does not suit the layer", "crossings_lacking_kerbs": "fewer than two kerbs", "kerb_on_top_of_non_crossing": "kerb that no crossing meets"}
+
+
+def dq_geometry(disjointed: DataFrame, improper: DataFrame, crossings: DataFrame, kerbs: DataFrame) -> DataFrame:
+    """The four geometric products as one table of issues (Q8); of improper geometries the element is the other one. All: layer, element, id."""
+    from pednet.functions.normalize import invert_element
+
+    improper = improper.withColumn("element", invert_element("element"))
+    out = None
+    for df, (category, comment) in zip((disjointed, improper, crossings, kerbs), GEOMETRIC.items(), strict=True):
+        rows = geometry_issues(df, category, comment)
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def dq_issues(*issues: DataFrame) -> DataFrame:
     """All issues with their ISO 19157 class (Q9); rows without a value go."""
     iso = lambda i: F.create_map(*[F.lit(x) for k, v in ISO_19157.items() for x in (k, v[i])])[F.col("category")]
@@ -128,5 +144,5 @@ def dq_totals(issues: DataFrame) -> DataFrame:
 
 def issue_points(issues: DataFrame, features: DataFrame) -> DataFrame:
     """One row for each feature with issues: categories, layers, distinct issues and its point."""
-    per = issues.groupBy("id").agg(F.array_sort(F.collect_set("category")).alias("categories"), F.array_sort(F.collect_set("layer")).alias("layers"), F.collect_set(F.struct("category", "key", "value")).alias("issues"))
-    return per.join(features.groupBy("id").agg(F.first("element").alias("element"), F.min(F.struct("lon", "lat")).alias("point")), "id", "left")
+    per = issues.groupBy("element", "id").agg(F.array_sort(F.collect_set("category")).alias("categories"), F.array_sort(F.collect_set("layer")).alias("layers"), F.collect_set(F.struct("category", "key", "value")).alias("issues"))
+    return per.join(features.groupBy("element", "id").agg(F.min(F.struct("lon", "lat")).alias("point")), ["element", "id"], "left")

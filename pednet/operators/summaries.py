@@ -15,7 +15,7 @@ def label(c: Column) -> Column:
 def value_counts(df: DataFrame, field: str) -> DataFrame:
     """value, n and share of the values that are not null (A1)."""
     c = df.where(F.col(field).isNotNull()).groupBy(F.col(field).alias("value")).agg(F.count("*").alias("n"))
-    return c.withColumn("share", F.bround(100 * F.col("n") / F.sum("n").over(Window.partitionBy()), 2))
+    return c.crossJoin(c.agg(F.sum("n").alias("__all"))).select("value", "n", F.bround(100 * F.col("n") / F.col("__all"), 2).alias("share"))  # one row of totals
 
 
 def bar_aggregate(df: DataFrame, field: str, weight: str | None = None, color: str | None = None, drop_unknown: bool = False, exclude=()) -> DataFrame:

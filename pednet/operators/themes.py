@@ -55,9 +55,9 @@ def valid_tag_domain(rows: DataFrame) -> DataFrame:
 
 
 def score_lookup(features: DataFrame, scores: DataFrame, key: str, default: float | None = None) -> DataFrame:
-    """The score of each feature's value (N33). scores: layer, key, value, score; a small policy table, so it is broadcast."""
+    """The score of each feature's value (N33). scores: layer, key, value, score; a policy table, which Spark broadcasts where its size allows."""
     s = scores.where(F.col("key") == key).select("layer", F.col("value").alias(key), "score")
-    return features.join(F.broadcast(s), ["layer", key], "left").withColumn("score", F.coalesce("score", F.lit(default).cast("double")))
+    return features.join(s, ["layer", key], "left").withColumn("score", F.coalesce("score", F.lit(default).cast("double")))
 
 
 def merge_tag_rules(*rules: dict[str, list[str]]) -> dict[str, list[str]]:

@@ -11,9 +11,9 @@ from pednet.operators import changes as C
 from pednet.operators import completeness as K
 from pednet.operators import features as E
 from pednet.operators import grading as G
-from pednet.operators import hazards as H
 from pednet.operators import network as N
 from pednet.operators import quality as Q
+from pednet.operators import routing as P
 from pednet.operators import spatial as S
 from pednet.operators import summaries as A
 from pednet.operators import terrain as R
@@ -69,6 +69,22 @@ def width_metres(spark, d):
     return view(spark, d, "net_ways").select("id", F.round(normalize.parse_width_m("width"), 6).alias("width_m"))
 
 
+_WIDTHS = ("1.5", "1,25 m", "4'6\"", "5'6in", "5 ' 6", "5'", "5.5'", "6 ft wide", "6feet", "90 cm approx", "850mm", "-1.5", "1.5;0.9", "?;2 m;6ft", ";", "?", "abc", "3'x", "approx 2,5")
+
+
+@query(
+    "width_spellings",
+    """SELECT l_orderkey AS order_id, l_linenumber AS line, round(CASE (l_orderkey + l_linenumber) % 20 WHEN 0 THEN 1.5 WHEN 1 THEN 1.25 WHEN 2 THEN 4 * 0.3048 + 6 * 0.0254 WHEN 3 THEN 5 * 0.3048 + 6 * 0.0254
+       WHEN 4 THEN 5 * 0.3048 + 6 * 0.0254 WHEN 5 THEN 5 * 0.3048 WHEN 6 THEN 5.5 * 0.3048 WHEN 7 THEN 6 * 0.3048 WHEN 8 THEN 6 * 0.3048 WHEN 9 THEN 0.9 WHEN 10 THEN 0.85 WHEN 11 THEN -1.5
+       WHEN 12 THEN 0.9 WHEN 13 THEN 6 * 0.3048 WHEN 17 THEN 3 WHEN 18 THEN 2.5 END::DOUBLE, 6) AS width_m FROM lineitem""",
+)
+def width_spellings(spark, d):
+    """A spelling of a width for each line, some null."""
+    spelled = F.get(F.array(*[F.lit(x) for x in _WIDTHS]), F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(20)).cast("int"))
+    rows = spark.read.parquet(f"{d}/lineitem.parquet").select(F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line"), spelled.alias("width"))
+    return rows.select("order_id", "line", F.round(normalize.parse_width_m("width"), 6).alias("width_m"))
+
+
 @query(
     "incline_percent",
     """SELECT id, round(CASE incline WHEN '5%' THEN 5 WHEN '-10%' THEN -10 WHEN '5°' THEN tan(radians(5)) * 100 WHEN '0%' THEN 0 WHEN '12.6%' THEN 12.6 END::DOUBLE, 6) AS percent,
@@ -263,11 +279,11 @@ def top_deletions(spark, d):
     return C.top_deletions(view(spark, d, "net_changes"), "2030-01-01", days=5000)
 
 
-@query("apply_changes_latest", """SELECT id, value FROM (SELECT id, deletion, value, row_number() OVER (PARTITION BY id ORDER BY ts DESC, deletion DESC, event_id DESC) AS r FROM net_changes) t WHERE r = 1 AND NOT deletion
+@query("apply_changes_latest", """SELECT id, value FROM (SELECT id, deletion, value, row_number() OVER (PARTITION BY id ORDER BY ts DESC, deletion DESC, event_id DESC) AS r FROM net_changes WHERE creation OR tag_change OR geometry_change OR deletion) t WHERE r = 1 AND NOT deletion
        UNION ALL SELECT id, -1.0::DOUBLE FROM net_ways WHERE id NOT IN (SELECT id FROM net_changes WHERE creation OR tag_change OR geometry_change OR deletion)""")
 def apply_latest(spark, d):
     base = view(spark, d, "net_ways").select("element", "id", F.lit(-1.0).alias("value"))
-    return C.apply_changes(base, view(spark, d, "net_changes").where("creation or tag_change or geometry_change or deletion")).select("id", "value")
+    return C.apply_changes(base, view(spark, d, "net_changes")).select("id", "value")
 
 
 @query("last_change", "SELECT element, id, event_id, value FROM (SELECT *, row_number() OVER (PARTITION BY element, id ORDER BY event_id DESC) AS r FROM net_changes) t WHERE r = 1")
@@ -312,19 +328,32 @@ def graph_components(spark, d):
     return c.groupBy("label").agg(F.count("*").alias("vertices")).groupBy("vertices").agg(F.count("*").alias("n"))
 
 
-@query("routes")
-def routes(spark, d):
+def _graph(spark, d):
+    """Vertices and edges by distance; pairs between vertices of the lattice."""
+    from pednet.operators.shared import checkpointed
     from pednet.policies.profiles import DISTANCE
 
     lines = _lines(spark, d)
-    v = N.build_vertices(lines)
-    e = N.checkpointed(N.build_edges(lines, v, (DISTANCE,)))
+    v = checkpointed(N.build_vertices(lines))
+    return v, checkpointed(N.build_edges(lines, v, (DISTANCE,)))
+
+
+@query("routes")
+def routes(spark, d):
+    v, e = _graph(spark, d)
     od = view(spark, d, "net_od")
     at = v.select("vertex", "kx", "ky")
     key = lambda a, b: [F.floor((F.floor((F.col(c).cast("double") - o) / 0.0005) * 0.0005 + o) / geo.TOLERANCE + 0.5).cast("long").alias(k) for c, o, k in ((a, -49.30, "kx"), (b, -25.47, "ky"))]
     src = od.select("od_id", *key("lon_a", "lat_a")).join(at, ["kx", "ky"]).select("od_id", F.col("vertex").alias("src"))
     dst = od.select("od_id", *key("lon_b", "lat_b")).join(at, ["kx", "ky"]).select("od_id", F.col("vertex").alias("dst"))
-    return N.route_batch(src.join(dst, "od_id"), e)
+    return P.route_batch(src.join(dst, "od_id"), e, cells=P.graph_cells(v)).select("od_id", F.round("cost", 3).alias("cost"), "edges")
+
+
+@query("routes_between_places")
+def routes_between_places(spark, d):
+    v, e = _graph(spark, d)
+    od = view(spark, d, "net_od").select("od_id", *[F.col(c).cast("double").alias(c) for c in ("lon_a", "lat_a", "lon_b", "lat_b")])
+    return P.route_points(od, e, v, cells=P.graph_cells(v)).select("od_id", F.round("cost", 3).alias("cost"), F.round("distance_m", 3).alias("distance_m"), F.size("path").alias("places"))
 
 
 @query("profile_audit")
@@ -338,11 +367,6 @@ def edge_weights(spark, d):
     return e.agg(F.count("*").alias("edges"), *[F.count_if(F.col(c) < float("inf")).alias(f"open_{c}") for c in e.columns if c.startswith("w_")])
 
 
-@query("hazard_audit")
-def hazard_audit(spark, d):
-    return H.hazard_audit(H.compact_hazard(H.assess_hazards(G.prepare_features(ways(spark, d)), profiles=("wheelchair",)), "wheelchair"))
-
-
 @query("terrain_slope", """SELECT px, py, round(sqrt(power(coalesce(dx, 0) / (0.0003 * 111320.0 * cos(radians(-25.4 - (py + 0.5) * 0.0003))), 2) + power(coalesce(dy, 0) / (0.0003 * 110574.0), 2)) * 100, 6) AS slope_percent
        FROM (SELECT px, py, (coalesce(lead(elev) OVER r, elev) - coalesce(lag(elev) OVER r, elev)) / nullif(coalesce(lead(px) OVER r, px) - coalesce(lag(px) OVER r, px), 0) AS dx,
        (coalesce(lead(elev) OVER c, elev) - coalesce(lag(elev) OVER c, elev)) / nullif(coalesce(lead(py) OVER c, py) - coalesce(lag(py) OVER c, py), 0) AS dy
@@ -358,7 +382,11 @@ def terrain_classes(spark, d):
     return R.classify_terrain(R.slope_percent(R.smooth_gaussian(dem, 1.0), -25.4, 0.0003)).groupBy("terrain").agg(F.count("*").alias("n"))
 
 
-@query("in_square")
+_SQUARE = geo.square(-25.45, -49.28, 1000)
+
+
+@query("in_square", f"""SELECT id, {LAYER} AS layer FROM net_ways WHERE least(lon0, lon1)::DOUBLE <= {_SQUARE[2]}::DOUBLE AND greatest(lon0, lon1)::DOUBLE >= {_SQUARE[0]}::DOUBLE
+       AND least(lat0, lat1)::DOUBLE <= {_SQUARE[3]}::DOUBLE AND greatest(lat0, lat1)::DOUBLE >= {_SQUARE[1]}::DOUBLE""")
 def in_square(spark, d):
     w, s, e, n = geo.square(-25.45, -49.28, 1000)
     b = geo.bounds("coords")

@@ -31,6 +31,6 @@ def test_same_as_sql(spark, tables, name):
     assert rows(df.select(*[f"`{c}`" for c in columns]).collect()) == rows(expected.select(*[f'"{c}"' for c in columns]).fetchall())
 
 
-@pytest.mark.parametrize("name", ["in_square", "completeness", "terrain_classes"])
+@pytest.mark.parametrize("name", ["completeness", "terrain_classes", "profile_audit", "edge_weights", "graph_components", "routes", "routes_between_places"])
 def test_runs(spark, name):
     assert QUERIES[name](spark, SMALL).count() >= 0
