@@ -10,7 +10,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Bits of the Bloom filters that are broadcast (4 MB). A fuller filter lets more rows through; results stay the same.
@@ -41,9 +41,11 @@ def ready(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's spark.checkpoint.dir; a local temporary folder only where that is unset."""
+    """The cluster's spark.checkpoint.dir. Where it is unset, a temporary folder if all runs on this machine, else an error."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not at:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", at)
     return at.rstrip("/")
@@ -54,22 +56,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = ready(df.sparkSession)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._pednet_path = path
-    return out
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop(*tables: DataFrame) -> None:
-    """Delete tables that written() made and nothing reads any more, and let Spark delete the shuffle files of finished steps."""
-    gc.collect()
-    for df in tables[:1]:
-        df.sparkSession._jvm.System.gc()
+    """Empty tables that written() made and nothing reads any more, and let Spark delete the shuffle files of finished steps (it does when the
+    driver collects garbage)."""
     for df in tables:
-        path = getattr(df, "_pednet_path", None)
-        if path:
-            spark = df.sparkSession
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        path = os.path.dirname(df.inputFiles()[0])
+        df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(path)
+    gc.collect()
+    tables[0].sparkSession._jvm.System.gc()
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,8 +115,13 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     Alternates large-star and small-star steps (Kiveris et al. 2014). Each round is a shuffle over the links with map-side combine,
     written to the shared folder; it ends when no row changes. Ids without links do not appear.
     """
-    spark = links.sparkSession
-    edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
+    def put(df: DataFrame) -> tuple[DataFrame, dict]:
+        """df written, and a digest of its rows, taken while it is written."""
+        seen = Observation()
+        out = written(df.observe(seen, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"), F.bit_xor(F.xxhash64("b", "a")).alias("y")), "links")
+        return out, seen.get
+
+    edges, had = put(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     for _ in range(rounds):
         both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
@@ -129,12 +131,10 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         # small star: every smaller neighbour of a, and a, point to the smallest of them
         low2 = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low2, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(low2.select("a", F.col("m").alias("b"))).distinct()
-        after = written(small, "links")
-        same = after.count() == edges.count() and after.exceptAll(edges).isEmpty()
-        drop(edges)
-        edges = after
-        if same:
+        edges, has = put(small)
+        if has == had:
             break
+        had = has
     else:
         raise RuntimeError("components: not converged")
     roots = edges.select(F.col("a").alias("id"), F.col("b").alias("root"))
@@ -299,3 +299,138 @@ def groups_of(batches, key: str):
             held.append(batch.slice(a, b - a))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def whole_groups(batches, key: str):
+    """Tables of whole runs of rows with one key, and where each run begins (with the end); rows come sorted by it. What is held is a batch
+    and the last run before it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        keys = batch.column(key).to_numpy(zero_copy_only=False)
+        at = np.flatnonzero(keys != keys[-1])
+        cut = int(at[-1]) + 1 if len(at) else 0  # the last run may go on
+        if cut == 0 and (len(held) == 1 or held[-2].column(key)[-1].as_py() == keys[-1]):
+            continue
+        held[-1] = batch.slice(0, cut)
+        yield _runs(pa.Table.from_batches(held), key)
+        held = [batch.slice(cut)]
+    if held:
+        yield _runs(pa.Table.from_batches(held), key)
+
+
+def _runs(t: pa.Table, key: str) -> tuple[pa.Table, list[int]]:
+    keys = t.column(key).to_numpy()
+    return t, [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), len(keys)]
+
+
+# --- keys that several owners have ---------------------------------------------------------------------------
+
+#: Keys that a task packs at once, that a hash range has on average, and that a task holds of a range.
+PACK = 1 << 20
+RANGE = 1 << 15
+HELD = 1 << 22
+#: A key that so many of PACK are is dealt to SALTS rows.
+HOT = 256
+SALTS = 32
+
+
+def range_bits(keys: int) -> int:
+    """How many leading bits of a 64-bit key make its hash range, for so many keys."""
+    return min(31, max(0, keys // RANGE).bit_length())
+
+
+def short(key: np.ndarray, bits: int) -> np.ndarray:
+    """What meet() tells keys apart by: the range and the 32 bits below it."""
+    return key >> np.uint64(32 - bits)
+
+
+def pack(df: DataFrame, bits: int, places: bool = False) -> DataFrame:
+    """Rows of many keys, to be brought together by unit (hash range and salt): keys (32 bits), owners and perhaps places. df: owner long, keys
+    binary (64 bits each) and perhaps places binary (32 bits each). A key that a task meets often goes to SALTS units by owner, and
+    a mark (place -1) to the unit where those of other tasks go, so that these aren't taken to be alone."""
+
+    def rows(key, owner, place):
+        order = np.argsort(key)
+        key, owner, place = key[order], owner[order], place[order]
+        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        times = np.diff(np.append(new, len(key)))
+        often, one = np.repeat(times > HOT, times), new[times > HOT]
+        unit = (short(key, bits) >> np.uint64(32)).astype(np.int64) * (SALTS + 1)
+        unit[often] += 1 + (mix(owner[often].view(np.uint64)) % np.uint64(SALTS)).astype(np.int64)
+        if len(one):
+            unit = np.append(unit, unit[one] // (SALTS + 1) * (SALTS + 1))
+            order = np.argsort(unit, kind="stable")
+            unit, key, owner, place = unit[order], np.append(key, key[one])[order], np.append(owner, owner[one])[order], np.append(place, np.full(len(one), -1, np.int32))[order]
+        cut = np.concatenate([[0], np.flatnonzero(unit[1:] != unit[:-1]) + 1, [len(unit)]]).tolist()
+        parts = [(short(key, bits) & np.uint64(0xFFFFFFFF)).astype(np.uint32), owner, *([place] if places else [])]
+        cols = [pa.array([x[a:b].tobytes() for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()) for x in parts]
+        return pa.record_batch([pa.array(unit[cut[:-1]]), *cols], names=["unit", "keys", "owners", "places"][: 1 + len(cols)])
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            each = b.column("keys").to_pylist()
+            key = np.frombuffer(b"".join(each), np.uint64)
+            place = np.frombuffer(b"".join(b.column("places").to_pylist()), np.int32) if places else np.zeros(len(key), np.int32)
+            held.append((key, np.repeat(b.column("owner").to_numpy(), [len(x) // 8 for x in each]), place))
+            size += len(key)
+            if size >= PACK:
+                yield rows(*(np.concatenate(x) for x in zip(*held, strict=True)))
+                held, size = [], 0
+        if size:
+            yield rows(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    schema = "unit long, keys binary, owners binary" + ", places binary" * places
+    return df.mapInArrow(run, schema).repartition("unit").sortWithinPartitions("unit")
+
+
+def meet(packed: DataFrame, emit, schema: str, places: bool = False) -> DataFrame:
+    """What emit makes of keys that several owners have, or may have (keys met often): it gets such a range's keys (64 bits, as of short()), owners
+    and places, sorted by these three, each entry once. A key of many owners may come in several parts. A task holds HELD entries."""
+
+    def run(batches):
+        unit, held, size, before = None, [], 0, np.zeros(0, np.uint32)
+
+        def close(last: bool):
+            nonlocal held, size, before
+            key, owner, place = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.argsort(key)
+            new = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]]))
+            times = np.diff(np.append(new, len(key)))
+            maybe = np.repeat((times > 1) | np.isin(key[order[new]], before) | (unit % (SALTS + 1) > 0), times)
+            alone, some = order[~maybe], order[maybe]
+            some = some[np.lexsort((place[some], owner[some], key[some]))]
+            k, o, p = key[some], owner[some], place[some]
+            apart = np.append(True, k[1:] != k[:-1])[: len(k)]
+            owners = apart | np.append(True, o[1:] != o[:-1])[: len(k)]
+            once = owners | np.append(True, p[1:] != p[:-1])[: len(k)]
+            run_of = np.cumsum(apart) - 1
+            many = np.bincount(run_of, owners) > 1
+            many |= np.bincount(run_of, p < 0) > 0
+            many |= np.isin(k[apart], before) | (unit % (SALTS + 1) > 0)
+            use = many[run_of] & once
+            before = np.zeros(0, np.uint32) if last else np.concatenate([before, k[apart][many]])
+            alone = np.concatenate([alone, some[~many[run_of]]])
+            held = [] if last else [(key[alone], owner[alone], place[alone])]
+            size = 0 if last else len(alone)
+            if use.any():
+                yield emit(np.uint64(unit // (SALTS + 1)) << np.uint64(32) | k[use].astype(np.uint64), o[use], p[use])
+
+        for b in batches:
+            cols = [b.column(c).to_pylist() for c in b.schema.names]
+            for u, *parts in zip(*cols, strict=True):
+                if held and (u != unit or size > HELD):
+                    yield from close(u != unit)
+                unit = u
+                key = np.frombuffer(parts[0], np.uint32)
+                held.append((key, np.frombuffer(parts[1], np.int64), np.frombuffer(parts[2], np.int32) if places else np.zeros(len(key), np.int32)))
+                size += len(key)
+        if held:
+            yield from close(True)
+
+    return packed.mapInArrow(run, schema)
