@@ -21,9 +21,10 @@ from pednet.llm import common
 
 BUCKETS = 1 << 14
 ALPHA = 1.0
+#: The mean log ratio from which a text is kept, where rules() gets no other.
 THRESHOLD = -0.25
-#: Labels are broadcast up to so many rows (about 16 bytes each), else joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+#: Labels are broadcast up to so many rows (about 40 bytes each), else joined by shuffle.
+BROADCAST_ROWS = 500_000
 WINDOW = 8
 
 BLANK = " \t\n\x0b\x0c\r"
@@ -35,17 +36,35 @@ def words(text: Column) -> Column:
     return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, r"[\x20\x09-\x0D]+"))
 
 
-def features(w: Column, h: Column) -> Column:
-    """Buckets of the n-grams of the words w with hashes h."""
-    one = F.transform(h, lambda x: F.pmod(x, F.lit(BUCKETS)).cast("int"))
-    two = F.transform(h, lambda x, i: F.pmod(F.xxhash64(x, F.get(h, i + 1)), F.lit(BUCKETS)).cast("int"))
-    edges = F.transform(w, lambda x: F.pmod(F.xxhash64(F.lit("<"), F.substring(x, 1, 3)), F.lit(BUCKETS)).cast("int"))
-    tails = F.transform(w, lambda x: F.pmod(F.xxhash64(F.lit(">"), F.substring(x, -3, 3)), F.lit(BUCKETS)).cast("int"))
-    return F.concat(one, F.slice(two, F.lit(1), F.greatest(F.size(h) - 1, F.lit(0))), edges, tails)
+def once(df: DataFrame, **columns: Column) -> DataFrame:
+    """df with columns that are computed once a row, whatever is done with them later: Spark pushes a filter through a projection, and
+    computes there anew what it refers to, but not through a generator."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(name) for name, c in columns.items()]))))
+
+
+def bucket(x: Column) -> Column:
+    return F.pmod(x, F.lit(BUCKETS)).cast("int")
+
+
+def neighbours(h: Column, step: int) -> Column:
+    """Hashes of each value of an array with the one `step` after it. The lambda sees these two only."""
+    n = F.greatest(F.size(h) - step, F.lit(0))
+    return F.zip_with(F.slice(h, F.lit(1), n), F.slice(h, F.lit(1 + step), n), lambda x, y: F.xxhash64(x, y))
+
+
+def prefix(word: Column) -> Column:
+    return bucket(F.xxhash64(F.lit("<"), F.substring(word, 1, 3)))
+
+
+def suffix(word: Column) -> Column:
+    return bucket(F.xxhash64(F.lit(">"), F.substring(word, -3, 3)))
 
 
 def hashed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("__w", words(F.col("text"))).withColumn("__h", F.transform("__w", lambda x: F.xxhash64(x)))
+    """docs with __w, words; __h, their hashes; __h2, those of neighbouring pairs."""
+    rows = once(docs, __w=words(F.col("text")))
+    rows = once(rows, __h=F.transform("__w", lambda x: F.xxhash64(x)))
+    return once(rows, __h2=neighbours(F.col("__h"), 1))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
@@ -58,7 +77,9 @@ def model(docs: DataFrame, labels: DataFrame) -> list[float]:
     ids = trusted_ids(labels).withColumn("__trusted", F.lit(1))
     small = ids.count() <= BROADCAST_ROWS
     rows = hashed(docs.select("doc_id", "text").join(F.broadcast(ids) if small else ids, "doc_id", "left"))
-    each = rows.select("__trusted", F.explode(features(F.col("__w"), F.col("__h"))).alias("b"))
+    each = rows.select("__trusted", F.inline(F.arrays_zip("__w", "__h", "__h2")))  # a row a word; the last has no pair
+    buckets = F.array(bucket(F.col("__h")), bucket(F.col("__h2")), prefix(F.col("__w")), suffix(F.col("__w")))
+    each = each.select("__trusted", F.explode(buckets).alias("b")).where("b is not null")
     counts = each.groupBy("b").agg(F.count("*").alias("raw"), F.count("__trusted").alias("target")).collect()  # BUCKETS rows at most
     raw, target = [0] * BUCKETS, [0] * BUCKETS
     for r in counts:
@@ -69,37 +90,33 @@ def model(docs: DataFrame, labels: DataFrame) -> list[float]:
     return [math.log((t + ALPHA) / m) - math.log((x + ALPHA) / n) for t, x in zip(target, raw, strict=True)]
 
 
-def rules(docs: DataFrame, ratios: list[float]) -> DataFrame:
-    """docs with the base counts, base_failed, score and kept; columns of docs with these names are replaced."""
+def rules(docs: DataFrame, ratios: list[float], least: float = THRESHOLD) -> DataFrame:
+    """docs with the base counts, base_failed, score and kept (score of least or more); columns of docs with these names are replaced."""
     docs = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score", "base_failed", "kept")
-    rows = hashed(docs)
     text = F.coalesce(F.col("text"), F.lit(""))
-    h = F.col("__h")
-    windows = F.transform(F.slice(h, F.lit(1), F.greatest(F.size(h) - (WINDOW - 1), F.lit(0))), lambda x, i: F.xxhash64(x, *[F.get(h, i + k) for k in range(1, WINDOW)]))
-    rows = rows.withColumn("__p", windows).withColumn("__repeats", F.size("__p") > F.size(F.array_distinct("__p")))
-    # windows by hash, for the few texts that repeat any
-    rows = rows.withColumn("__s", F.when(F.col("__repeats"), F.array_sort(F.transform("__p", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))))
-    s = F.col("__s")
-    again = F.filter(s, lambda e, j: F.coalesce(e["x"] == F.get(s, j - 1)["x"], F.lit(False)) | F.coalesce(e["x"] == F.get(s, j + 1)["x"], F.lit(False)))
-    at = F.array_sort(F.transform(again, lambda e: e["i"]))
+    rows = hashed(docs)
+    # windows of WINDOW words: pairs of pairs of pairs; those found again by sorting, for the few texts that have any
+    rows = once(rows, __p=neighbours(neighbours(F.col("__h2"), 2), 4), __lines=F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANK)) != ""))
+    rows = once(rows, __s=F.when(F.size("__p") > F.size(F.array_distinct("__p")), F.array_sort(F.transform("__p", lambda x, i: F.struct(x.alias("x"), i.alias("i"))))))
+    n = F.size("__s") - 1
+    same = once(rows, __same=F.zip_with(F.slice("__s", F.lit(1), n), F.slice("__s", F.lit(2), n), lambda a, b: F.when(a["x"] == b["x"], F.array(a["i"], b["i"]))))
+    at = F.array_sort(F.array_distinct(F.flatten(F.array_compact("__same"))))
     covered = F.aggregate(at, F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")), lambda a, i: F.struct((a["n"] + F.least(F.lit(WINDOW), i + WINDOW - a["end"])).alias("n"), (i + WINDOW).alias("end")), lambda a: a["n"])
-    lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANK)) != "")
-    rows = rows.withColumn("__lines", lines)
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")  # a constant, folded by the optimizer
-    feats = features(F.col("__w"), h)
-    rows = rows.withColumn("__f", feats)
-    score = F.aggregate("__f", F.lit(0.0), lambda a, b: a + F.get(table, b)) / F.greatest(F.size("__f"), F.lit(1))
-    rows = rows.select(
-        *docs.columns,
-        F.size("__w").cast("long").alias("n_words"),
-        F.length(F.translate(text, BLANK, "")).cast("long").alias("word_chars"),
-        (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"),
-        score.alias("score"),
-    )
+    ratio = lambda b: F.get(table, b)
+    score = F.aggregate("__h", F.lit(0.0), lambda a, x: a + ratio(bucket(x))) + F.aggregate("__h2", F.lit(0.0), lambda a, x: a + ratio(bucket(x)))
+    score += F.aggregate("__w", F.lit(0.0), lambda a, x: a + ratio(prefix(x)) + ratio(suffix(x)))
+    rows = once(
+        same,
+        n_words=F.size("__w").cast("long"),
+        word_chars=F.length(F.translate(text, BLANK, "")).cast("long"),
+        n_symbols=(F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
+        n_dup_lines=(F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long"),
+        n_repeat_words=F.coalesce(covered, F.lit(0)).cast("long"),
+        score=score / F.greatest(3 * F.size("__w") + F.size("__h2"), F.lit(1)),
+    ).select(*docs.columns, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "score")
     rows = rows.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
-    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= THRESHOLD))
+    return rows.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= least))
 
 
 def op8_quality(spark, sf_dir: str) -> DataFrame:
