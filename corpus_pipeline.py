@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pednet.llm import jaccard, language, lines, mixing, packing, tokens
-from pednet.llm.common import documents, ready, written
+from pednet.llm.common import documents, drop, ready, written
 
 #: Texts whose best language holds less of their n-grams are rejected.
 LEAST_SCORE = 0.3
@@ -56,9 +56,12 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents; each stage's rows are written and read again before the next."""
-    docs = documents(spark, sf_dir)
+    docs, before = documents(spark, sf_dir), None
     for i, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
         if i + 1 < len(STAGES):
             docs = written(docs, name.replace(" ", "-"))
+            if before is not None:  # what the stage has read is not needed any more
+                drop(before)
+            before = docs
     return docs
