@@ -135,6 +135,23 @@ def connected_kerbs(spark, d):
     return near.agg(F.lit("connected").alias("side"), F.count("*").alias("n")).unionByName(far.agg(F.lit("apart").alias("side"), F.count("*").alias("n")))
 
 
+@query("kerbs_off_some_crossings", f"SELECT kerb AS id FROM ({_KERB_SQL}) k WHERE NOT EXISTS (SELECT 1 FROM ({_ENDS_SQL}) c WHERE c.x = k.x AND c.y = k.y AND c.id % 20 = 6)")
+def kerbs_off_some_crossings(spark, d):
+    return S.kerbs_without_crossing(_kerbs(spark, d), _crossings(spark, d).where("id % 20 = 6")).select("id")
+
+
+_TRANSITIONS = f"SELECT c.id, k.kerb AS k, n.kerb, n.tactile_paving FROM ({_ENDS_SQL}) c LEFT JOIN ({_KERB_SQL}) k USING (x, y) LEFT JOIN net_kerbs n ON n.id = k.kerb"
+
+
+@query("crossing_transitions", f"SELECT id, coalesce(string_agg(kerb, ',' ORDER BY k) FILTER (WHERE kerb IS NOT NULL AND kerb <> '?'), '') AS kerbs, coalesce(string_agg(tactile_paving, ',' ORDER BY k) FILTER (WHERE tactile_paving IS NOT NULL AND tactile_paving <> '?'), '') AS tactile FROM ({_TRANSITIONS}) t GROUP BY id")
+def crossing_transitions(spark, d):
+    """The kerbs and tactile paving beside each crossing, by kerb id."""
+    sidewalks = _ends(ways(spark, d).where("layer = 'sidewalks'")).select("element", "id", "surface", "lon0", "lat0", "lon1", "lat1")
+    c = S.crossing_context(_crossings(spark, d), _kerbs(spark, d), sidewalks)
+    text = lambda x: F.coalesce(F.array_join(x, ","), F.lit(""))
+    return c.select("id", text("associated_kerbs").alias("kerbs"), text("associated_tactile_paving").alias("tactile"))
+
+
 @query("dem_at_points", "SELECT o.od_id, round(e.elev::DOUBLE, 6) AS elev FROM net_od o LEFT JOIN net_dem e ON e.px = floor((o.lon_a::DOUBLE + 49.30007) / 0.0003)::BIGINT AND e.py = floor((-25.46007 - o.lat_a::DOUBLE) / 0.0003)::BIGINT")
 def dem_at_points(spark, d):
     points = view(spark, d, "net_od").select("od_id", F.col("lon_a").cast("double").alias("lon"), F.col("lat_a").cast("double").alias("lat"))
@@ -246,12 +263,12 @@ def scored_surfaces(spark, d):
     return T.score_lookup(w.select("id", "layer", "surface"), scores, "surface", 1.5).select("id", "score")
 
 
-_HISTORY = "SELECT date_trunc('month', ts)::DATE::VARCHAR AS timestamp, 12 AS z, id % 40 AS x, id % 30 AS y, sum(value) AS footway_ratio FROM net_changes WHERE {} GROUP BY 1, 2, 3, 4"
+_HISTORY = "SELECT CAST(ts AS DATE)::VARCHAR AS timestamp, 12 AS z, id % 40 AS x, id % 30 AS y, sum(value) AS footway_ratio FROM net_changes WHERE {} GROUP BY 1, 2, 3, 4"
 
 
-@query("merged_history", f"WITH o AS ({_HISTORY.format('id % 40 < 30')}), n AS ({_HISTORY.format('id % 40 >= 10 AND month(ts) % 2 = 0')}) SELECT timestamp, z, x, y, round(footway_ratio, 4) AS footway_ratio FROM n UNION ALL SELECT timestamp, z, x, y, round(footway_ratio, 4) FROM o WHERE timestamp NOT IN (SELECT timestamp FROM n) AND (z, x, y) IN (SELECT (z, x, y) FROM n)")
+@query("merged_history", f"WITH o AS ({_HISTORY.format('id % 40 < 30')}), n AS ({_HISTORY.format('id % 40 >= 10 AND day(ts) % 2 = 0')}) SELECT timestamp, z, x, y, round(footway_ratio, 4) AS footway_ratio FROM n UNION ALL SELECT timestamp, z, x, y, round(footway_ratio, 4) FROM o WHERE timestamp NOT IN (SELECT timestamp FROM n) AND (z, x, y) IN (SELECT (z, x, y) FROM n)")
 def merged_history(spark, d):
-    rows = view(spark, d, "net_changes").select(F.trunc("ts", "month").cast("string").alias("timestamp"), F.lit(12).alias("z"), (F.col("id") % 40).alias("x"), (F.col("id") % 30).alias("y"), "value", "id", F.month("ts").alias("m"))
+    rows = view(spark, d, "net_changes").select(F.to_date("ts").cast("string").alias("timestamp"), F.lit(12).alias("z"), (F.col("id") % 40).alias("x"), (F.col("id") % 30).alias("y"), "value", "id", F.day("ts").alias("m"))
     total = lambda r: r.groupBy("timestamp", "z", "x", "y").agg(F.sum("value").alias("footway_ratio"))
     out = K.merge_history(total(rows.where("id % 40 < 30")), total(rows.where("id % 40 >= 10 and m % 2 = 0")))
     return out.withColumn("footway_ratio", F.round("footway_ratio", 4))
