@@ -20,6 +20,7 @@ from pednet.operators import themes as T
 from pednet.plans.catalogue import _crossings, _ends, _kerbs, _KERB_SQL, _ENDS_SQL, _lines, _tagged, query
 from pednet.plans.network_views import LAYER, view, ways
 from pednet.policies.hazards import CATEGORIES, RULES, TRAVERSABILITY
+from pednet.policies.profiles import PROFILES
 from pednet.sources import layers as L
 
 _UNKNOWN = "('', '?', 'unknown', 'unset', 'none', 'null', 'nan')"
@@ -424,3 +425,85 @@ _CATEGORY = {c: [r for r in RULES if r.category == c and "blind" in r.effects] f
 def hazard_categories(spark, d):
     rows = H.compact_hazard(H.assess_hazards(G.prepare_features(ways(spark, d)), profiles=("blind",)), "blind")
     return rows.agg(*[F.sum(f"category_{c}").cast("long").alias(c) for c in CATEGORIES])
+
+
+# --- profiles in SQL, from the same policy ---------------------------------------------------------------------
+
+_NUMERIC = ("width_m", "incline_percent", "cross_slope_percent")
+_WIDTH = "CASE width WHEN '1.5' THEN 1.5 WHEN '1,25 m' THEN 1.25 WHEN '4''6\"' THEN 4 * 0.3048::DOUBLE + 6 * 0.0254::DOUBLE WHEN '1.5;0.9' THEN 0.9 WHEN '90 cm' THEN 90 * 0.01::DOUBLE WHEN '6 ft' THEN 6 * 0.3048::DOUBLE END::DOUBLE"
+_THERE = (*_NORMAL, "crossing", *_NUMERIC)
+
+
+def _bands_sql(x: str, bands) -> str:
+    cases = " ".join(f"WHEN {x} <= {limit}::DOUBLE THEN {float(g)}::DOUBLE" for limit, g in bands if limit is not None)
+    last = [g for limit, g in bands if limit is None]
+    return f"CASE {cases} ELSE {float(last[0]) if last else 'NULL'}::DOUBLE END"
+
+
+def _grade_sql(f, sign: int) -> str:
+    """A factor's grade; fields that ways of the view lack are unknown."""
+    unknown = f"{float(f.unknown)}::DOUBLE"
+    if f.field not in _THERE:
+        return unknown
+    if f.values is not None:
+        return f"coalesce(CASE {f.field} " + " ".join(f"WHEN '{v}' THEN {float(g)}::DOUBLE" for v, g in f.values.items()) + f" END, {unknown})"
+    if f.bands is not None:
+        graded = _bands_sql(f"abs({f.field})" if f.absolute else f.field, f.bands)
+    else:
+        graded = f"CASE WHEN {sign} * {f.field} >= 0 THEN {_bands_sql(f'abs({f.field})', f.ascending)} ELSE {_bands_sql(f'abs({f.field})', f.descending)} END"
+    return f"CASE WHEN {f.field} IS NULL THEN {unknown} ELSE {graded} END"
+
+
+def _condition_sql(c) -> str:
+    if c.field not in _THERE or c.operator in ("contains", "transition_pair"):
+        return "false"
+    x = c.field
+    test = {
+        "equals": lambda: f"{x} = '{c.value}'",
+        "in": lambda: f"{x} IN ({', '.join(repr(v) for v in c.value)})",
+        "lt": lambda: f"{x} < {c.value}",
+        "lte": lambda: f"{x} <= {c.value}",
+        "gt": lambda: f"{x} > {c.value}",
+        "gte": lambda: f"{x} >= {c.value}",
+        "abs_gt": lambda: f"abs({x}) > {c.value}",
+        "range": lambda: f"{x} > {c.low} AND {x} <= {c.high}",
+        "abs_range": lambda: f"abs({x}) > {c.low} AND abs({x}) <= {c.high}",
+    }[c.operator]()
+    return f"coalesce({test}{_kinds_sql(c.applies_to)}, false)"
+
+
+def _kinds_sql(kinds) -> str:
+    return f" AND edge_kind IN ({', '.join(repr(k) for k in kinds)})" if kinds else ""
+
+
+def _profile_sql() -> str:
+    """Per profile the grades of the worse direction in bands, and the commonest limits."""
+    fields = ", ".join(f"CASE WHEN {x} NOT IN {_UNKNOWN} THEN {x} END AS {c}" for c, x in {**_NORMAL, "crossing": "lower(trim(crossing))"}.items())
+    base = f"SELECT id, CASE WHEN footway = 'crossing' THEN 'crossing' WHEN footway = 'sidewalk' THEN 'sidewalk' WHEN highway = 'steps' THEN 'stairs' ELSE 'footway' END AS edge_kind, {_WIDTH} AS width_m, {_INCLINE} AS incline_percent, {_ACROSS} AS cross_slope_percent, {fields} FROM net_ways"
+    sides = []
+    for p in (p for p in PROFILES if p.mode != "distance"):
+        for side, sign in (("f", 1), ("b", -1)):
+            names = list(p.factors)
+            grades = ", ".join(f"CASE WHEN true{_kinds_sql(f.applies_to)} THEN {_grade_sql(f, sign)} END AS g{i}" for i, f in enumerate(p.factors.values()))
+            weight = " + ".join(f"CASE WHEN g{i} IS NOT NULL THEN {float(f.weight)}::DOUBLE ELSE 0 END" for i, f in enumerate(p.factors.values()))
+            slow = " + ".join(f"CASE WHEN g{i} > 0 THEN {float(f.weight)}::DOUBLE / g{i} ELSE 0 END" for i, f in enumerate(p.factors.values()))
+            value = "value"
+            for cap in p.caps:
+                value = f"CASE WHEN {_condition_sql(cap)} AND {value} > {cap.most} THEN {float(cap.most)}::DOUBLE ELSE {value} END"
+            stop = " OR ".join(["false", *(_condition_sql(b) for b in p.barriers)])
+            limit = "CASE " + " ".join(f"WHEN g{i} = low THEN '{n}'" for i, n in enumerate(names)) + " END"
+            all_g = ", ".join(f"g{i}" for i in range(len(names)))
+            sides.append(f"""SELECT id, '{p.name}' AS profile, '{side}' AS side, CASE WHEN {stop} THEN 0 ELSE greatest(0, least(100, round_even({value}, 0)))::INT END AS grade, CASE WHEN {stop} THEN 'barrier' ELSE {limit} END AS limited
+FROM (SELECT *, CASE WHEN low IS NULL THEN 100 WHEN low <= 0 THEN 0 ELSE ({weight}) / ({slow}) END::DOUBLE AS value FROM (SELECT *, least({all_g}) AS low FROM (SELECT *, {grades} FROM p) a) b) c""")
+    bands = ", ".join(f"count(*) FILTER (WHERE worst >= {a} AND worst < {b}) AS band_{a}" for a, b in ((0, 1), (1, 20), (20, 40), (40, 60), (60, 80), (80, 101)))
+    return f"""WITH p AS ({base}), s AS ({' UNION ALL '.join(sides)}),
+w AS (SELECT f.profile, least(f.grade, b.grade) AS worst, CASE WHEN f.grade <= b.grade THEN f.limited ELSE b.limited END AS limited FROM s f JOIN s b ON f.id = b.id AND f.profile = b.profile AND f.side = 'f' AND b.side = 'b'),
+l AS (SELECT profile, limited, count(*) AS c, row_number() OVER (PARTITION BY profile ORDER BY count(*) DESC, limited) AS r FROM w WHERE limited IS NOT NULL GROUP BY 1, 2)
+SELECT w.profile, count(*) AS n, min(worst)::INT AS least, max(worst)::INT AS greatest, round_even(avg(worst), 2)::DOUBLE AS mean, {bands}, any_value(t.limits) AS limits FROM w JOIN (SELECT profile, string_agg(limited || ':' || c, ',' ORDER BY r) AS limits FROM l WHERE r <= 10 GROUP BY 1) t ON t.profile = w.profile GROUP BY 1"""
+
+
+@query("profile_grades", _profile_sql())
+def profile_grades(spark, d):
+    """profile_audit with its limits as text."""
+    out = G.profile_audit(G.compact_grades(G.grade_features(G.prepare_features(ways(spark, d)))))
+    return out.withColumn("limits", F.array_join(F.transform("limits", lambda x: F.concat_ws(":", x["limit"], x["c"])), ","))
