@@ -376,7 +376,13 @@ def terrain_slope(spark, d):
     return R.slope_percent(dem, -25.4, 0.0003).select("px", "py", F.round("slope_percent", 6).alias("slope_percent"))
 
 
-@query("terrain_classes")
+@query("terrain_classes", """WITH e AS (SELECT px, py, elev::DOUBLE AS h FROM net_dem),
+       a AS (SELECT e.px, e.py, sum(n.h * exp(-power(n.px - e.px, 2) / 2.0::DOUBLE)) / sum(exp(-power(n.px - e.px, 2) / 2.0::DOUBLE)) AS h FROM e JOIN e n ON n.py = e.py AND n.px BETWEEN e.px - 3 AND e.px + 3 GROUP BY 1, 2),
+       b AS (SELECT a.px, a.py, sum(n.h * exp(-power(n.py - a.py, 2) / 2.0::DOUBLE)) / sum(exp(-power(n.py - a.py, 2) / 2.0::DOUBLE)) AS h FROM a JOIN a n ON n.px = a.px AND n.py BETWEEN a.py - 3 AND a.py + 3 GROUP BY 1, 2),
+       s AS (SELECT sqrt(power(coalesce(dx, 0) / (0.0003::DOUBLE * 111320 * cos(radians(-25.4 - (py + 0.5) * 0.0003))), 2) + power(coalesce(dy, 0) / (0.0003::DOUBLE * 110574), 2)) * 100 AS slope FROM (
+       SELECT px, py, (coalesce(lead(h) OVER r, h) - coalesce(lag(h) OVER r, h)) / nullif(coalesce(lead(px) OVER r, px) - coalesce(lag(px) OVER r, px), 0) AS dx, (coalesce(lead(h) OVER c, h) - coalesce(lag(h) OVER c, h)) / nullif(coalesce(lead(py) OVER c, py) - coalesce(lag(py) OVER c, py), 0) AS dy
+       FROM b WINDOW r AS (PARTITION BY py ORDER BY px), c AS (PARTITION BY px ORDER BY py)) t)
+       SELECT (slope > 2)::INT + (slope > 5)::INT + (slope > 8.33)::INT + (slope > 12.5)::INT AS terrain, count(*) AS n FROM s GROUP BY 1""")
 def terrain_classes(spark, d):
     dem = view(spark, d, "net_dem").withColumn("elev", F.col("elev").cast("double"))
     return R.classify_terrain(R.slope_percent(R.smooth_gaussian(dem, 1.0), -25.4, 0.0003)).groupBy("terrain").agg(F.count("*").alias("n"))
