@@ -1,8 +1,8 @@
 """Ids of whole texts by the tokenizers library, at the speed of a table lookup for the words seen before.
 
 A text is cut where every tokenizer here has a boundary anyway: before a single space between two visible characters, and between a
-Latin letter and one of ``. , ! ? ; :``. Neither a pre-token nor a normalisation crosses such a place, so the ids of the pieces, joined,
-are the ids of the text. Pieces are looked up by a 64-bit hash in a bounded table; the tokenizers library encodes those not in it.
+Latin letter and one of ``. , ! ? ; :``. Neither a pre-token nor a normalisation nor a special token crosses such a place, so the ids of
+the pieces, joined, are the ids of the text. Pieces are looked up by a 64-bit hash in a bounded table; the tokenizers library encodes those not in it.
 """
 
 from __future__ import annotations
@@ -48,7 +48,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.t = Tokenizer.from_file(path)
-        self.t.encode_special_tokens = True
         self.clear()
 
     def clear(self) -> None:
