@@ -3,8 +3,10 @@
 Base: emails, IP addresses, cards and phones by fixed patterns, in linear time for any text. Each distinct value is a protected entity.
 Corpus counts over all documents: df(e), documents that hold an entity; df(t), that hold a term; df(t, e), that hold the term within
 CONTEXT words of the entity. A term's disclosure of an entity is PMI(t, e) / IC(e), the share of the entity's information that the term
-gives away: 1 where the term occurs nowhere else. Terms that disclose an entity by REMOVE or more are marked for removal wherever they
-stand, by GENERALISE or more for a general word, if they stand by it in SUPPORT different texts at least.
+gives away: 1 where the term occurs nowhere else. So that a chance meeting doesn't count as much as many, the share of a term's documents
+that hold the entity enters PMI by its lower confidence bound (Wilson's, at SURE standard deviations, over the different texts that have
+both). Terms that disclose an entity by REMOVE or more are marked for removal wherever they stand, by GENERALISE or more for a general
+word. sanitised() rewrites the texts: base spans and terms to generalise give way to the name of their class, terms to remove go.
 
 Candidates and marked terms reach the passes over texts as Bloom filters of fixed size; exact joins decide afterwards.
 Edge cases: null text is empty; a text without spans has an empty list; rows that repeat a doc_id and text are scored alike and each
@@ -21,12 +23,13 @@ import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pednet.llm import common
 
 KINDS = ("email", "ip", "card", "phone", "generalise", "remove")
 CONTEXT = 8
-SUPPORT = 3
+SURE = 1.96
 REMOVE = 0.95
 GENERALISE = 0.9
 LEAST_BYTES = 3
@@ -67,7 +70,7 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
         out += [(s, 0, e) for s, e in emails(text)]
     if _DIGIT.search(text):
         if "." in text:
-            out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in m[0].split("."))]
+            out += [(m.start(), 1, m.end()) for m in _IP.finditer(text) if all(len(p) <= 3 and int(p or 0) <= 255 for p in (x.lstrip("0") for x in m[0].split(".")))]
         for m in _CARD.finditer(text):
             digits = m[0].replace(" ", "").replace("-", "")
             if 12 <= len(digits) <= 19 and luhn(digits):
@@ -108,7 +111,7 @@ def found(docs: DataFrame) -> DataFrame:
                         places = [(int(np.searchsorted(we, lead[x], "right")), int(np.searchsorted(ws, lead[y], "left")), entity(k, texts[i][x:y])) for x, k, y in s]
                         for x, y, _ in places:
                             own[x:y] = True
-                        fine = ~own & (we - ws >= LEAST_BYTES) & (data[ws] >= 65)
+                        fine = ~own & (we - ws >= LEAST_BYTES)
                         for x, y, e in places:
                             for j in [*range(max(0, x - CONTEXT), x), *range(y, min(len(ws), y + CONTEXT))]:
                                 if fine[j]:
@@ -188,28 +191,80 @@ def revealing(near: DataFrame, docs: DataFrame, n: int) -> DataFrame:
     """t and kind (of KINDS) of the terms whose disclosure of some entity reaches a threshold. near: e, t, row; t 0: the entity itself."""
     pairs = near.groupBy("e", "t").agg(F.count("*").alias("both"), F.countDistinct("row").alias("texts"))
     pairs = common.written(pairs, "pairs")
-    candidates = pairs.where("t <> 0").where(F.col("texts") >= SUPPORT)
+    of = pairs.where("t = 0").select("e", F.col("both").alias("of_e")).where(F.col("of_e") < n)
+    # no term of so few texts can reach the threshold, even if all that hold it hold the entity
+    share = lambda p: 1 + F.log2(p) / F.log2(F.lit(float(n)) / F.col("of_e"))
+    candidates = common.written(pairs.where("t <> 0").join(of, "e").where(share(lower_bound(F.lit(1.0), F.col("texts"))) >= GENERALISE), "candidates")
+    common.drop(pairs)
     df = term_counts(docs, term_filter(candidates.select("t").distinct()))
-    of = pairs.where("t = 0").select("e", F.col("both").alias("of_e"))
-    share = 1 - F.log2(F.col("df") / F.col("both")) / F.log2(F.lit(float(n)) / F.col("of_e"))
-    rows = candidates.join(of, "e").where(F.col("of_e") < n).join(df, "t").groupBy("t").agg(F.max(share).alias("share"))
+    rows = candidates.join(df, "t").withColumn("share", share(lower_bound(F.col("both") / F.col("df"), F.col("texts"))))
+    rows = rows.groupBy("t").agg(F.max("share").alias("share"))
     return rows.where(F.col("share") >= GENERALISE).select("t", F.when(F.col("share") >= REMOVE, 5).otherwise(4).alias("kind"))
 
 
-def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, base (spans of the patterns) and spans (these and revealing terms), sorted by start, then kind."""
-    common.ready(docs.sparkSession)
-    rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    base = common.written(found(rows), "base")
+def lower_bound(p, n):
+    """Wilson's lower bound of a share p seen n times."""
+    z = SURE * SURE
+    return (p + z / (2 * n) - SURE * F.sqrt((p * (1 - p) + z / (4 * n)) / n)) / (1 + z / n)
+
+
+def spans_of(docs: DataFrame) -> DataFrame:
+    """id, row (hash of the text), base (spans of the patterns) and spans (these and revealing terms), sorted by start, then kind. docs: id, text."""
+    base = common.written(found(docs), "base")
     near = base.select("row", F.explode("near").alias("x")).select("row", "x.e", "x.t")
-    marked = common.written(revealing(near, rows, base.count()), "marked")
-    places = term_places(rows, term_filter(marked.select("t"))).join(marked, "t").select("id", "row", F.struct("start", "kind", "end").alias("s")).distinct()
+    marked = common.written(revealing(near, docs, base.count()), "marked")
+    places = term_places(docs, term_filter(marked.select("t"))).join(marked, "t").select("id", "row", F.struct("start", "kind", "end").alias("s")).distinct()
     places = places.groupBy("id", "row").agg(F.collect_list("s").alias("terms"))
     same = base["id"].eqNullSafe(places["id"]) & (base["row"] == places["row"])
     out = base.join(places, same, "left")
     inside = lambda s: F.exists(F.col("spans"), lambda x: (x["start"] < s["end"]) & (s["start"] < x["end"]))
     terms = F.filter(F.coalesce("terms", F.array().cast("array<struct<start:int,kind:int,end:int>>")), lambda s: ~inside(s))
-    return out.select(base["id"], F.col("spans").alias("base"), F.array_sort(F.concat("spans", terms)).alias("spans"))
+    return out.select(base["id"], base["row"], F.col("spans").alias("base"), F.array_sort(F.concat("spans", terms)).alias("spans"))
+
+
+def personal_data(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """id, base (spans of the patterns) and spans (these and revealing terms), sorted by start, then kind."""
+    common.ready(docs.sparkSession)
+    return spans_of(docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))).drop("row")
+
+
+def general(term: str) -> str:
+    """A class that a term belongs to: how it is written is all that stays."""
+    if any(c.isdigit() for c in term):
+        return "[number]" if not any(c.isalpha() for c in term) else "[code]"
+    return "[name]" if term[:1].isupper() else "[term]"
+
+
+def rewritten(text: str, spans: list[tuple[int, int, int]]) -> str:
+    """The text without what its spans (start, kind, end) reveal. Overlapping spans are one, of the class of the first."""
+    out, at = [], 0
+    for s, kind, e in sorted(spans):
+        if s >= at:
+            out.append(text[at:s])
+            out.append("" if kind == 5 else general(text[s:e]) if kind == 4 else f"[{KINDS[kind]}]")
+        at = max(at, e)
+    return "".join([*out, text[at:]])
+
+
+def sanitised(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """docs with the text rewritten; nulls stay. All columns pass."""
+    common.ready(docs.sparkSession)
+    spans = spans_of(docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text")))
+    spans = common.written(spans.where(F.size("spans") > 0).select(F.col("id").alias("__id"), F.col("row").alias("__row"), F.col("spans").alias("__spans")).distinct(), "spans")
+
+    def number(batches):
+        for b in batches:
+            keys = [row_key(t) for t in b.column(text_column).to_pylist()]
+            yield pa.record_batch([*b.columns, pa.array(keys, pa.int64())], names=[*b.schema.names, "__row"])
+
+    def rewrite(batches):
+        for b in batches:
+            texts = [rewritten(t, [(s["start"], s["kind"], s["end"]) for s in x]) if x else t for t, x in zip(b.column(text_column).to_pylist(), b.column("__spans").to_pylist(), strict=True)]
+            yield b.set_column(b.schema.get_field_index(text_column), text_column, pa.array(texts, pa.string())).drop_columns(["__spans"])
+
+    marked = docs.mapInArrow(number, T.StructType([*docs.schema.fields, T.StructField("__row", T.LongType())]))
+    same = marked[id_column].cast("long").eqNullSafe(spans["__id"]) & (marked["__row"] == spans["__row"])
+    return marked.join(spans, same, "left").select(*[marked[c] for c in docs.columns], "__spans").mapInArrow(rewrite, docs.schema)
 
 
 def text_of(spans):
@@ -221,4 +276,4 @@ def op7_personal_data(spark, sf_dir: str) -> DataFrame:
     out = personal_data(common.documents(spark, sf_dir))
     count = [F.size(F.array_remove(F.col("base.kind"), k)) for k in range(4)]
     count = [(F.size("base") - c).cast("long").alias(f"n_{k}") for c, k in zip(count, KINDS, strict=False)]
-    return out.select(F.col("id").alias("doc_id"), *count, F.sha2(text_of(F.col("base")), 256).alias("base_sha256"), text_of(F.col("spans")).alias("spans"))
+    return out.select(F.col("id").alias("doc_id"), *count, F.sha2(text_of(F.col("base")), 256).alias("base_sha256"), text_of(F.col("spans")).alias("spans"), F.size("base").cast("long").alias("n_base"), F.size("spans").cast("long").alias("n_spans"))
