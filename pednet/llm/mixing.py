@@ -5,10 +5,11 @@ others by weight. Rates: of all document rates w in (0, MOST) that meet each sou
 distance to equal rates are w = MOST / (1 + exp(-(a + b z))), z the document's size over its source's mean: an exponentially tilted odds.
 Newton iterations on the convex dual find b of every source at once; each is an aggregation over (source, size, documents) counts.
 Copies: the whole part of a rate, and one more where a hash of doc_id falls below its fraction; then rounds of one exchange a source
-close the gap: each round gives one document, the largest that still fits, one more copy.
+close the gap to CLOSE of the target: each gives or takes one copy of a document, the largest that still fits, until none does.
 
 Edge cases: null text has size 0; a null source is a source of its own and the last; documents of size 0 get the copies of their rate;
-rows that repeat a doc_id share its decisions; an empty table gives no rows; sources without words have target 0.
+rows that repeat a doc_id share its decisions, and those
+without one go by their text; an empty table gives no rows; sources without words have target 0.
 """
 
 from __future__ import annotations
@@ -23,9 +24,9 @@ from pednet.llm import common
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
 MOST = 2
-NEWTON_ROUNDS = 40
 CLOSE = 1e-4
-EXCHANGES = 8
+#: Newton steps that fall outside what is known of b are halvings, so this many always do.
+NEWTON_ROUNDS = 200
 #: Parts of a source in joins by source.
 SALT = 64
 #: Log odds of the rate that every document has before any tilt.
@@ -54,7 +55,7 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: flo
 
 def by_source(rows: DataFrame, small: DataFrame) -> DataFrame:
     """rows with the columns of their source; a source's rows are dealt to SALT keys, so that a hot one doesn't meet in one task."""
-    salted = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALT)).cast("int"))
+    salted = rows.withColumn("__salt", F.pmod(F.xxhash64("key"), F.lit(SALT)).cast("int"))
     each = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
     return salted.join(each, ["absent", "src", "__salt"]).drop("__salt")
 
@@ -96,6 +97,8 @@ def balance(counts: DataFrame, sources: DataFrame) -> DataFrame:
         after = common.written(after, "tilt")
         common.drop(state)
         state = after
+    else:
+        raise RuntimeError("balance: a source's target isn't met")
     return state
 
 
@@ -103,39 +106,48 @@ def mix(docs: DataFrame) -> DataFrame:
     """docs with __size, __source_size, __target and __copies. docs needs doc_id, text and source; other columns pass."""
     rows = sized(docs)
     key = [F.col("__absent").alias("absent"), F.col("__src").alias("src")]
-    slim = common.written(rows.select("doc_id", *key, F.col("__size").alias("size")), "sizes")
+    slim = common.written(rows.select("doc_id", decided_by().alias("key"), *key, F.col("__size").alias("size")), "sizes")
     counts = common.written(slim.groupBy("absent", "src", "size").agg(F.count("*").alias("n")), "counts")
     totals = counts.groupBy("absent", "src").agg(F.sum(F.col("size") * F.col("n")).cast("long").alias("total"), F.sum("n").alias("docs"))
     state = balance(counts, targets(totals.select("absent", "src", "total")).join(totals.drop("total"), ["absent", "src"]))
     tilt = state.select("absent", "src", F.col("total").alias("source_size"), "target", "mean", "b", (F.col("target") <= 0).alias("none"))
     w = F.when(F.col("none"), 0.0).otherwise(rate(F.col("b"), F.when(F.col("mean") > 0, F.col("size") / F.col("mean")).otherwise(F.lit(0.0))))
-    unit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)) / float(1 << 40)
-    drawn = by_source(slim, tilt).select("doc_id", "absent", "src", "size", "source_size", "target", F.least(F.floor(w) + F.when(unit < w - F.floor(w), 1).otherwise(0), F.lit(MOST)).cast("int").alias("copies"))
+    unit = F.pmod(F.xxhash64("key"), F.lit(1 << 40)) / float(1 << 40)
+    drawn = by_source(slim, tilt).select("doc_id", "key", "absent", "src", "size", "source_size", "target", F.least(F.floor(w) + F.when(unit < w - F.floor(w), 1).otherwise(0), F.lit(MOST)).cast("int").alias("copies"))
     drawn = common.written(drawn, "drawn")
-    more = None
-    for _ in range(EXCHANGES):  # a row a source and round
-        now = drawn.withColumn("add", F.lit(0)) if more is None else drawn.join(more.groupBy("absent", "src", "doc_id").agg(F.sum("step").alias("add")), ["absent", "src", "doc_id"], "left").fillna(0, ["add"])
+    common.drop(slim, counts)
+    more, of = None, ["absent", "src", "key"]
+    while True:  # a row a source and round; a gap gets less with each
+        now = drawn.withColumn("add", F.lit(0)) if more is None else drawn.join(more.groupBy(*of).agg(F.sum("step").alias("add")), of, "left").fillna(0, ["add"])
         now = now.withColumn("copies", F.col("copies") + F.col("add"))
-        gap = now.groupBy("absent", "src").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"))
-        fit = by_source(now.where("size > 0"), gap)
-        up = F.when((F.col("gap") >= F.col("size") / 2) & (F.col("gap") > 0) & (F.col("copies") < MOST), F.when(F.col("size") <= F.col("gap") * 1.5, F.struct("size", -F.col("doc_id"))))
-        down = F.when((-F.col("gap") >= F.col("size") / 2) & (F.col("gap") < 0) & (F.col("copies") > 0), F.when(F.col("size") <= -F.col("gap") * 1.5, F.struct("size", -F.col("doc_id"))))
+        gap = now.groupBy("absent", "src").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"), F.first("target").alias("goal")).where(F.abs("gap") > CLOSE * F.col("goal"))
+        # only documents of one row change: rows that share a document's decisions would all take the step
+        alone = now.where("size > 0").groupBy(*of).agg(F.first("size").alias("size"), F.first("copies").alias("copies"), F.count("*").alias("n")).where("n = 1")
+        fit = by_source(alone, gap)
+        up = F.when((F.col("gap") >= F.col("size") / 2) & (F.col("gap") > 0) & (F.col("copies") < MOST), F.when(F.col("size") <= F.col("gap") * 1.5, F.struct("size", "key")))
+        down = F.when((-F.col("gap") >= F.col("size") / 2) & (F.col("gap") < 0) & (F.col("copies") > 0), F.when(F.col("size") <= -F.col("gap") * 1.5, F.struct("size", "key")))
         pick = fit.groupBy("absent", "src").agg(F.max(up).alias("u"), F.max(down).alias("d")).where("u is not null or d is not null")
-        pick = pick.select("absent", "src", (-F.coalesce("u", "d").getField("col2")).alias("doc_id"), F.when(F.col("u").isNotNull(), 1).otherwise(-1).alias("step"))
+        pick = pick.select("absent", "src", F.coalesce("u", "d").getField("key").alias("key"), F.when(F.col("u").isNotNull(), 1).otherwise(-1).alias("step"))
         pick = common.written(pick, "exchange")
         if pick.isEmpty():
             break
         more = pick if more is None else more.unionByName(pick)
     if more is not None:
-        drawn = drawn.join(more.groupBy("absent", "src", "doc_id").agg(F.sum("step").cast("int").alias("add")), ["absent", "src", "doc_id"], "left").fillna(0, ["add"]).withColumn("copies", F.greatest(F.lit(0), F.least(F.lit(MOST), F.col("copies") + F.col("add")))).drop("add")
+        drawn = drawn.join(more.groupBy(*of).agg(F.sum("step").cast("int").alias("add")), of, "left").fillna(0, ["add"]).withColumn("copies", F.greatest(F.lit(0), F.least(F.lit(MOST), F.col("copies") + F.col("add")))).drop("add")
     return drawn
 
 
+def decided_by():
+    """What a row's decisions go by: its doc_id, or its text where it has none."""
+    return F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")).otherwise(F.xxhash64("text", F.lit(1)))
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """docs, each row as often as the mix takes it."""
     rows = sized(docs)
-    copies = mix(docs).groupBy("doc_id", "absent", "src", "size").agg(F.max("copies").alias("__copies"))
-    same = (rows["doc_id"].eqNullSafe(copies["doc_id"])) & (rows["__absent"] == copies["absent"]) & (rows["__src"] == copies["src"]) & (rows["__size"] == copies["size"])
+    rows = rows.withColumn("__key", decided_by())
+    copies = mix(docs).groupBy("key", "absent", "src", "size").agg(F.max("copies").alias("__copies"))
+    same = (rows["__key"] == copies["key"]) & (rows["__absent"] == copies["absent"]) & (rows["__src"] == copies["src"]) & (rows["__size"] == copies["size"])
     out = rows.join(copies, same).where("__copies > 0")
     return out.select(*[rows[c] for c in docs.columns], F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__nth")).drop("__nth")
 
