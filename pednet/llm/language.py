@@ -1,13 +1,13 @@
 """Language ID by language-bitmask n-gram filters.
 
 Training counts character n-grams of GRAM characters (lower-cased, runs of anything but letters as one space) for each language over
-all training rows. A language has an n-gram if it uses it LEAST_COUNT times or more, and at SHARE or more of the rate of the language that uses it most.
-The filter is a bit-sliced Bloom filter: SLOTS slots, each a bitmask of languages; an n-gram sets its languages' bits in HASHES slots, so the
+all training rows. A language has an n-gram if that is LEAST_RATE or more of its n-grams, and SHARE or more of the rate of the language
+that uses it most. The filter is a bit-sliced Bloom filter: slots by the number of known n-grams, each a bitmask of languages; an n-gram sets its languages' bits in HASHES slots, so the
 AND of those slots gives all languages that contain it in one probe. A language's filled slots, to the power of HASHES, is its rate of
 false positives. Prediction counts for each language the n-grams of the text that hit it, corrects the count for false positives, and
 takes the highest; the score is that language's corrected share of the n-grams, from 0 to 1.
 
-What reaches the driver and is broadcast is the filter, SLOTS * 8 bytes for every 64 languages.
+What reaches the driver and is broadcast is the filter, 32 MB at most for every 64 languages.
 Edge cases: null text or text without a letter is `und` with score 0; ties go to the first language by code point; rows with null lang or
 null text don't train; without training rows everything is `und`; repeated rows train as often as they come.
 """
@@ -24,10 +24,13 @@ from pyspark.sql import types as T
 from pednet.llm import common
 
 GRAM = 4
-SLOTS = 1 << 20
 HASHES = 2
-LEAST_COUNT = 3
+#: A language has an n-gram at this share of all its n-grams or more, so that it has a million at most, whatever the corpus.
+LEAST_RATE = 1e-6
 SHARE = 0.1
+#: Slots for each known n-gram, and the least and the most slots (8 bytes for every 64 languages).
+ROOM = 4
+SLOTS = (1 << 16, 1 << 22)
 
 _letters: list[np.ndarray] = []
 
@@ -70,9 +73,8 @@ def grams(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return common.mix(h[same]), doc[: len(h)][same], has
 
 
-def slots(h: np.ndarray) -> list[np.ndarray]:
-    n = np.uint64(SLOTS - 1)
-    return [((h >> np.uint64(24 * i)) & n).astype(np.int64) for i in range(HASHES)]
+def slots(h: np.ndarray, n: int) -> list[np.ndarray]:
+    return [((h >> np.uint64(24 * i)) & np.uint64(n - 1)).astype(np.int64) for i in range(HASHES)]
 
 
 class Filter:
@@ -86,7 +88,7 @@ class Filter:
     def hits(self, h: np.ndarray, doc: np.ndarray, n_docs: int) -> np.ndarray:
         """For each document and language, the n-grams that hit."""
         found = None
-        for s in slots(h):
+        for s in slots(h, len(self.masks)):
             found = self.masks[s] if found is None else found & self.masks[s]
         out = np.zeros((n_docs, len(self.languages)), np.int64)
         for i in range(len(self.languages)):
@@ -130,7 +132,7 @@ def train(rows: DataFrame) -> Filter:
                     u, n = np.unique(h[of == i], return_counts=True)
                     held.setdefault(name, []).append((u, n))
                     waiting += len(u)
-            if waiting > 1_500_000:
+            if waiting > 500_000:
                 yield from flush()
                 held, waiting = {}, 0
         yield from flush()
@@ -141,12 +143,13 @@ def train(rows: DataFrame) -> Filter:
     rate = F.col("n") / F.col("total")
     known = counts.join(F.broadcast(total), "lang").withColumn("rate", rate)  # a row a language
     top = known.groupBy("g").agg(F.max("rate").alias("top"))
-    known = known.where(F.col("n") >= LEAST_COUNT).join(top, "g").where(F.col("rate") >= SHARE * F.col("top"))
+    known = known.where(F.col("rate") >= LEAST_RATE).join(top, "g").where(F.col("rate") >= SHARE * F.col("top"))
+    n = min(SLOTS[1], max(SLOTS[0], 1 << (ROOM * known.count()).bit_length()))
     number = F.create_map(*[x for i, name in enumerate(languages) for x in (F.lit(name), F.lit(i))]) if languages else None
-    masks = np.zeros((SLOTS, max(1, -(-len(languages) // 64))), np.uint64)
+    masks = np.zeros((n, max(1, -(-len(languages) // 64))), np.uint64)
     if languages:
         u = F.col("g")
-        at = [F.shiftrightunsigned(u, 24 * i).bitwiseAND(F.lit(SLOTS - 1).cast("long")) for i in range(HASHES)]
+        at = [F.shiftrightunsigned(u, 24 * i).bitwiseAND(F.lit(n - 1).cast("long")) for i in range(HASHES)]
         bits = known.select(F.explode(F.array(*at)).alias("slot"), number[F.col("lang")].alias("i"))
         bits = bits.groupBy("slot", F.shiftright("i", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, i & 63)")).alias("mask")).toArrow()  # the filter itself
         masks[bits["slot"].to_numpy(), bits["word"].to_numpy()] = bits["mask"].to_numpy().view(np.uint64)
