@@ -1,8 +1,8 @@
 """Packing: documents' ids into sequences of at most WINDOW ids, by non-negative least squares on the length histogram (Krell et al. 2021).
 
 A document is cut into pieces of WINDOW ids and a rest. Rests are counted by length in steps of STEP ids. Every combination of up to three
-lengths that fills a window is a column; non-negative least squares gives each column's repeat count; counts are rounded down, and a
-greedy best fit packs what is left. Only the histogram (WINDOW / STEP numbers) and the plan made from it pass through the driver. Pieces
+lengths, or of a run of one length and another, that fills a window is a column; non-negative least squares gives each column's repeat count; counts are rounded, and a greedy
+best fit packs what is left. Only the histogram (WINDOW / STEP numbers) and the plan made from it pass through the driver. Pieces
 find their sequence by their rank among the pieces of one length, from ranks within a task and offsets of tasks.
 
 Edge cases: null text is an empty document of one id (the end id); repeated rows are documents of their own; an empty table gives no rows.
@@ -23,50 +23,56 @@ from pednet.llm import common, tokens
 WINDOW = 2048
 STEP = 8
 END_ID = 1
-NNLS_ROUNDS = 400
 
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, task int, bin int, local long"
 
 
-def combinations(size: int) -> np.ndarray:
-    """Columns of three lengths (0: none) that add up to size, each once."""
-    out = [(size, 0, 0)]
-    out += [(size - b, b, 0) for b in range(1, size // 2 + 1)]
-    out += [(size - b - c, b, c) for c in range(1, size // 3 + 1) for b in range(c, (size - c) // 2 + 1)]
-    return np.array(out, np.int64)
-
-
-def solve(columns: np.ndarray, histogram: np.ndarray, rounds: int = NNLS_ROUNDS) -> np.ndarray:
-    """x >= 0 that comes near min |A x - histogram|, by multiplicative updates; A counts each column's lengths."""
-    n = len(histogram)
-    used = columns > 0
-
-    def times(x):
-        return np.bincount(columns.ravel(), np.repeat(x, 3) * used.ravel(), n)[:n]
-
-    def back(y):
-        return (y[columns] * used).sum(1)
-
-    goal = back(histogram.astype(float))
-    x = goal / max(1.0, goal.max()) * histogram.sum() / max(1, len(columns))
-    for _ in range(rounds):
-        x *= goal / np.maximum(back(times(x)), 1e-12)
-    return x
+def combinations(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shallow fillings that add up to size, each once: up to three lengths, or a run of one length and another. Rows of lengths (0: none)
+    and of how often each stands there."""
+    one = [((size - b - c, b, c), (1, 1, 1)) for c in range(size // 3 + 1) for b in range(c, (size - c) // 2 + 1)]
+    runs = [((b, size - k * b, 0), (k, 1, 0)) for b in range(1, size // 3 + 1) for k in range(3, size // b + 1)]
+    return tuple(np.array(x, np.int64) for x in zip(*one, *runs, strict=True))
+
+
+def solve(lengths: np.ndarray, times: np.ndarray, histogram: np.ndarray) -> np.ndarray:
+    """x >= 0 of least |A x - histogram| by the active-set method (Lawson and Hanson 1974); A counts each column's lengths. As many x at most
+    are above zero as there are lengths. It ends when no length is off by half a piece, or no column makes the sum of squares less."""
+    a = np.zeros((len(histogram), len(lengths)))
+    np.add.at(a, (lengths.ravel(), np.repeat(np.arange(len(lengths)), lengths.shape[1])), times.ravel())
+    a[0] = 0  # length 0 stands for nothing
+    goal, x, active = histogram.astype(float), np.zeros(len(lengths)), np.zeros(len(lengths), bool)
+    goal[0], least, tried = 0, np.inf, np.zeros(len(lengths), bool)  # tried: columns that made no difference since the last that did
+    while True:
+        rest = goal - a @ x
+        if np.abs(rest).max() < 0.5:
+            return x
+        if rest @ rest < least * (1 - 1e-9):
+            least, tried[:] = rest @ rest, False
+        slope = np.where(active | tried, -np.inf, a.T @ rest)
+        new = slope.argmax()
+        if slope[new] <= 1e-7 * max(1.0, goal.max()):
+            return x
+        active[new] = tried[new] = True
+        while True:
+            at = np.flatnonzero(active)
+            gram = a[:, at].T @ a[:, at]
+            z = np.linalg.solve(gram + 1e-10 * np.eye(len(at)), a[:, at].T @ goal)
+            if (z > 0).all():
+                x[at] = z
+                break
+            low = z <= 0
+            way = (x[at][low] / np.maximum(x[at][low] - z[low], 1e-300)).min()
+            x[at] += way * (z - x[at])
+            gone = at[x[at] <= 1e-9 * max(1.0, goal.max())]
+            gone = gone if len(gone) else at[low][:1]
+            x[gone], active[gone] = 0, False
 
 
 def plan(histogram: np.ndarray) -> list[tuple[list[int], int]]:
     """(lengths of a sequence, how many such sequences) that use up the histogram; index: length in steps."""
-    size, left, out = len(histogram) - 1, histogram.astype(np.int64).copy(), []
-    columns = combinations(size)
-    repeat = np.floor(solve(columns, left) + 1e-9).astype(np.int64)
-    for k in np.argsort(-repeat, kind="stable"):
-        if repeat[k] <= 0:
-            break
-        lengths, need = np.unique(columns[k][columns[k] > 0], return_counts=True)
-        n = int(min(repeat[k], (left[lengths] // need).min()))
-        if n > 0:
-            left[lengths] -= n * need
-            out.append((columns[k][columns[k] > 0].tolist(), n))
+    size, left = len(histogram) - 1, histogram.astype(np.int64).copy()
+    out = solved(left)
     while left.any():  # the largest first, then whatever fits best; a filling is repeated as often as its lengths last
         room, filling, now = size, [], left.copy()
         while room > 0 and (fits := np.flatnonzero(now[: room + 1])).size:
@@ -80,6 +86,25 @@ def plan(histogram: np.ndarray) -> list[tuple[list[int], int]]:
     return out
 
 
+def solved(left: np.ndarray) -> list[tuple[list[int], int]]:
+    """What the solution fills, rounded: the whole part of each count, then one more for the largest fractions that still find their pieces.
+    Takes the pieces out of left."""
+    columns, times = combinations(len(left) - 1)
+    x, out = solve(columns, times, left), []
+    whole = np.floor(x + 1e-6).astype(np.int64)
+    for count, order in ((whole, np.argsort(-whole, kind="stable")), ((x - whole > 1e-6).astype(np.int64), np.argsort(whole - x, kind="stable"))):
+        for k in order.tolist():
+            if count[k] <= 0:
+                break
+            filling = np.repeat(columns[k], times[k] * (columns[k] > 0))
+            lengths, need = np.unique(filling, return_counts=True)
+            n = int(min(count[k], (left[lengths] // need).min()))
+            if n > 0:
+                left[lengths] -= n * need
+                out.append((filling.tolist(), n))
+    return out
+
+
 def segments(the_plan: list[tuple[list[int], int]]) -> dict[int, np.ndarray]:
     """For each length, rows (first rank, first sequence, pieces of this length a sequence, slot), by rank."""
     rank, out, sequence = {}, {}, 0
