@@ -1,11 +1,13 @@
 """Token-id output: documents as ids in shards, each compressed by a Re-Pair grammar (Larsson and Moffat 2000).
 
-A shard holds about SHARD_IDS ids of whole documents in ascending doc_id order. Rounds replace frequent adjacent id pairs by new symbols;
-no symbol crosses a document's end, so a document, or any range of ids, is decoded from its own symbols by the rules' stored expansion
-lengths. Pairs of one round share no id between left and right sides, so replacements cannot overlap; a pair of equal ids has its own round.
+A shard holds about SHARD_IDS ids of whole documents in ascending doc_id order. Rounds replace adjacent id pairs by new symbols until no
+pair occurs LEAST_COUNT times; no symbol crosses a document's end, so a document, or any range of ids, is decoded from its own symbols by the
+rules' stored expansion lengths. A round replaces each pair where it is more frequent than the pairs that overlap it, so the most frequent
+pair is replaced everywhere and others wherever they don't stand in its way; in a run of one id every second pair counts.
 
 The file format is a Parquet table with one row a shard (columns: SHARDS).
-Edge cases: null text is empty (only the end id); null doc_id sorts first; rows with one doc_id are ordered by text; an empty table gives none.
+Edge cases: null text is empty (only the end id); null doc_id sorts first; rows with one doc_id (or without one) are ordered by a hash of their text, so that
+many of them spread over tasks; an empty table gives none.
 """
 
 from __future__ import annotations
@@ -21,9 +23,10 @@ from pyspark.sql import functions as F
 from pednet.llm import common, tokens
 
 SHARD_IDS = 1 << 20
-ROUNDS = 10
-PAIRS_A_ROUND = 1024
-LEAST_COUNT = 12
+#: A rule (8 bytes: two symbols and an expansion length) pays from so many uses on, each of which saves a symbol of 2 bytes.
+LEAST_COUNT = 5
+#: Pairs are counted by this many bits of a hash first, and exactly where a hash has LEAST_COUNT pairs or more.
+HASH_BITS = 20
 END_ID = 1
 
 SHARDS = "part int, shard int, doc_ids binary, null_ids binary, n_ids binary, symbols_before binary, terminals binary, left binary, right binary, expansion binary, symbols binary, ids long"
@@ -36,52 +39,31 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> dict:
     last = np.zeros(len(seq), bool)
     last[ends[ends > 0] - 1] = True
     left, right, t = [], [], len(terminals)
-    for _ in range(ROUNDS):
-        if len(seq) < 2:
-            break
+    while len(seq) > 1:
         a, b = seq[:-1], seq[1:]
-        bucket = ((a * np.uint32(2654435761)) ^ (b * np.uint32(2246822519))) >> np.uint32(12)
         ok = ~last[:-1]
-        count = np.bincount(bucket[ok], minlength=1 << 20)
-        full = np.flatnonzero(count >= LEAST_COUNT)
-        if not len(full):
-            break
-        if len(full) > 2 * PAIRS_A_ROUND:
-            full = full[np.argpartition(-count[full], 2 * PAIRS_A_ROUND)[: 2 * PAIRS_A_ROUND]]
-        hot = np.zeros(1 << 20, bool)
-        hot[full] = True
-        at = np.flatnonzero(hot[bucket] & ok)
-        key, n = np.unique((a[at].astype(np.uint64) << np.uint64(32)) | b[at], return_counts=True)
-        order = np.argsort(-n, kind="stable")
-        lefts, rights, taken = set(), set(), []
-        for k in order[: 2 * PAIRS_A_ROUND].tolist():
-            if n[k] < LEAST_COUNT or len(taken) >= PAIRS_A_ROUND:
-                break
-            x, y = int(key[k]) >> 32, int(key[k]) & 0xFFFFFFFF
-            if x == y:
-                if not taken:
-                    taken = [k]
-                    break
-                continue
-            if x not in rights and y not in lefts:
-                lefts.add(x)
-                rights.add(y)
-                taken.append(k)
-        if not taken:
-            break
-        chosen = np.sort(key[taken])
-        mine = (a[at].astype(np.uint64) << np.uint64(32)) | b[at]
-        pos = np.searchsorted(chosen, mine)
-        hit = chosen[np.minimum(pos, len(chosen) - 1)] == mine
-        at, rule = at[hit], pos[hit]
-        if len(taken) == 1 and int(chosen[0]) >> 32 == int(chosen[0]) & 0xFFFFFFFF:  # runs of one id: every second place
+        at = np.flatnonzero((a == b) & ok)
+        if len(at):  # runs of one id: every second place
             run = np.concatenate([[True], np.diff(at) > 1])
-            keep = (np.arange(len(at)) - np.flatnonzero(run)[np.cumsum(run) - 1]) % 2 == 0
-            at, rule = at[keep], rule[keep]
-        base = t + len(left)
-        left += (chosen >> np.uint64(32)).astype(int).tolist()
-        right += (chosen & np.uint64(0xFFFFFFFF)).astype(int).tolist()
-        seq[at] = base + rule
+            ok[at[(np.arange(len(at)) - np.flatnonzero(run)[np.cumsum(run) - 1]) % 2 == 1]] = False
+        bucket = ((a * np.uint32(2654435761)) ^ (b * np.uint32(2246822519))) >> np.uint32(32 - HASH_BITS)
+        at = np.flatnonzero((np.bincount(bucket[ok], minlength=1 << HASH_BITS) >= LEAST_COUNT)[bucket] & ok)
+        pair, which, n = np.unique((a[at].astype(np.uint64) << np.uint64(32)) | b[at], return_inverse=True, return_counts=True)
+        if not (n >= LEAST_COUNT).any():
+            break
+        rank = np.zeros(len(n), np.int64)
+        rank[np.argsort(n, kind="stable")] = np.arange(1, len(n) + 1)
+        rank[n < LEAST_COUNT] = 0
+        best = np.zeros(len(seq) + 1, np.int64)  # of the pair at each place, with a zero at either end
+        best[at + 1] = rank[which]
+        won = (best[at + 1] > best[at]) & (best[at + 1] > best[at + 2])
+        paying = np.bincount(which[won], minlength=len(n)) >= LEAST_COUNT
+        symbol = np.cumsum(paying) - 1 + t + len(left)
+        won &= paying[which]
+        left += (pair[paying] >> np.uint64(32)).astype(int).tolist()
+        right += (pair[paying] & np.uint64(0xFFFFFFFF)).astype(int).tolist()
+        at, which = at[won], which[won]
+        seq[at] = symbol[which]
         last[at] = last[at + 1]
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
@@ -152,7 +134,7 @@ def encode(docs: DataFrame, tokenizer: str, id_column: str = "doc_id", text_colu
             yield flush()
 
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    return common.written(rows.repartitionByRange("id").sortWithinPartitions("id", "text").mapInArrow(shards, SHARDS), "ids")
+    return common.written(rows.repartitionByRange("id", F.xxhash64("text")).sortWithinPartitions("id", F.xxhash64("text"), "text").mapInArrow(shards, SHARDS), "ids")
 
 
 def decode(shards: DataFrame) -> DataFrame:
