@@ -26,7 +26,7 @@ SHARD_IDS = 1 << 20
 #: A rule (8 bytes: two symbols and an expansion length) pays from so many uses on, each of which saves a symbol of 2 bytes.
 LEAST_COUNT = 5
 #: Pairs are counted by this many bits of a hash first, and exactly where a hash has LEAST_COUNT pairs or more.
-HASH_BITS = 20
+HASH_BITS = 18
 END_ID = 1
 
 SHARDS = "part int, shard int, doc_ids binary, null_ids binary, n_ids binary, symbols_before binary, terminals binary, left binary, right binary, expansion binary, symbols binary, ids long"
@@ -39,35 +39,49 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> dict:
     last = np.zeros(len(seq), bool)
     last[ends[ends > 0] - 1] = True
     left, right, t = [], [], len(terminals)
+    live = np.ones(len(seq), bool)  # where a pair may pay; one that doesn't never will, as its count only gets less
     while len(seq) > 1:
-        a, b = seq[:-1], seq[1:]
-        ok = ~last[:-1]
-        at = np.flatnonzero((a == b) & ok)
-        if len(at):  # runs of one id: every second place
-            run = np.concatenate([[True], np.diff(at) > 1])
-            ok[at[(np.arange(len(at)) - np.flatnonzero(run)[np.cumsum(run) - 1]) % 2 == 1]] = False
+        at = np.flatnonzero(live[:-1] & ~last[:-1])
+        a, b = seq[at], seq[at + 1]
+        same = np.flatnonzero(a == b)
+        if len(same):  # runs of one id: every second place
+            run = np.concatenate([[True], np.diff(at[same]) > 1])
+            once = np.ones(len(at), bool)
+            once[same[(np.arange(len(same)) - np.flatnonzero(run)[np.cumsum(run) - 1]) % 2 == 1]] = False
+            at, a, b = at[once], a[once], b[once]
         bucket = ((a * np.uint32(2654435761)) ^ (b * np.uint32(2246822519))) >> np.uint32(32 - HASH_BITS)
-        at = np.flatnonzero((np.bincount(bucket[ok], minlength=1 << HASH_BITS) >= LEAST_COUNT)[bucket] & ok)
-        pair, which, n = np.unique((a[at].astype(np.uint64) << np.uint64(32)) | b[at], return_inverse=True, return_counts=True)
+        maybe = (np.bincount(bucket, minlength=1 << HASH_BITS) >= LEAST_COUNT)[bucket]
+        live[at[~maybe]] = False
+        wide = np.uint32 if t + len(left) <= 1 << 16 else np.uint64  # of a pair
+        half = wide(4 * wide().itemsize)
+        at, key = at[maybe], (a[maybe].astype(wide) << half) | b[maybe].astype(wide)
+        order = np.argsort(key)
+        new = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])) if len(key) else np.zeros(0, np.int64)
+        pair, n = key[order[new]], np.diff(np.append(new, len(key)))
         if not (n >= LEAST_COUNT).any():
             break
-        rank = np.zeros(len(n), np.int64)
+        which = np.empty(len(key), np.int64)
+        which[order] = np.repeat(np.arange(len(n)), n)
+        rank = np.zeros(len(n), np.int32)
         rank[np.argsort(n, kind="stable")] = np.arange(1, len(n) + 1)
         rank[n < LEAST_COUNT] = 0
-        best = np.zeros(len(seq) + 1, np.int64)  # of the pair at each place, with a zero at either end
+        live[at[n[which] < LEAST_COUNT]] = False
+        best = np.zeros(len(seq) + 1, np.int32)  # of the pair at each place, with a zero at either end
         best[at + 1] = rank[which]
         won = (best[at + 1] > best[at]) & (best[at + 1] > best[at + 2])
         paying = np.bincount(which[won], minlength=len(n)) >= LEAST_COUNT
         symbol = np.cumsum(paying) - 1 + t + len(left)
         won &= paying[which]
-        left += (pair[paying] >> np.uint64(32)).astype(int).tolist()
-        right += (pair[paying] & np.uint64(0xFFFFFFFF)).astype(int).tolist()
+        left += (pair[paying] >> half).astype(int).tolist()
+        right += (pair[paying] & ((wide(1) << half) - wide(1))).astype(int).tolist()
         at, which = at[won], which[won]
         seq[at] = symbol[which]
         last[at] = last[at + 1]
+        live[at] = True
+        live[at[at > 0] - 1] = True
         stay = np.ones(len(seq), bool)
         stay[at + 1] = False
-        seq, last = seq[stay], last[stay]
+        seq, last, live = seq[stay], last[stay], live[stay]
     expansion = np.ones(t + len(left), np.uint32)
     for i, (x, y) in enumerate(zip(left, right, strict=True)):
         expansion[t + i] = expansion[x] + expansion[y]
