@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 #: Bits of the Bloom filters that are broadcast (4 MB). A fuller filter lets more rows through; results stay the same.
 BLOOM_BITS = 1 << 25
 #: Text that the numpy kernels take at once.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 MASK = (1 << 64) - 1
 
@@ -35,6 +35,9 @@ def ready(spark: SparkSession) -> SparkSession:
         spark.conf.set(key, BATCH_ROWS)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     env = spark.sparkContext.environment
+    # workers give what they free back to the system, but for arrays as large as those of a slice of text, which would be mapped anew each time
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", str(12 * SLICE_BYTES))
+    env.setdefault("MALLOC_TRIM_THRESHOLD_", str(32 * SLICE_BYTES))
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH", "")) if x)
     return spark
@@ -259,6 +262,13 @@ def restrict(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     return bloom_test(rows, column, bloom(ids, column)).join(ids, column, "left_semi")
 
 
+def about(rows: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """rows whose long column is among ids; beyond BROADCAST_IDS, a Bloom filter lets some others through, and no row is shuffled."""
+    if ids.count() <= BROADCAST_IDS:
+        return rows.join(F.broadcast(ids), column, "left_semi")
+    return bloom_test(rows, column, bloom(ids, column))
+
+
 def lists(values: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     """A list array of long or binary-free numbers from arrays."""
     off = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
@@ -329,11 +339,11 @@ def _runs(t: pa.Table, key: str) -> tuple[pa.Table, list[int]]:
 # --- keys that several owners have ---------------------------------------------------------------------------
 
 #: Keys that a task packs at once, that a hash range has on average, and that a task holds of a range.
-PACK = 1 << 20
+PACK = 1 << 19
 RANGE = 1 << 15
-HELD = 1 << 22
+HELD = 1 << 20
 #: A key that so many of PACK are is dealt to SALTS rows.
-HOT = 256
+HOT = 128
 SALTS = 32
 
 

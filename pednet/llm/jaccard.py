@@ -9,12 +9,15 @@ power of two above that number); a part's hash is a compound token. Sets that li
    about GROUP classes, and these into blocks of about BLOCK.
 3. The token-group matrix holds each group's union of tokens. The tokens a query shares with that union bound those it shares with any
    member, so only groups with as many as needed are opened; others can't hold a link.
-4. A unit of work is two blocks of a group, or a block of an opened group and a block of its visitors, with their sets. Token counts choose the pairs
-   to verify exactly; pairs already connected within the unit are skipped, so a unit gives fewer links than it has classes.
-5. Distributed union-find over the links gives components.
-
-Edge cases: null or blank text has no set and links with nothing; sets of one to nine shingles link with equal sets only; rows that share a
-doc_id are one document of the graph; a null doc_id gets a null component unless equal texts have an id; an empty table gives no rows.
+4. First each block is verified with a few pivots of its group, and the pivots with those of the groups that they may have links in.
+   Distributed union-find joins these links.
+5. Then the rest, but for what is connected by then: pairs of blocks of a group that is in several components, and blocks of opened groups
+   with their visitors. In each such unit token counts choose the pairs to verify exactly; pairs already connected within it are skipped,
+   so a unit gives fewer links than it has classes. Union-find over all links gives components.
+
+Edge cases: null or blank text has no set and links with nothing; sets of one to eight shingles link with equal sets only (at 90 %); rows that
+share a doc_id are one document, so all their sets are in one component; a null doc_id gets a null component unless equal texts have an id;
+an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pednet.llm import common
@@ -31,6 +34,8 @@ SHINGLE = 3
 PERCENT = 90
 BLOCK = 128
 GROUP = 1024
+#: Of a group, the sets that every block of it is compared with first.
+PIVOTS = 4
 
 
 def most_apart(sizes, percent: int = PERCENT):
@@ -83,52 +88,86 @@ def sets_of(text: pa.Array, k: int = SHINGLE):
         yield np.unique(common.shingles(h[a:b], k))
 
 
+def owner_of(id_: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """What stands for a set at a level, in 64 bits."""
+    with np.errstate(over="ignore"):
+        return common.as_long(common.mix(common.mix(id_.astype(np.int64).view(np.uint64)) + level.astype(np.uint64)))
+
+
 def classes(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """A row for each document and level (level 0 where none): id, k (digest of the set), n, main, level, need, tokens."""
+    """A row for each document and level (level 0 where none): id, k (digest of the set), n, main, level, need, owner."""
 
     def build(batches):
         for batch in batches:
             for b in common.slices(batch):
-                ids, rows, tokens = b.column("id").to_pylist(), [], []
+                ids, rows = b.column("id").to_pylist(), []
                 for i, u in enumerate(sets_of(b.column("text"), shingle)):
                     d = common.digest(u.tobytes())
                     for j, level in enumerate(levels_of(len(u), percent) or [0]):
-                        sig, need = parts(u, level, percent) if level else (np.zeros(0, np.uint64), 0)
-                        rows.append((ids[i], d, len(u), j == 0, level, max(1, need)))
-                        tokens.append(common.as_long(tokens_of(sig, need, level)) if level else np.zeros(0, np.int64))
+                        rows.append((ids[i], d, len(u), j == 0, level, max(1, parts(u, level, percent)[1]) if level else 1))
                 cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
                 kinds = [pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.int32(), pa.int32()]
-                yield pa.record_batch([*(pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)), common.lists(tokens, pa.int64())], names=["id", "k", "n", "main", "level", "need", "tokens"])
+                owner = owner_of(np.array([i or 0 for i in cols[0]], np.int64), np.array(cols[4], np.int64))
+                yield pa.record_batch([*(pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)), pa.array(owner)], names=["id", "k", "n", "main", "level", "need", "owner"])
+
+    return docs.mapInArrow(build, "id long, k binary, n long, main boolean, level int, need int, owner long")
+
+
+def tokens(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """owner and keys: the compound tokens of each document at each of its levels."""
+
+    def build(batches):
+        for batch in batches:
+            for b in common.slices(batch):
+                ids, owners, keys = b.column("id").to_pylist(), [], []
+                for i, u in enumerate(sets_of(b.column("text"), shingle)):
+                    for level in levels_of(len(u), percent):
+                        owners.append((ids[i], level))
+                        keys.append(tokens_of(*parts(u, level, percent), level).tobytes())
+                o = np.array(owners, np.int64).reshape(-1, 2)
+                yield pa.record_batch([pa.array(owner_of(o[:, 0], o[:, 1])), pa.array(keys, pa.binary())], names=["owner", "keys"])
+
+    return docs.mapInArrow(build, "owner long, keys binary")
+
+
+def shared_tokens(docs: DataFrame, bits: int, shingle: int, percent: int) -> DataFrame:
+    """owner, t and c (how many have it, where they met) of the tokens that several sets have, or may have. A token met often may come twice
+    for an owner: counts that are too high open more groups, and lose none."""
+
+    def rows(key, owner, _):
+        new = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        n = np.diff(np.append(new, len(key)))
+        return pa.record_batch([pa.array(owner), pa.array(common.as_long(common.mix(key))), pa.array(np.repeat(n, n))], names=["owner", "t", "c"])
 
-    return docs.mapInArrow(build, "id long, k binary, n long, main boolean, level int, need int, tokens array<long>")
+    return common.meet(common.pack(tokens(docs, shingle, percent), bits), rows, "owner long, t long, c long")
 
 
 def full_sets(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """id, level, all parts and the set itself."""
+    """id, level and the set itself."""
 
     def build(batches):
         for batch in batches:
             for b in common.slices(batch):
-                ids, rows, sigs, us = b.column("id").to_pylist(), [], [], []
+                ids, rows, us = b.column("id").to_pylist(), [], []
                 for i, u in enumerate(sets_of(b.column("text"), shingle)):
                     for level in levels_of(len(u), percent):
                         rows.append((ids[i], level))
-                        sigs.append(parts(u, level, percent)[0].tobytes())
                         us.append(u.tobytes())
                 cols = list(zip(*rows, strict=True)) if rows else [[], []]
-                yield pa.record_batch([pa.array(list(cols[0]), pa.int64()), pa.array(list(cols[1]), pa.int32()), pa.array(sigs, pa.binary()), pa.array(us, pa.binary())], names=["id", "level", "sig", "u"])
+                yield pa.record_batch([pa.array(list(cols[0]), pa.int64()), pa.array(list(cols[1]), pa.int32()), pa.array(us, pa.binary())], names=["id", "level", "u"])
 
-    return docs.mapInArrow(build, "id long, level int, sig binary, u binary")
+    return docs.mapInArrow(build, "id long, level int, u binary")
 
 
 def open_units(units: DataFrame, percent: int) -> DataFrame:
-    """Verified links of each unit. units: unit, own (whether its members are compared too), role (0 member, 1 visitor), id, sig, u; sorted."""
+    """Verified links of each unit. units: unit, own (whether its members are compared too), role (0 member, 1 visitor), id, level, u; sorted."""
 
     def run(batches):
         for g in common.groups_of(batches, "unit"):
             role, ids = g.column("role").to_numpy(), g.column("id").to_numpy()
-            sig = [np.frombuffer(x, np.uint64) for x in g.column("sig").to_pylist()]
             us = [np.frombuffer(x, np.uint64) for x in g.column("u").to_pylist()]
+            level = g.column("level")[0].as_py()  # a group's sets are of one level
+            sig = [parts(u, level, percent)[0] for u in us]
             size = np.array([len(u) for u in us])
             m = np.stack(sig)
             done, links = common.Sets(len(ids)), []
@@ -163,45 +202,62 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     common.ready(docs.sparkSession)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     every = common.written(classes(rows, shingle, percent), "sets")
-    one = every.where("level > 0 and id is not null").groupBy("k", "level").agg(F.min("id").alias("id"), F.first("need").alias("need"), F.first("tokens").alias("tokens"))
+    one = every.where("level > 0 and id is not null").groupBy("k", "level").agg(F.min_by(F.struct("id", "owner", "need"), "id").alias("o")).select("level", "o.*")
     one = common.written(one, "classes")
-    members = common.written(every.where("main").select("id", "k", "n"), "members")
-    common.drop(every)
-    # 1: classes with enough tokens that another class has too
-    flat = one.select(F.explode("tokens").alias("t"), "id", "level", "need")
-    shared = flat.groupBy("t").agg(F.count("*").alias("c")).where("c > 1")
-    active = flat.join(shared, "t").groupBy("id", "level", "need").agg(F.count("*").alias("n"), F.max(F.struct("c", "t")).alias("top")).where("n >= need")
-    active = common.written(active.select("id", "level", "need", "top.t"), "active")
+    members = every.where("main").select("id", "k", "n")
+    # 1: classes with enough tokens that another class has too; about one token a part, a part of some percent of a set
+    size = every.agg(F.sum(F.expr("shiftleft(1L, level)"))).first()[0] or 0
+    met = common.written(shared_tokens(common.about(rows, one.select("id").distinct(), "id"), common.range_bits(size), shingle, percent), "met")
+    active = met.groupBy("owner").agg(F.count("*").alias("n"), F.max(F.struct("c", "t")).alias("top")).join(one, "owner").where("n >= need")
+    active = common.written(active.select("owner", "id", "level", "need", "top.t"), "active")
     # 2: groups, and blocks within them
     split = active.groupBy("level", "t").agg(F.count("*").alias("n")).withColumn("groups", F.ceil(F.col("n") / GROUP)).withColumn("blocks", F.ceil(F.col("n") / F.col("groups") / BLOCK).cast("int"))
     group = F.xxhash64("level", "t", F.pmod(F.xxhash64("id"), F.col("groups")))
-    grouped = active.join(split, ["level", "t"]).select("id", "level", "need", group.alias("g"), "blocks", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int").alias("b"))
-    grouped = common.written(grouped, "groups")
+    grouped = active.join(split, ["level", "t"]).select("owner", "id", "level", "need", group.alias("g"), "blocks", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int").alias("b"))
+    place = F.row_number().over(Window.partitionBy("g").orderBy(F.xxhash64("id", F.lit(2)), "id"))
+    grouped = common.written(grouped.withColumn("pivot", place <= PIVOTS), "groups")
     # 3: the matrix, and the groups that each class may have links in
-    mine = one.select("id", "level", "tokens").join(grouped, ["id", "level"]).select(F.explode("tokens").alias("t"), "id", "level", "need", "g")
-    mine = common.written(mine, "tokens")
+    mine = common.written(met.select("owner", "t").join(grouped, "owner").select("t", "id", "level", "need", "g"), "tokens")
+    common.drop(met)
     matrix = mine.select("t", "g").distinct().withColumnRenamed("g", "to")
     qualify = mine.join(matrix, "t").where("`to` > g").groupBy("id", "level", "need", "to").agg(F.count("*").alias("c")).where("c >= need").select("id", "level", F.col("to").alias("g"))
     qualify = common.written(qualify, "qualify")
-    # 4: units: two blocks of one group, or a block of a group and one of its visitors
-    visits = qualify.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("visits"))
-    sizes = grouped.select("g", "blocks").distinct().join(visits, "g", "left").fillna(0, ["visits"])
+    sets = common.written(full_sets(common.restrict(rows, active.select("id").distinct(), "id"), shingle, percent), "full")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
-    own = grouped.select("id", "level", "g", "b", upto("blocks").alias("to"))
-    own = own.select(F.xxhash64("g", F.least("b", "to"), F.greatest("b", "to")).alias("unit"), (F.col("b") == F.col("to")).alias("own"), (F.col("b") > F.col("to")).cast("int").alias("role"), "id", "level")
-    host = grouped.join(sizes.where("visits > 0").select("g", "visits"), "g").select("id", "level", "g", "b", upto("visits").alias("v"))
-    host = host.select(F.xxhash64("g", "b", "v", F.lit("v")).alias("unit"), F.lit(False).alias("own"), F.lit(0).alias("role"), "id", "level")
-    guest = qualify.join(sizes, "g").withColumn("v", F.pmod(F.xxhash64("id"), F.col("visits")).cast("int")).select("id", "level", "g", "v", upto("blocks").alias("b"))
-    guest = guest.select(F.xxhash64("g", "b", "v", F.lit("v")).alias("unit"), F.lit(False).alias("own"), F.lit(1).alias("role"), "id", "level")
-    units = own.unionByName(host).unionByName(guest)
-    wanted = active.select("id").distinct()
-    sets = common.written(full_sets(common.restrict(rows, wanted, "id"), shingle, percent), "full")
-    units = units.join(sets, ["id", "level"]).select("unit", "own", "role", "id", "sig", "u")
-    links = open_units(units.repartition("unit").sortWithinPartitions("unit", "role", "id"), percent)
-    # 5
-    roots = common.components(links)
-    common.drop(mine, one)
+    unit = lambda *of: F.xxhash64(*of).alias("unit")
+    as_host, as_guest, alike = ([F.lit(own).alias("own"), F.lit(role).alias("role"), "id", "level"] for own, role in ((False, 0), (False, 1), (True, 0)))
+
+    def visiting(who: DataFrame, hosts: DataFrame, name: str) -> DataFrame:
+        """Units of who (id, level, g) and hosts (id, level, g and block) of their groups, about BLOCK visitors in each."""
+        visits = who.groupBy("g").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("visits"), F.first("blocks").alias("n"))
+        at = hosts.join(visits, "g").select("*", upto("visits").alias("v")).select(unit("g", "block", "v", F.lit(name)), *as_host)
+        come = who.join(visits, "g").withColumn("v", F.pmod(F.xxhash64("id"), F.col("visits")).cast("int")).select("*", upto("n").alias("block"))
+        return at.unionByName(come.select(unit("g", "block", "v", F.lit(name)), *as_guest))
+
+    def links_in(units: DataFrame) -> DataFrame:
+        units = units.join(sets, ["id", "level"]).select("unit", "own", "role", "id", "level", "u")
+        return common.written(open_units(units.repartition("unit").sortWithinPartitions("unit", "role", "id"), percent), "links")
+
+    # 4: each block with its group's pivots, and pivots with those of the groups that they may have links in
+    pivots = grouped.where("pivot")
+    units = grouped.select(unit("g", "b", F.lit("block")), *alike)
+    units = units.unionByName(pivots.select("*", upto("blocks").alias("to")).where("b <> to").select(unit("g", "to", F.lit("block")), *alike))
+    come = qualify.join(pivots.select("id", "level"), ["id", "level"]).withColumn("blocks", F.lit(1))
+    links = links_in(units.unionByName(visiting(come, pivots.select("id", "level", "g", F.lit(0).alias("block")), "pivots")))
+    roots = common.components(links).withColumnRenamed("id", "r")
+    rooted = common.written(grouped.join(roots, grouped["id"] == F.col("r"), "left").select("id", "level", "g", "blocks", "b", F.coalesce("root", "id").alias("root")), "rooted")
+    # 5: what isn't connected by then: pairs of blocks of a group of several components, and visitors of a group not all of their own
+    mixed = rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.first("blocks").alias("blocks"))
+    apart = rooted.join(mixed.where("lo <> hi and blocks > 1").select("g"), "g", "left_semi").select("*", upto("blocks").alias("to")).where("b <> to")
+    apart = apart.select(unit("g", F.least("b", "to"), F.greatest("b", "to")), F.lit(False).alias("own"), (F.col("b") > F.col("to")).cast("int").alias("role"), "id", "level")
+    come = qualify.join(rooted.select("id", "level", "root"), ["id", "level"]).join(mixed, "g").where("lo <> hi or root <> lo").select("id", "level", "g", "blocks")
+    more = links_in(apart.unionByName(visiting(come, rooted.select("id", "level", "g", F.col("b").alias("block")), "blocks")))
+    # 6; rows that share a doc_id link their classes
     first = members.where("n > 0").groupBy("k").agg(F.min("id").alias("c"))
+    several = members.where("n > 0 and id is not null").groupBy("id").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("id")
+    shared = members.where("n > 0").join(several, "id").join(first, "k").select(F.col("id").alias("a"), F.col("c").alias("b"))
+    roots = common.components(links.unionByName(more).unionByName(shared))
+    common.drop(mine, one, active, grouped, qualify, sets, rooted)
     first = first.join(roots, first["c"] == roots["id"], "left").select("k", F.coalesce("root", "c").alias("root"))
     out = members.join(first, "k", "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
