@@ -35,7 +35,7 @@ PERCENT = 90
 BLOCK = 128
 GROUP = 1024
 #: Of a group, the sets that every block of it is compared with first.
-PIVOTS = 4
+PIVOTS = 2
 
 
 def most_apart(sizes, percent: int = PERCENT):
@@ -222,6 +222,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     matrix = mine.select("t", "g").distinct().withColumnRenamed("g", "to")
     qualify = mine.join(matrix, "t").where("`to` > g").groupBy("id", "level", "need", "to").agg(F.count("*").alias("c")).where("c >= need").select("id", "level", F.col("to").alias("g"))
     qualify = common.written(qualify, "qualify")
+    common.drop(mine)
     sets = common.written(full_sets(common.restrict(rows, active.select("id").distinct(), "id"), shingle, percent), "full")
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     unit = lambda *of: F.xxhash64(*of).alias("unit")
@@ -246,6 +247,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     links = links_in(units.unionByName(visiting(come, pivots.select("id", "level", "g", F.lit(0).alias("block")), "pivots")))
     roots = common.components(links).withColumnRenamed("id", "r")
     rooted = common.written(grouped.join(roots, grouped["id"] == F.col("r"), "left").select("id", "level", "g", "blocks", "b", F.coalesce("root", "id").alias("root")), "rooted")
+    common.drop(grouped)
     # 5: what isn't connected by then: pairs of blocks of a group of several components, and visitors of a group not all of their own
     mixed = rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.first("blocks").alias("blocks"))
     apart = rooted.join(mixed.where("lo <> hi and blocks > 1").select("g"), "g", "left_semi").select("*", upto("blocks").alias("to")).where("b <> to")
@@ -257,7 +259,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     several = members.where("n > 0 and id is not null").groupBy("id").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("id")
     shared = members.where("n > 0").join(several, "id").join(first, "k").select(F.col("id").alias("a"), F.col("c").alias("b"))
     roots = common.components(links.unionByName(more).unionByName(shared))
-    common.drop(mine, one, active, grouped, qualify, sets, rooted)
+    common.drop(one, active, qualify, sets, rooted)
     first = first.join(roots, first["c"] == roots["id"], "left").select("k", F.coalesce("root", "c").alias("root"))
     out = members.join(first, "k", "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
