@@ -15,6 +15,7 @@ from pednet.llm.pii import op7_personal_data
 from pednet.llm.quality import op8_quality
 from pednet.llm.repair import op2_repair_ids
 from pednet.llm.substrings import op10_substring_dedup
+from pednet.llm.toxicity import op12_toxicity
 from pednet.llm.vafile import OP4_SQL, op4_topk
 from pednet.llm.whitening import op13_whitening
 
@@ -31,6 +32,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_substring_dedup": op10_substring_dedup,
+        "op12_toxicity": op12_toxicity,
         "op13_whitening": op13_whitening,
     }
 
