@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pednet.llm.collocations import op11_collocations
 from pednet.llm.jaccard import op9_jaccard_join
 from pednet.llm.language import op5_language
 from pednet.llm.lines import op1_line_dedup
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality": op8_quality,
         "op9_jaccard_join": op9_jaccard_join,
         "op10_substring_dedup": op10_substring_dedup,
+        "op11_collocations": op11_collocations,
         "op12_toxicity": op12_toxicity,
         "op13_whitening": op13_whitening,
     }
