@@ -72,7 +72,8 @@ def strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
 
 
 def count_words(rows: DataFrame, least: int, seed: int) -> DataFrame:
-    """p, lang, word, n, words of the frequent words (words: how many share p), and a row a language with null p for all others."""
+    """settled() words of lang and text, written."""
+    most = WORDS
 
     def count(batches):
         key, n, names = np.zeros(0, np.int64), np.zeros(0, np.int64), []
@@ -95,18 +96,22 @@ def count_words(rows: DataFrame, least: int, seed: int) -> DataFrame:
                 order = np.argsort(both, kind="stable")
                 key, n = both[order], np.concatenate([n, np.zeros(len(fresh), np.int64)])[order]
                 n[np.searchsorted(key, u)] += times
-                if len(key) > WORDS:
+                if len(key) > most:
                     yield out()
                     key, n, names = np.zeros(0, np.int64), np.zeros(0, np.int64), []
         if len(key):
             yield out()
 
-    each = rows.mapInArrow(count, "p long, lang string, word string, n long").repartition("p").groupBy("p", "lang", "word").agg(F.sum("n").alias("n"))
+    return common.written(settled(rows.mapInArrow(count, "p long, lang string, word string, n long"), least), "words")
+
+
+def settled(counts: DataFrame, least: int) -> DataFrame:
+    """p, lang, word, words, n of the frequent words (words: how many words share p), and a row a language with null p for all others."""
+    each = counts.repartition("p").groupBy("p", "lang", "word").agg(F.sum("n").alias("n"))
     each = each.groupBy("p").agg(F.count("*").alias("words"), F.sum("n").alias("n"), F.first("lang").alias("lang"), F.first("word").alias("word"), F.collect_list(F.struct("lang", "n")).alias("all"))
-    often = F.col("n") >= least  # a rare hash may be shared by words of several languages: each counts to its own
-    parts = F.when(often, F.array(F.struct("p", "lang", "word", "n", "words"))).otherwise(F.transform("all", lambda x: F.struct(F.lit(None).cast("long").alias("p"), x["lang"].alias("lang"), F.lit(None).cast("string").alias("word"), x["n"].alias("n"), F.lit(1).cast("long").alias("words"))))
-    each = each.select(F.inline(parts)).groupBy("p", "lang", "word", "words").agg(F.sum("n").alias("n"))
-    return common.written(each, "words")
+    rare = F.transform("all", lambda x: F.struct(F.lit(None).cast("long").alias("p"), x["lang"].alias("lang"), F.lit(None).cast("string").alias("word"), x["n"].alias("n"), F.lit(1).cast("long").alias("words")))
+    parts = F.when(F.col("n") >= least, F.array(F.struct("p", "lang", "word", "n", "words"))).otherwise(rare)  # rare words of one p count each to its language
+    return each.select(F.inline(parts)).groupBy("p", "lang", "word", "words").agg(F.sum("n").alias("n"))
 
 
 # --- codes ---------------------------------------------------------------------------------------------------
@@ -256,6 +261,7 @@ def tiles(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndar
 
 def count_pairs(sequences: DataFrame, least: int) -> DataFrame:
     """x, y, n of the frequent pairs of neighbouring codes, written."""
+    most = HELD
 
     def count(batches):
         held, size = [], 0
@@ -265,7 +271,7 @@ def count_pairs(sequences: DataFrame, least: int) -> DataFrame:
                 both = (c[:-1] >= 0) & (c[1:] >= 0)
                 held.append((c[:-1][both], c[1:][both]))
                 size += len(held[-1][0])
-                if size >= HELD:
+                if size >= most:
                     yield emit(held)
                     held, size = [], 0
         if size:

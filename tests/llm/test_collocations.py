@@ -23,9 +23,9 @@ def texts(n, seed=2):
     return out + out[:7] + [(None, None), ("en", ""), ("en", " \n "), ("fr", "la " * 5000), (None, "." * 1000)]
 
 
-@pytest.mark.parametrize("ranks, tile, dense, held, words", [(1 << 20, 512, 1 / 16, 1 << 21, 1 << 19), (1 << 20, 4, 0.01, 500, 20), (9, 4, 0.2, 300, 1 << 19), (1, 2, 1e9, 1000, 10), (0, 512, 1 / 16, 1 << 21, 50)])
-def test_brute(spark, monkeypatch, ranks, tile, dense, held, words):
-    for name, value in (("RANKS", ranks), ("TILE", tile), ("DENSE", dense), ("HELD", held), ("WORDS", words)):
+@pytest.mark.parametrize("ranks, held, words", [(1 << 20, 1 << 21, 1 << 19), (9, 300, 20), (1, 1 << 21, 10), (0, 500, 1 << 19)])
+def test_brute(spark, monkeypatch, ranks, held, words):
+    for name, value in (("RANKS", ranks), ("HELD", held), ("WORDS", words)):
         monkeypatch.setattr(collocations, name, value)
     rows = texts(150)
     docs = spark.createDataFrame([(x, t, "p", 1) for x, t in rows], "lang string, text string, phrase string, n int").repartition(3)
@@ -33,8 +33,11 @@ def test_brute(spark, monkeypatch, ranks, tile, dense, held, words):
     assert got == brute(rows, least=8, longest=4, top=25) and len(got) > 20
 
 
-def test_tiles():
+@pytest.mark.parametrize("tile, dense", [(512, 1 / 16), (16, 0.1), (64, 0), (512, 1e9)])
+def test_tiles(monkeypatch, tile, dense):
     """Dense and sparse counts are those of all pairs."""
+    monkeypatch.setattr(collocations, "TILE", tile)
+    monkeypatch.setattr(collocations, "DENSE", dense)
     rng = np.random.default_rng(1)
     big = collocations.HASHED + rng.integers(0, 5, 100)
     x = np.concatenate([rng.integers(0, 40, 200_000), rng.integers(0, 10**6, 5000), big, rng.integers(0, 9, 100)])
@@ -45,19 +48,21 @@ def test_tiles():
 
 
 def test_colliding_hashes(spark, monkeypatch):
-    """A seed under which a frequent word meets another word is not used."""
-    keys, seen = collocations.symbols, []
-
-    def weak(b, seed):
-        *rest, p, joined = keys(b, seed)
-        seen.append(seed)
-        return *rest, (p if seed else p // 1000 * 0 + collocations.HASHED + p % 3), joined
-
-    rows = [("en", "one two three " * 20)]
-    docs = spark.createDataFrame([(x, t) for x, t in rows], "lang string, text string")
-    monkeypatch.setattr(collocations, "symbols", weak)
-    got = sorted(tuple(r) for r in collocations.best(collocations.phrases(docs, least=5)).collect())
-    assert got == brute(rows, least=5)
+    """A hash that a frequent word shares is seen, and another seed is taken."""
+    rows = [(1, "en", "a", 5), (1, "en", "a", 4), (1, "fr", "b", 1), (2, "en", "c", 20), (3, "en", "d", 1), (3, "fr", "e", 2), (4, "fr", "f", 3)]
+    got = {tuple(r) for r in collocations.settled(spark.createDataFrame(rows, "p long, lang string, word string, n long"), 10).select("p", "lang", "words", "n").collect()}
+    assert {(p, words, n) for p, _, words, n in got if p} == {(1, 2, 10), (2, 1, 20)}
+    assert {x for x in got if x[0] is None} == {(None, "en", 1, 1), (None, "fr", 1, 5)}
+    count, seeds = collocations.count_words, []
+
+    def first_fails(docs, least, seed):
+        seeds.append(seed)
+        return collocations.common.written(count(docs, least, seed).withColumn("words", collocations.F.lit(2 if seed == 0 else 1)), "words")
+
+    monkeypatch.setattr(collocations, "count_words", first_fails)
+    text = [("en", "one two three " * 20)]
+    assert sorted(tuple(r) for r in collocations.best(collocations.phrases(spark.createDataFrame(text, "lang string, text string"), least=5)).collect()) == brute(text, least=5)
+    assert seeds == [0, 1]
 
 
 def test_large_numbers(spark):
