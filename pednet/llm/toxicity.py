@@ -34,6 +34,8 @@ STEPS = (1, 2)
 ALPHA, BETA, L1, L2 = 2.0, 1.0, 0.3, 0.0
 ROUNDS = 10
 SHARD = 1 << 14
+#: The largest step between features, where they are stored.
+STEP = 0xFFFF
 #: Buckets of a row of the state.
 BLOCK = 1 << 14
 #: Scores from which a text is predicted as toxic.
@@ -56,6 +58,19 @@ def buckets(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) % np.uint64(BUCKETS)).astype(np.int64), np.concatenate(docs)
 
 
+def steps(key: np.ndarray) -> np.ndarray:
+    """Rising numbers as 16-bit steps; one of STEP goes on without a number."""
+    step = np.diff(key, prepend=0)
+    n = step // STEP + 1
+    out = np.full(n.sum(), STEP, np.uint16)
+    out[np.cumsum(n) - 1] = step % STEP
+    return out
+
+
+def numbers(step: np.ndarray) -> np.ndarray:
+    return np.cumsum(step, dtype=np.int64)[step != STEP]
+
+
 @dataclass
 class State:
     """z and n of every bucket; the last of each is the bias."""
@@ -125,8 +140,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                 x, doc = buckets(b.column("text"))
                 key = np.unique(doc * BUCKETS + x)
                 cut = np.searchsorted(key, np.arange(b.num_rows + 1) * BUCKETS).tolist()
-                x = (key % BUCKETS).astype(np.uint32)
-                each = pa.array([x[i:j].tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
+                each = pa.array([steps(key[i:j] % BUCKETS).tobytes() for i, j in zip(cut[:-1], cut[1:], strict=True)], pa.binary())
                 yield pa.record_batch([b.column("shard"), b.column("turn"), b.column("y"), each], names=["shard", "turn", "y", "x"])
 
     turn = F.xxhash64("doc_id")
@@ -151,7 +165,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
                         if now is not None:
                             yield out(shard, now)
                         shard, now = s, State(sent.value[0].copy(), sent.value[1].copy())
-                    now.learn(np.frombuffer(x.as_buffer(), np.uint32).astype(np.int64), y, l1)
+                    now.learn(numbers(np.frombuffer(x.as_buffer(), np.uint16)), y, l1)
             if now is not None:
                 yield out(shard, now)
 

@@ -26,7 +26,12 @@ def test_features():
     assert at[0] == at[3] == one[0]
 
 
-def test_steps():
+def test_stored_features():
+    for x in ([], [0], [0, 1, 65_534], [65_535], [65_536, 131_070, 500_000, 500_001], range(0, 524_288, 7)):
+        assert toxicity.numbers(toxicity.steps(np.array(x, np.int64))).tolist() == list(x)
+
+
+def test_updates():
     """The same as the published update, a coordinate at a time."""
     r = random.Random(4)
     state, z, n = toxicity.State.new(), {}, {}
