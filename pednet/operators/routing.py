@@ -1,6 +1,7 @@
-"""Routes of many origin-destination pairs at once, over a graph cut into cells.
+"""Routes of many origin-destination pairs at once: between vertices and between places, and profiles compared.
 
-A cell holds at most about CELL_VERTICES vertices. A round searches each cell that has open labels, for BUCKET pairs together, with a priority queue
+Over nested cells (overlay.nested_cells) an overlay of several levels answers a batch. For a graph without places, or flat cells, labels spread from cell
+to cell: a cell holds at most about CELL_VERTICES vertices. A round searches each cell that has open labels, for BUCKET pairs together, with a priority queue
 that never leaves the cell; edges out of it open labels in other cells. So rounds go with the cells a route crosses, not with its edges, and
 a task holds a cell's edges and the labels of BUCKET pairs there. Rounds end when no label is open. Paths are traced back in the same way.
 """
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pednet.functions.geo import haversine_m
+from pednet.operators import overlay
 from pednet.operators.shared import checkpointed, importable
 from pednet.operators.spatial import snap
 
@@ -151,7 +153,10 @@ def _paths(labels: DataFrame, ends: DataFrame) -> DataFrame:
 
 def route_batch(pairs: DataFrame, edges: DataFrame, profile: str = "distance", cells: DataFrame | None = None) -> DataFrame:
     """Least cost from vertex src to vertex dst for many pairs at once (P6): od_id, cost (null if unreachable), edges and nodes of the path.
-    cells: graph_cells(vertices); without, a graph of more than CELL_VERTICES vertices is dealt by hash, which takes many rounds."""
+    cells: overlay.nested_cells(vertices), or graph_cells(vertices) for labels that spread over flat cells; without, a graph of more than CELL_VERTICES
+    vertices is dealt by hash, which takes many rounds."""
+    if cells is not None and "cells" in cells.columns:
+        return overlay.overlay_routes(pairs, overlay.build_overlay(edges, cells, profile))
     costs = checkpointed(_costs(edges, profile, cells))
     targets = pairs.select("od_id", F.col("dst").alias("node"), F.lit(0.0).alias("extra"))
     labels = _labels(pairs.select("od_id", F.col("src").alias("node"), F.lit(0.0).alias("cost")), targets, costs)
@@ -185,10 +190,15 @@ def route_points(pairs: DataFrame, edges: DataFrame, vertices: DataFrame, profil
     two_rows = lambda df, x, y, name: df.select("od_id", F.inline(F.array(F.struct(F.col("a").alias("node"), x.alias(name)), F.struct(F.col("b").alias("node"), y.alias(name)))))
     sources = two_rows(one, _part(F.col("ba"), F.col("t")), _part(F.col("ab"), 1 - F.col("t")), "cost")
     targets = two_rows(two, _part(F.col("ab"), F.col("t")), _part(F.col("ba"), 1 - F.col("t")), "extra")
-    costs = checkpointed(_costs(edges, profile, cells))
-    labels = _labels(sources, targets, costs)
-    ends = checkpointed(_ends(labels, targets))
-    steps = _paths(labels, ends).select("od_id", F.posexplode("nodes").alias("i", "vertex")).join(vertices.select("vertex", "lon", "lat"), "vertex")
+    if cells is not None and "cells" in cells.columns:
+        graph = overlay.build_overlay(edges, cells, profile)
+        ends = overlay.search(sources, targets, graph)
+        nodes = overlay.paths(ends, graph)
+    else:
+        labels = _labels(sources, targets, checkpointed(_costs(edges, profile, cells)))
+        ends = checkpointed(_ends(labels, targets))
+        nodes = _paths(labels, ends)
+    steps = nodes.select("od_id", F.posexplode("nodes").alias("i", "vertex")).join(vertices.select("vertex", "lon", "lat"), "vertex")
     steps = steps.groupBy("od_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "lon", "lat"))), lambda x: F.struct(x["lon"], x["lat"])).alias("steps"))
     place = lambda x: F.struct(F.col(f"{x}.lon").cast("double").alias("lon"), F.col(f"{x}.lat").cast("double").alias("lat"))
     whole = one.select("od_id", "segment_id", "t", "ab", "ba", "lon", "lat").alias("s").join(two.select("od_id", "segment_id", "t", "lon", "lat").alias("e"), "od_id")

@@ -12,6 +12,7 @@ from pednet.operators import completeness as K
 from pednet.operators import features as E
 from pednet.operators import grading as G
 from pednet.operators import network as N
+from pednet.operators import overlay as V
 from pednet.operators import quality as Q
 from pednet.operators import routing as P
 from pednet.operators import spatial as S
@@ -346,14 +347,14 @@ def routes(spark, d):
     key = lambda a, b: [F.floor((F.floor((F.col(c).cast("double") - o) / 0.0005) * 0.0005 + o) / geo.TOLERANCE + 0.5).cast("long").alias(k) for c, o, k in ((a, -49.30, "kx"), (b, -25.47, "ky"))]
     src = od.select("od_id", *key("lon_a", "lat_a")).join(at, ["kx", "ky"]).select("od_id", F.col("vertex").alias("src"))
     dst = od.select("od_id", *key("lon_b", "lat_b")).join(at, ["kx", "ky"]).select("od_id", F.col("vertex").alias("dst"))
-    return P.route_batch(src.join(dst, "od_id"), e, cells=P.graph_cells(v)).select("od_id", F.round("cost", 3).alias("cost"), "edges")
+    return P.route_batch(src.join(dst, "od_id"), e, cells=V.nested_cells(v)).select("od_id", F.round("cost", 3).alias("cost"), "edges")
 
 
 @query("routes_between_places")
 def routes_between_places(spark, d):
     v, e = _graph(spark, d)
     od = view(spark, d, "net_od").select("od_id", *[F.col(c).cast("double").alias(c) for c in ("lon_a", "lat_a", "lon_b", "lat_b")])
-    return P.route_points(od, e, v, cells=P.graph_cells(v)).select("od_id", F.round("cost", 3).alias("cost"), F.round("distance_m", 3).alias("distance_m"), F.size("path").alias("places"))
+    return P.route_points(od, e, v, cells=V.nested_cells(v)).select("od_id", F.round("cost", 3).alias("cost"), F.round("distance_m", 3).alias("distance_m"), F.size("path").alias("places"))
 
 
 @query("profile_audit")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -29,23 +30,72 @@ def changeset_sessions(changes: DataFrame, gap: str = "1 hour", late: str = "1 d
     return s.agg(F.count("*").alias("changes"), F.count_if("deletion").alias("deletions")).select("changeset_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "changes", "deletions")
 
 
-def apply_stream(changes: DataFrame, base_path: str, checkpoint: str, mode: str = "latest") -> StreamingQuery:
-    """Apply each batch to the base table (E1): version n+1 is written from version n under its batch number, so a repeated batch writes the
-    same version again. Read the newest with newest()."""
+# --- a base table by buckets ---------------------------------------------------------------------------------
+#
+# Rows lie in folders by the hash of their key (element, id). A batch reads and overwrites the buckets that it touches and no others. Each bucket has one
+# row without a key that tells the last batch it has taken, so an older batch that is run again changes nothing, and a bucket that has lost all its
+# rows is overwritten too. What a batch writes is put aside first, under its number: if a run dies while it replaces buckets, the next takes it from there.
 
-    def one(batch: DataFrame, n: int) -> None:
-        spark = batch.sparkSession
-        base = spark.read.parquet(f"{base_path}/v{n}")
-        apply_changes(base, batch, mode).write.mode("overwrite").parquet(f"{base_path}/v{n + 1}")
+KEYS = ("element", "id")
+BUCKETS = 256
 
-    return changes.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
+def bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("element", F.col("id").cast("long")), F.lit(buckets)).cast("int")
 
-def newest(spark: SparkSession, base_path: str) -> DataFrame:
-    """The version of the base table of the greatest number: one that a batch has finished, as Spark marks it."""
-    done = spark.read.format("binaryFile").option("pathGlobFilter", "_SUCCESS").option("recursiveFileLookup", "true").load(base_path).select("path")
-    n = done.select(F.max(F.regexp_extract("path", r"/v(\d+)/[^/]*$", 1).cast("int"))).first()[0]
-    return spark.read.parquet(f"{base_path}/v{n}")
+
+def write_base(base: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """A new base table of rows with element and id; their number of buckets stays."""
+    rows = base.withColumns({"batch": F.lit(-1).cast("long"), "buckets": F.lit(buckets), "bucket": bucket(buckets)})
+    marks = _marks(base.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket")), rows, -1, buckets)
+    rows.unionByName(marks).repartition("bucket").write.partitionBy("bucket").parquet(path)
+
+
+def _marks(numbers: DataFrame, like: DataFrame, n: int, buckets: int) -> DataFrame:
+    """A row without a key for each bucket."""
+    known = {"bucket": F.col("bucket"), "batch": F.lit(n).cast("long"), "buckets": F.lit(buckets)}
+    return numbers.select(*[known.get(c, F.lit(None).cast(t)).alias(c) for c, t in like.dtypes])
+
+
+def newest(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a base table."""
+    return spark.read.parquet(path).where("element is not null or id is not null").drop("batch", "bucket", "buckets")
+
+
+def apply_batch(changes: DataFrame, path: str, n: int, mode: str = "latest") -> list[int]:
+    """Apply batch n to a base table (E1), and the buckets that were written."""
+    spark = changes.sparkSession
+    aside = f"{path.rstrip('/')}-aside/{n % 2}"
+    base = spark.read.parquet(path)
+    buckets = base.agg(F.max("buckets")).first()[0]
+    taken = base.where("element is null and id is null").where(F.col("batch") >= n).select("bucket")
+    marked = changes.where("deletion or geometry_change or tag_change or creation")
+    late = [r["bucket"] for r in marked.select(bucket(buckets).alias("bucket")).distinct().join(taken, "bucket", "left_anti").collect()]  # a number a bucket at most
+    if not late:
+        return []
+    if not _put_aside(spark, aside, n):
+        rows = base.where(F.col("bucket").isin(late) & F.col("element").isNotNull())
+        mine = changes.withColumns({"bucket": bucket(buckets), "buckets": F.lit(buckets), "batch": F.lit(n).cast("long")}).where(F.col("bucket").isin(late))
+        after = apply_changes(rows, mine, mode).withColumn("batch", F.lit(n).cast("long"))
+        after = after.unionByName(_marks(spark.createDataFrame([(b,) for b in late], "bucket int"), after, n, buckets))
+        after.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(aside)
+        spark.createDataFrame([(n,)], "n long").coalesce(1).write.mode("overwrite").parquet(f"{aside}-whole")
+    done = spark.read.schema(base.schema).parquet(aside)
+    done.repartition("bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(path)
+    return sorted(late)
+
+
+def _put_aside(spark: SparkSession, aside: str, n: int) -> bool:
+    """Whether batch n lies there whole."""
+    try:
+        return not spark.read.schema("n long").parquet(f"{aside}-whole").where(F.col("n") == n).isEmpty()
+    except AnalysisException:  # nothing has been put there
+        return False
+
+
+def apply_stream(changes: DataFrame, path: str, checkpoint: str, mode: str = "latest") -> StreamingQuery:
+    """Apply each batch of a stream of changes to a base table."""
+    return changes.writeStream.foreachBatch(lambda batch, n: apply_batch(batch, path, n, mode) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def advance_watermark(state: DataFrame, newest_available: str, now: str) -> DataFrame:

@@ -1,5 +1,7 @@
 """The streaming feed against its batch twin; sources."""
 
+import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from pednet.operators import changes as C
@@ -9,15 +11,78 @@ from pednet.streaming import feed
 from tests.conftest import SMALL
 
 
-def test_apply_stream(spark, tmp_path):
+def files(path):
+    return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in path.rglob("*.parquet")}
+
+
+def same(a, b):
+    b = b.select(*a.columns)
+    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+
+
+def feed_tables(spark):
     changes = view(spark, SMALL, "net_changes").select("event_id", "ts", "element", F.col("id").cast("long").alias("id"), "layer", "creation", "tag_change", "geometry_change", "deletion", F.col("changeset_id").cast("long").alias("changeset_id"), "value")
-    changes.coalesce(1).write.parquet(f"{tmp_path}/in")
-    base = view(spark, SMALL, "net_ways").select("element", F.col("id").cast("long").alias("id"), F.lit(-1.0).alias("value"))
-    base.write.parquet(f"{tmp_path}/base/v0")
-    feed.apply_stream(feed.read_feed(spark, f"{tmp_path}/in"), f"{tmp_path}/base", f"{tmp_path}/check").awaitTermination(120)
-    got = spark.read.parquet(f"{tmp_path}/base/v1")
-    want = C.apply_changes(base, changes)
-    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    return view(spark, SMALL, "net_ways").select("element", F.col("id").cast("long").alias("id"), F.lit(-1.0).alias("value")), changes
+
+
+def test_apply_stream(spark, tmp_path):
+    """Three files, a batch each, in the order of time: the stream's base is that of one batch of all."""
+    base, changes = feed_tables(spark)
+    for i, (a, b) in enumerate(((0, 400), (400, 700), (700, 10**9))):
+        changes.orderBy("ts").limit(100_000).withColumn("n", F.row_number().over(Window.orderBy("ts", "event_id"))).where(F.col("n").between(a + 1, b)).drop("n").coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+    feed.write_base(base, f"{tmp_path}/base", 16)
+    feed.apply_stream(feed.read_feed(spark, f"{tmp_path}/in/*", files=1), f"{tmp_path}/base", f"{tmp_path}/check").awaitTermination(300)
+    assert spark.read.parquet(f"{tmp_path}/base").agg(F.max("batch")).first()[0] == 2
+    assert same(feed.newest(spark, f"{tmp_path}/base"), C.apply_changes(base, changes))
+
+
+@pytest.mark.parametrize("mode", ["latest", "reference"])
+def test_touched_buckets(spark, tmp_path, mode):
+    """Only buckets with changes are written; a batch that is run again, or an older one, changes nothing; a run that died goes on."""
+    base, changes = feed_tables(spark)
+    path = tmp_path / "base"
+    feed.write_base(base, str(path), 32)
+    some = changes.where("id in (5, 6, 7)")
+    before = files(path)
+    touched = feed.apply_batch(some, str(path), 0, mode)
+    after = files(path)
+    assert touched and {f for f in before if f not in after} == {f for f in before if int(f.split("/")[0][7:]) in touched}
+    want = C.apply_changes(base, some, mode)
+    assert same(feed.newest(spark, str(path)), want)
+    assert feed.apply_batch(some, str(path), 0, mode) == [] and files(path) == after
+    gone = base.where("id < 300").select("*", F.lit(9).alias("event_id"), F.lit("2031-01-01").cast("timestamp").alias("ts"), *[F.lit(x).alias(c) for c, x in (("creation", False), ("tag_change", False), ("geometry_change", False), ("deletion", True))])
+    assert feed.apply_batch(gone, str(path), 1, mode)
+    want = C.apply_changes(want, gone, mode)
+    assert same(feed.newest(spark, str(path)), want)
+    assert feed.apply_batch(some, str(path), 0, mode) == [] or set(feed.apply_batch(some, str(path), 0, mode)) <= set(range(32))
+    assert same(feed.newest(spark, str(path)), want)
+
+
+def test_died_while_replacing(spark, tmp_path):
+    """A bucket's folder is lost after the batch was put aside: running the batch again brings it back."""
+    import shutil
+
+    base, changes = feed_tables(spark)
+    path = tmp_path / "base"
+    feed.write_base(base, str(path), 4)
+    copy = tmp_path / "copy"
+    shutil.copytree(path, copy)
+    feed.apply_batch(changes, str(path), 0)
+    want = feed.newest(spark, str(path)).collect()
+    shutil.rmtree(path / "bucket=1")
+    shutil.copytree(copy / "bucket=0", path / "old")  # bucket 0 is still the old one, bucket 1 has been deleted
+    shutil.rmtree(path / "bucket=0")
+    (path / "old").rename(path / "bucket=0")
+    feed.apply_batch(changes, str(path), 0)
+    assert sorted(feed.newest(spark, str(path)).collect()) == sorted(want)
+
+
+def test_no_changes(spark, tmp_path):
+    base, changes = feed_tables(spark)
+    feed.write_base(base.limit(0), f"{tmp_path}/base", 4)
+    assert feed.apply_batch(changes.limit(0), f"{tmp_path}/base", 0) == [] and feed.newest(spark, f"{tmp_path}/base").isEmpty()
+    feed.apply_batch(changes, f"{tmp_path}/base", 1)
+    assert same(feed.newest(spark, f"{tmp_path}/base"), C.apply_changes(base.limit(0), changes))
 
 
 def test_changed_then_deleted(spark):

@@ -4,6 +4,7 @@ import heapq
 
 import pytest
 
+from pednet.operators import overlay as O
 from pednet.operators import routing as P
 
 
@@ -21,17 +22,18 @@ def dijkstra(edges, src, dst):
     return None
 
 
-@pytest.mark.parametrize("cell", [4096, 7])
+@pytest.mark.parametrize("cell", [4096, 7, -7])
 def test_routes_of_many_edges(spark, monkeypatch, cell):
-    """A path of 70 edges, dear short cuts along it, and an island; whole, and in cells of a few vertices."""
-    monkeypatch.setattr(P, "CELL_VERTICES", cell)
+    """A path of 70 edges, dear short cuts along it, and an island; whole, in cells of a few vertices, and over an overlay of those."""
+    monkeypatch.setattr(P, "CELL_VERTICES", abs(cell))
     monkeypatch.setattr(P, "BUCKET", 2)
     edges = [(i, i + 1, 1.0) for i in range(70)] + [(0, 70, 90.0), (10, 40, 35.0), (100, 101, 1.0)]
     pairs = [(1, 0, 70), (2, 0, 9), (3, 5, 60), (4, 0, 101), (5, 7, 7), (6, 70, 0), (7, 500, 500), (8, 70, 70)]
     e = spark.createDataFrame(edges, "src long, dst long, w_distance double")
     od = spark.createDataFrame(pairs, "od_id long, src long, dst long")
     v = spark.createDataFrame([(i, i * 0.01, 0.0) for i in range(102)], "vertex long, lon double, lat double")
-    rows = P.route_batch(od, e, cells=P.graph_cells(v, cell) if cell < 10 else None).collect()
+    cells = O.nested_cells(v, 7, 4) if cell < 0 else P.graph_cells(v, cell) if cell < 10 else None
+    rows = P.route_batch(od, e, cells=cells).collect()
     want = {i: dijkstra(edges, a, b) for i, a, b in pairs} | {7: 0.0}
     assert {x["od_id"]: x["cost"] for x in rows} == want
     weight = {(a, b): w for a, b, w in edges}
@@ -43,12 +45,13 @@ def test_routes_of_many_edges(spark, monkeypatch, cell):
     assert P.route_batch(od.limit(0), e).count() == 0
 
 
-def test_routes_between_places(spark):
+@pytest.mark.parametrize("nested", [False, True])
+def test_routes_between_places(spark, nested):
     """Three vertices in a row; one direction of the second segment is barred to a profile."""
     v = spark.createDataFrame([(0, 0.0, 0.0), (1, 0.001, 0.0), (2, 0.002, 0.0)], "vertex long, lon double, lat double")
     e = spark.createDataFrame([(0, 1, 111.2, 111.2), (1, 0, 111.2, 111.2), (1, 2, 111.2, float("inf")), (2, 1, 111.2, 111.2)], "src long, dst long, w_distance double, w_accessible double")
     od = spark.createDataFrame([(1, 0.0002, 0.0001, 0.0018, -0.0001), (2, 0.0018, 0.0, 0.0002, 0.0), (3, 0.0002, 0.0, 0.0007, 0.0), (4, 0.001, 0.0, 0.001, 0.0)], "od_id long, lon_a double, lat_a double, lon_b double, lat_b double")
-    got = {r["od_id"]: r for r in P.route_compare(od, e, v, "accessible").collect()}
+    got = {r["od_id"]: r for r in P.route_compare(od, e, v, "accessible", cells=O.nested_cells(v, 2, 2) if nested else None).collect()}
     assert got[1]["status"] == "barrier" and got[1]["path"] is None
     assert len(got[1]["baseline_path"]) == 3 and 177 < got[1]["baseline_m"] < 179 and got[1]["baseline_cost"] == pytest.approx(1.6 * 111.2)
     assert got[2]["status"] == "route" and got[2]["longer_percent"] == 0 and len(got[2]["path"]) == 3
