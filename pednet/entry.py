@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pednet.plans import more  # noqa: F401  registers its queries
+from pednet.plans import more, places, times  # noqa: F401  register their queries
 from pednet.plans.catalogue import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
