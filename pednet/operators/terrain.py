@@ -1,4 +1,4 @@
-"""Slope from elevation tables: rasters are tables of (px, py, elev), processed by windows along rows and columns."""
+"""Slope from elevation tables: rasters are tables of (px, py, elev), each pixel once, processed in blocks with halos by windows along rows and columns."""
 
 from __future__ import annotations
 
@@ -13,30 +13,69 @@ from pednet.functions.geo import DEGREE_LAT_M, DEGREE_M, robust_slope
 THRESHOLDS = (2.0, 5.0, 8.33, 12.5)
 
 
-def smooth_gaussian(dem: DataFrame, sigma: float) -> DataFrame:
-    """Smoothed elevations (R4): a separable kernel of radius ceil(3 sigma), by the weight of the pixels that are there."""
+#: Pixels along a block of a raster. A task holds blocks, each with a halo of its neighbours' pixels.
+BLOCK = 256
+_AT = ["__bx", "__by"]
+
+
+def blocks(dem: DataFrame, halo: int) -> DataFrame:
+    """Pixels dealt to blocks (__bx, __by), and copied to those neighbours that they are within halo of, three at most (__own: a pixel's own block)."""
+    size = max(BLOCK, 2 * halo)
+
+    def near(c):
+        inside = F.pmod(F.col(c), F.lit(size))
+        return F.array_compact(F.array(F.lit(0), F.when(inside < halo, F.lit(-1)), F.when(inside >= size - halo, F.lit(1))))
+
+    rows = dem.select("*", F.explode(near("px")).alias("__i")).select("*", F.explode(near("py")).alias("__j"))
+    rows = rows.withColumns({"__bx": F.floor(F.col("px") / size) + F.col("__i"), "__by": F.floor(F.col("py") / size) + F.col("__j"), "__own": (F.col("__i") == 0) & (F.col("__j") == 0)})
+    return rows.drop("__i", "__j").repartition(*_AT)
+
+
+def own(rows: DataFrame) -> DataFrame:
+    """Each pixel once, without the columns of blocks."""
+    return rows.where("__own").drop("__own", *_AT)
+
+
+def _smooth(rows: DataFrame, sigma: float) -> DataFrame:
     r = math.ceil(3 * sigma)
     for along, across in (("px", "py"), ("py", "px")):
-        w = Window.partitionBy(across).orderBy(along).rangeBetween(-r, r)
-        near = F.collect_list(F.struct(F.col(along).alias("p"), F.col("elev").alias("h"))).over(w)
-        weight = lambda x: F.when(x["h"].isNotNull() & ~F.isnan(x["h"]), F.exp(-F.pow((x["p"] - F.col(along)).cast("double"), F.lit(2)) / (2 * sigma * sigma))).otherwise(0.0)  # noqa: E731, B023
-        dem = dem.withColumn("__n", near).withColumns({"__w": F.aggregate("__n", F.lit(0.0), lambda a, x: a + weight(x)), "__s": F.aggregate("__n", F.lit(0.0), lambda a, x: a + weight(x) * F.coalesce(F.nanvl(x["h"], F.lit(0.0)), F.lit(0.0)))})  # noqa: B023
-        dem = dem.withColumn("elev", F.when(F.col("elev").isNotNull(), F.col("__s") / F.nullif(F.col("__w"), F.lit(0.0)))).drop("__n", "__w", "__s")
-    return dem
+        w = Window.partitionBy(*_AT, across).orderBy(along)
+        valid = F.col("elev").isNotNull() & ~F.isnan("elev")
+        rows = rows.withColumn("__p", F.struct(F.col(along).alias("p"), F.when(valid, F.col("elev")).alias("h")))
+        rows = rows.withColumns({f"__{name}{k}": step("__p", k).over(w) for k in range(1, r + 1) for name, step in (("a", F.lag), ("b", F.lead))})
+        near = [F.col("__p"), *[F.col(f"__{name}{k}") for k in range(1, r + 1) for name in "ab"]]
+        weight = lambda x: F.when(x["h"].isNotNull() & (F.abs(x["p"] - F.col(along)) <= r), F.exp(-F.pow((x["p"] - F.col(along)).cast("double"), F.lit(2)) / (2 * sigma * sigma))).otherwise(0.0)  # noqa: E731, B023
+        rows = rows.withColumns({"__w": sum((F.coalesce(weight(x), F.lit(0.0)) for x in near), F.lit(0.0)), "__s": sum((F.coalesce(weight(x) * x["h"], F.lit(0.0)) for x in near), F.lit(0.0))})
+        rows = rows.withColumn("elev", F.when(F.col("elev").isNotNull(), F.col("__s") / F.nullif(F.col("__w"), F.lit(0.0))))
+        rows = rows.drop("__p", "__w", "__s", *[f"__{name}{k}" for k in range(1, r + 1) for name in "ab"])
+    return rows
 
 
-def slope_percent(dem: DataFrame, lat0: float, pixel: float) -> DataFrame:
-    """Slope of each pixel (R5): central differences, one-sided at edges, in metres at the row's latitude."""
-    out = dem
+def smooth_gaussian(dem: DataFrame, sigma: float) -> DataFrame:
+    """Smoothed elevations (R4): a separable kernel of radius ceil(3 sigma), by the weight of the pixels that are there. One shuffle, by blocks."""
+    return own(_smooth(blocks(dem, math.ceil(3 * sigma)), sigma))
+
+
+def _slope(rows: DataFrame, lat0: float, pixel: float) -> DataFrame:
     for along, across, name in (("px", "py", "__dx"), ("py", "px", "__dy")):
-        w = Window.partitionBy(across).orderBy(along)
-        a, b = F.lag(F.struct(along, "elev")).over(w), F.lead(F.struct(along, "elev")).over(w)
+        w = Window.partitionBy(*_AT, across).orderBy(along)
         here = F.struct(F.col(along), F.col("elev"))
-        a, b = F.coalesce(a, here), F.coalesce(b, here)
-        out = out.withColumn(name, (b["elev"] - a["elev"]) / F.nullif((b[along] - a[along]).cast("double"), F.lit(0.0)))
+        rows = rows.withColumns({"__a": F.lag(here).over(w), "__b": F.lead(here).over(w)})
+        a, b = (F.when(F.abs(F.col(x)[along] - F.col(along)) == 1, F.col(x)).otherwise(here) for x in ("__a", "__b"))
+        rows = rows.withColumn(name, (b["elev"] - a["elev"]) / F.nullif((b[along] - a[along]).cast("double"), F.lit(0.0))).drop("__a", "__b")
     lat = F.radians(lat0 - (F.col("py") + 0.5) * pixel)
     sx, sy = pixel * DEGREE_M * F.cos(lat), F.lit(pixel * DEGREE_LAT_M)
-    return out.withColumn("slope_percent", F.hypot(F.coalesce("__dx", F.lit(0.0)) / sx, F.coalesce("__dy", F.lit(0.0)) / sy) * 100).drop("__dx", "__dy")
+    return rows.withColumn("slope_percent", F.hypot(F.coalesce("__dx", F.lit(0.0)) / sx, F.coalesce("__dy", F.lit(0.0)) / sy) * 100).drop("__dx", "__dy")
+
+
+def slope_percent(dem: DataFrame, lat0: float, pixel: float) -> DataFrame:
+    """Slope of each pixel (R5): central differences, one-sided at edges and gaps, in metres at the row's latitude."""
+    return own(_slope(blocks(dem, 1), lat0, pixel))
+
+
+def terrain(dem: DataFrame, sigma: float, lat0: float, pixel: float, thresholds=THRESHOLDS) -> DataFrame:
+    """Smoothed elevation, slope and class of each pixel (R4 to R6) in one shuffle."""
+    return classify_terrain(own(_slope(_smooth(blocks(dem, math.ceil(3 * sigma) + 1), sigma), lat0, pixel)), thresholds)
 
 
 def classify_terrain(dem: DataFrame, thresholds=THRESHOLDS) -> DataFrame:

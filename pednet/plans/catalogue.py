@@ -386,7 +386,7 @@ def terrain_slope(spark, d):
        SELECT (slope > 2)::INT + (slope > 5)::INT + (slope > 8.33)::INT + (slope > 12.5)::INT AS terrain, count(*) AS n FROM s GROUP BY 1""")
 def terrain_classes(spark, d):
     dem = view(spark, d, "net_dem").withColumn("elev", F.col("elev").cast("double"))
-    return R.classify_terrain(R.slope_percent(R.smooth_gaussian(dem, 1.0), -25.4, 0.0003)).groupBy("terrain").agg(F.count("*").alias("n"))
+    return R.terrain(dem, 1.0, -25.4, 0.0003).groupBy("terrain").agg(F.count("*").alias("n"))
 
 
 _SQUARE = geo.square(-25.45, -49.28, 1000)
