@@ -36,8 +36,10 @@ RANKS = 1 << 20
 TILE = 512
 DENSE = 1 / 16
 #: Pairs that a task counts at once, and distinct words that it holds.
-HELD = 1 << 21
+HELD = 1 << 20
 WORDS = 1 << 19
+#: Rows that a task hands over at once.
+ROWS = 1 << 16
 #: Codes from here on are hashes.
 HASHED = 1 << 62
 BITS = 1 << 25
@@ -272,13 +274,15 @@ def count_pairs(sequences: DataFrame, least: int) -> DataFrame:
                 held.append((c[:-1][both], c[1:][both]))
                 size += len(held[-1][0])
                 if size >= most:
-                    yield emit(held)
+                    yield from emit(held)
                     held, size = [], 0
         if size:
-            yield emit(held)
+            yield from emit(held)
 
     def emit(held):
-        return pa.record_batch([pa.array(c.astype(np.int64)) for c in tiles(*(np.concatenate(c) for c in zip(*held, strict=True)))], names=["x", "y", "n"])
+        cols = tiles(*(np.concatenate(c) for c in zip(*held, strict=True)))
+        for at in range(0, len(cols[0]), ROWS):
+            yield pa.record_batch([pa.array(c[at : at + ROWS].astype(np.int64)) for c in cols], names=["x", "y", "n"])
 
     each = sequences.mapInArrow(count, "x long, y long, n long").groupBy("x", "y").agg(F.sum("n").alias("n"))
     return common.written(each.where(F.col("n") >= least), "pairs")
