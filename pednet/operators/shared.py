@@ -14,15 +14,20 @@ def checkpointed(df: DataFrame) -> DataFrame:
     estimate of its size, which would grow without bound in loops. Where that setting is unset, a temporary folder if all runs on this
     machine, else an error."""
     spark = df.sparkSession
+    path = shared_path(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
     at = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not at:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         at = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", at)
-    path = f"{at.rstrip('/')}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return f"{at.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def importable(spark: SparkSession) -> SparkSession:
