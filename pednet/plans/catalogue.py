@@ -320,7 +320,13 @@ def degrees(spark, d):
     return N.to_csr(N.build_edges(lines, N.build_vertices(lines), (DISTANCE,))).groupBy("degree").agg(F.count("*").alias("n"))
 
 
-@query("graph_components")
+_LATTICE = """SELECT DISTINCT a, b FROM (SELECT unnest([p, q]) AS a, unnest([q, p]) AS b FROM (
+  SELECT round((lon0 + 49.30) / 0.0005)::BIGINT * 100000 + round((lat0 + 25.47) / 0.0005)::BIGINT AS p, round((lon1 + 49.30) / 0.0005)::BIGINT * 100000 + round((lat1 + 25.47) / 0.0005)::BIGINT AS q FROM net_ways) t) u"""
+
+
+@query("graph_components", f"""WITH RECURSIVE e AS MATERIALIZED ({_LATTICE}), c(v, label) USING KEY (v) AS (SELECT DISTINCT a, a FROM e UNION
+       (SELECT e.b, min(c.label) FROM c JOIN e ON c.v = e.a JOIN recurring.c AS r ON r.v = e.b WHERE c.label < r.label GROUP BY e.b))
+       SELECT vertices, count(*) AS n FROM (SELECT label, count(*) AS vertices FROM c GROUP BY label) t GROUP BY vertices""")
 def graph_components(spark, d):
     from pednet.policies.profiles import DISTANCE
 
@@ -339,7 +345,14 @@ def _graph(spark, d):
     return v, checkpointed(N.build_edges(lines, v, (DISTANCE,)))
 
 
-@query("routes")
+_STEP_M = """2 * 6371008.8 * asin(sqrt(power(sin(radians(y2 - y1) / 2), 2) + cos(radians(y1)) * cos(radians(y2)) * power(sin(radians(x2 - x1) / 2), 2)))"""
+
+
+@query("routes", f"""WITH RECURSIVE e AS MATERIALIZED (SELECT a, b, {_STEP_M} AS w FROM (SELECT a, b, -49.30 + a // 100000 * 0.0005::DOUBLE AS x1, -25.47 + a % 100000 * 0.0005::DOUBLE AS y1, -49.30 + b // 100000 * 0.0005::DOUBLE AS x2, -25.47 + b % 100000 * 0.0005::DOUBLE AS y2 FROM ({_LATTICE}) x) y),
+       q AS MATERIALIZED (SELECT od_id, floor((lon_a::DOUBLE + 49.30) / 0.0005)::BIGINT * 100000 + floor((lat_a::DOUBLE + 25.47) / 0.0005)::BIGINT AS s, floor((lon_b::DOUBLE + 49.30) / 0.0005)::BIGINT * 100000 + floor((lat_b::DOUBLE + 25.47) / 0.0005)::BIGINT AS t FROM net_od),
+       z(od_id, v, m, n) USING KEY (od_id, v) AS (SELECT od_id, s, 0.0::DOUBLE, 0 FROM q WHERE s IN (SELECT a FROM e) UNION
+       (SELECT z.od_id, e.b, min(z.m + e.w), arg_min(z.n + 1, z.m + e.w) FROM z JOIN e ON e.a = z.v LEFT JOIN recurring.z AS r ON r.od_id = z.od_id AND r.v = e.b WHERE r.v IS NULL OR z.m + e.w < r.m GROUP BY z.od_id, e.b))
+       SELECT q.od_id, round(m, 3) AS cost, n::INT AS edges FROM q LEFT JOIN z ON z.od_id = q.od_id AND z.v = q.t WHERE q.s IN (SELECT a FROM e) AND q.t IN (SELECT a FROM e)""")
 def routes(spark, d):
     v, e = _graph(spark, d)
     od = view(spark, d, "net_od")

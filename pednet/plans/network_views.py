@@ -86,4 +86,6 @@ def with_views(sql: str) -> str:
     """DuckDB SQL with the adapter views it names as common table expressions."""
     names = [n for n in VIEWS if n in sql or (n == "net_ways" and "net_kerbs" in sql)]
     more = sql.lstrip().removeprefix("WITH ")
-    return "WITH " + ",\n".join(f"{n} AS ({VIEWS[n][0]})" for n in names) + (",\n" if more != sql.lstrip() else "\n") + more
+    loops = more.startswith("RECURSIVE ")
+    more = more.removeprefix("RECURSIVE ")
+    return "WITH " + "RECURSIVE " * loops + ",\n".join(f"{n} AS ({VIEWS[n][0]})" for n in names) + (",\n" if more != sql.lstrip() else "\n") + more
