@@ -30,6 +30,7 @@ IMPROPER_KEYS = {
     },
     "other_footways": {"kerb": "kerbs are points, other footways are lines", "building": "footways are not buildings"},
 }
+# Keys that hardly suit a layer, with the comment shown to mappers.
 UNCANNY_KEYS = {
     "sidewalks": {"traffic_signals": "may be used for crossings", "name": "most sidewalks don't have an actual name"},
     "crossings": {"level": "according to wiki it may be used only for indoor or if bound to a floor..."},
@@ -41,6 +42,7 @@ UNCANNY_KEYS = {
     },
     "other_footways": {},
 }
+# Values to be replaced on each layer and key, with the value to take.
 REPLACEABLE = {
     "crossings": {
         "crossing": {
@@ -50,7 +52,9 @@ REPLACEABLE = {
         }
     }
 }
+# Characters that must not be in a value, with the comment.
 INVALID_CHARACTERS = {"=": "The '=' character is used ONLY in textual representation of tags to separate the key from the value"}
+# Tags that a layer should have, with the comment.
 MISSING = {layer: {"surface": "Surface tag is recommended to assess accessibility"} for layer in ("sidewalks", "crossings", "other_footways")}
 # ISO 19157 element and sub-element of each category.
 _ATTRIBUTE = ("Thematic Accuracy", "Non-quantitative Attribute Accuracy")
