@@ -277,9 +277,11 @@ def fuzzy(every: DataFrame) -> DataFrame:
     links = verified(every, units.select("unit", F.explode("members").alias("k1")).select("unit", "k1", F.col("k1").alias("root")))
     roots = common.components(links)
     if large.isEmpty():
+        common.drop(blocks, large, links)
         return roots
     # large buckets whose lines are not all connected: blocks outside their largest component with one another and with those inside
-    roots = common.written(roots, "roots")
+    roots, found = common.written(roots, "roots"), roots
+    common.drop(found)
     rest = blocks.join(large.select("bucket"), "bucket", "left_semi").select("bucket", F.explode("members").alias("k1")).distinct()
     rest = rest.join(roots.withColumnRenamed("id", "k1"), "k1", "left").select("bucket", "k1", F.coalesce("root", "k1").alias("root"))
     rest = common.written(rest, "rest")
@@ -297,7 +299,12 @@ def fuzzy(every: DataFrame) -> DataFrame:
     apart = apart.select(F.xxhash64("bucket", F.least("block", "other"), F.greatest("block", "other")).alias("unit"), "k1", "root")
     more = verified(every, across.unionByName(apart))
     common.drop(rest)
-    return roots if more.isEmpty() else common.components(links.unionByName(more))
+    out = roots
+    if not more.isEmpty():
+        out = common.components(links.unionByName(more))
+        common.drop(roots)
+    common.drop(links, more)
+    return out
 
 
 def kept_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
