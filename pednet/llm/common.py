@@ -68,8 +68,13 @@ def drop(*tables: DataFrame) -> None:
     for df in tables:
         path = os.path.dirname(df.inputFiles()[0])
         df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(path)
+    freed(tables[0].sparkSession)
+
+
+def freed(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that nothing refers to any more."""
     gc.collect()
-    tables[0].sparkSession._jvm.System.gc()
+    spark._jvm.System.gc()
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -134,7 +139,8 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
         # small star: every smaller neighbour of a, and a, point to the smallest of them
         low2 = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low2, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b").unionByName(low2.select("a", F.col("m").alias("b"))).distinct()
-        edges, has = put(small)
+        before, (edges, has) = edges, put(small)
+        drop(before)
         if has == had:
             break
         had = has

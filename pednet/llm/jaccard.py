@@ -36,6 +36,8 @@ BLOCK = 128
 GROUP = 1024
 #: Of a group, the sets that every block of it is compared with first.
 PIVOTS = 2
+#: Parts in which units of sets are put together and compared, one after another.
+SLICES = 4
 
 
 def most_apart(sizes, percent: int = PERCENT):
@@ -224,6 +226,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     qualify = common.written(qualify, "qualify")
     common.drop(mine)
     sets = common.written(full_sets(common.restrict(rows, active.select("id").distinct(), "id"), shingle, percent), "full")
+    tables: list[DataFrame] = []
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     unit = lambda *of: F.xxhash64(*of).alias("unit")
     as_host, as_guest, alike = ([F.lit(own).alias("own"), F.lit(role).alias("role"), "id", "level"] for own, role in ((False, 0), (False, 1), (True, 0)))
@@ -236,8 +239,17 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         return at.unionByName(come.select(unit("g", "block", "v", F.lit(name)), *as_guest))
 
     def links_in(units: DataFrame) -> DataFrame:
-        units = units.join(sets, ["id", "level"]).select("unit", "own", "role", "id", "level", "u")
-        return common.written(open_units(units.repartition("unit").sortWithinPartitions("unit", "role", "id"), percent), "links")
+        """The links of units, a slice of them after another, so that the sets of one slice are on disk at once."""
+        units, links = common.written(units, "units"), None
+        for i in range(SLICES):
+            part = units.where(F.pmod(F.xxhash64("unit", F.lit("slice")), F.lit(SLICES)) == i)
+            part = part.join(sets, ["id", "level"]).select("unit", "own", "role", "id", "level", "u")
+            found = common.written(open_units(part.repartition("unit").sortWithinPartitions("unit", "role", "id"), percent), "links")
+            links = found if links is None else links.unionByName(found)
+            tables.append(found)
+            common.freed(units.sparkSession)
+        common.drop(units)
+        return links
 
     # 4: each block with its group's pivots, and pivots with those of the groups that they may have links in
     pivots = grouped.where("pivot")
@@ -245,9 +257,10 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     units = units.unionByName(pivots.select("*", upto("blocks").alias("to")).where("b <> to").select(unit("g", "to", F.lit("block")), *alike))
     come = qualify.join(pivots.select("id", "level"), ["id", "level"]).withColumn("blocks", F.lit(1))
     links = links_in(units.unionByName(visiting(come, pivots.select("id", "level", "g", F.lit(0).alias("block")), "pivots")))
-    roots = common.components(links).withColumnRenamed("id", "r")
+    found = common.components(links)
+    roots = found.withColumnRenamed("id", "r")
     rooted = common.written(grouped.join(roots, grouped["id"] == F.col("r"), "left").select("id", "level", "g", "blocks", "b", F.coalesce("root", "id").alias("root")), "rooted")
-    common.drop(grouped)
+    common.drop(grouped, found)
     # 5: what isn't connected by then: pairs of blocks of a group of several components, and visitors of a group not all of their own
     mixed = rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.first("blocks").alias("blocks"))
     apart = rooted.join(mixed.where("lo <> hi and blocks > 1").select("g"), "g", "left_semi").select("*", upto("blocks").alias("to")).where("b <> to")
@@ -259,7 +272,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     several = members.where("n > 0 and id is not null").groupBy("id").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("id")
     shared = members.where("n > 0").join(several, "id").join(first, "k").select(F.col("id").alias("a"), F.col("c").alias("b"))
     roots = common.components(links.unionByName(more).unionByName(shared))
-    common.drop(one, active, qualify, sets, rooted)
+    common.drop(one, active, qualify, sets, rooted, *tables)
     first = first.join(roots, first["c"] == roots["id"], "left").select("k", F.coalesce("root", "c").alias("root"))
     out = members.join(first, "k", "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
