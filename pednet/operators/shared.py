@@ -16,7 +16,14 @@ def checkpointed(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = shared_path(spark, "step")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.shared_path = path
+    return out
+
+
+def emptied(df: DataFrame) -> None:
+    """Give back the space of a table that `checkpointed` has made and nothing reads any more."""
+    df.sparkSession.createDataFrame([], df.schema).write.mode("overwrite").parquet(df.shared_path)
 
 
 def shared_path(spark: SparkSession, name: str) -> str:

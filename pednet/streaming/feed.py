@@ -30,6 +30,17 @@ def changeset_sessions(changes: DataFrame, gap: str = "1 hour", late: str = "1 d
     return s.agg(F.count("*").alias("changes"), F.count_if("deletion").alias("deletions")).select("changeset_id", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "changes", "deletions")
 
 
+def closings_of_changes(changes: DataFrame, closings: DataFrame, within: str = "6 hours", late: str = "1 day") -> DataFrame:
+    """Changes with the closings of their changeset that follow within that time, as two streams: both may come late by `late`, and a change without
+    any comes out with nulls once the watermark has passed its time. Each side's state holds the rows of that time and lateness only, by
+    changeset. closings: changeset_id, closed and other columns that changes don't have. A change without a changeset has none; rows without a time
+    take no part."""
+    left = changes.where("ts is not null").withWatermark("ts", late)
+    right = closings.where("closed is not null").withColumnRenamed("changeset_id", "__changeset").withWatermark("closed", late)
+    soon = F.expr(f"changeset_id = __changeset and closed >= ts and closed <= ts + interval {within}")
+    return left.join(right, soon, "left_outer").drop("__changeset")
+
+
 # --- a base table by buckets ---------------------------------------------------------------------------------
 #
 # Rows lie in folders by the hash of their key (element, id). A batch reads and overwrites the buckets that it touches and no others. Each bucket has one
