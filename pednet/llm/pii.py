@@ -2,10 +2,12 @@
 
 Base: emails, IP addresses, cards and phones by fixed patterns, in linear time for any text. Each distinct value is a protected entity.
 Corpus counts over all documents: df(e), documents that hold an entity; df(t), that hold a term; df(t, e), that hold the term within
-CONTEXT words of the entity. A term's disclosure of an entity is PMI(t, e) / IC(e), the share of the entity's information that the term
+CONTEXT terms of the entity; terms are runs of letters and digits. A term's disclosure of an entity is PMI(t, e) / IC(e), the share of the entity's information that the term
 gives away: 1 where the term occurs nowhere else. So that a chance meeting doesn't count as much as many, the share of a term's documents
 that hold the entity enters PMI by its lower confidence bound (Wilson's, at SURE standard deviations, over the different texts that have
-both). Terms that disclose an entity by REMOVE or more are marked for removal wherever they stand, by GENERALISE or more for a general
+both). A term of an email's own local part, such as its owner's name, does not meet it by chance: every document that holds the email
+holds the term, and df(t) counts those where it stands alone too, so its PMI is that of the counts themselves: a name that few others
+bear is marked wherever it stands, a common word isn't. Terms that disclose an entity by REMOVE or more are marked for removal wherever they stand, by GENERALISE or more for a general
 word. sanitised() rewrites the texts: base spans and terms to generalise give way to the name of their class, terms to remove go.
 
 Candidates and marked terms reach the passes over texts as Bloom filters of fixed size; exact joins decide afterwards.
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pednet.llm import common
+from pednet.llm.terms import gaps, split
 
 KINDS = ("email", "ip", "card", "phone", "generalise", "remove")
 CONTEXT = 8
@@ -39,6 +42,8 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
+#: What stands between terms: all ASCII but letters and digits.
+_GAPS = gaps("".join(chr(c) for c in range(128) if not chr(c).isalnum()))
 _LOCAL_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -89,19 +94,25 @@ def row_key(text: str | None) -> int:
     return int.from_bytes(common.digest((text or "").encode("utf-8", "replace"))[:8], "little", signed=True)
 
 
+def terms(text: pa.Array) -> tuple[np.ndarray, ...]:
+    """The texts' bytes and offsets; start, end and hash of each term, and for each text where its terms begin (one more at the end)."""
+    data, off = common.utf8(text)
+    begin, end, h, _ = split(data, off, _GAPS)
+    return data, off, begin, end, h, np.searchsorted(begin, off)
+
+
 def found(docs: DataFrame) -> DataFrame:
-    """id, row (hash of the text), base spans, and (entity, term) pairs that stand together."""
+    """id, row (hash of the text), base spans, and (entity, term) pairs that stand together; own: the term is part of the entity."""
 
     def run(batches):
         for batch in batches:
             for b in common.slices(batch):
                 texts = b.column("text").to_pylist()
                 spans = [base_spans(t or "") for t in texts]
-                data, off = common.utf8(b.column("text"))
-                begin, end, h, first = common.words(data, off, lower=True)
+                data, off, begin, end, h, first = terms(b.column("text"))
                 near = []
                 for i, s in enumerate(spans):
-                    pairs = set()
+                    pairs = {}
                     if s:
                         lead = np.flatnonzero((data[off[i] : off[i + 1]] & 0xC0) != 0x80)
                         lead = np.append(lead, off[i + 1] - off[i]) + off[i]
@@ -115,15 +126,21 @@ def found(docs: DataFrame) -> DataFrame:
                         for x, y, e in places:
                             for j in [*range(max(0, x - CONTEXT), x), *range(y, min(len(ws), y + CONTEXT))]:
                                 if fine[j]:
-                                    pairs.add((e, int(wh[j].view(np.int64))))
-                            pairs.add((e, 0))
-                    near.append([{"e": e, "t": t} for e, t in pairs])
+                                    pairs.setdefault((e, int(wh[j].view(np.int64))), False)
+                            pairs[e, 0] = False
+                        for x, k, y in s:
+                            if k == 0:
+                                e, local = entity(k, texts[i][x:y]), texts[i].index("@", x)
+                                for j in range(int(np.searchsorted(we, lead[x], "right")), int(np.searchsorted(we, lead[local], "right"))):
+                                    if we[j] - ws[j] >= LEAST_BYTES and not data[ws[j] : we[j]].tobytes().isdigit():
+                                        pairs[e, int(wh[j].view(np.int64))] = True
+                    near.append([{"e": e, "t": t, "own": own} for (e, t), own in pairs.items()])
                 yield pa.record_batch(
-                    [b.column("id"), pa.array([row_key(t) for t in texts], pa.int64()), pa.array([[{"start": s, "kind": k, "end": e} for s, k, e in x] for x in spans], SPANS), pa.array(near, pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64())])))],
+                    [b.column("id"), pa.array([row_key(t) for t in texts], pa.int64()), pa.array([[{"start": s, "kind": k, "end": e} for s, k, e in x] for x in spans], SPANS), pa.array(near, pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64()), ("own", pa.bool_())])))],
                     names=["id", "row", "spans", "near"],
                 )
 
-    return docs.mapInArrow(run, "id long, row long, spans array<struct<start:int,kind:int,end:int>>, near array<struct<e:bigint,t:bigint>>")
+    return docs.mapInArrow(run, "id long, row long, spans array<struct<start:int,kind:int,end:int>>, near array<struct<e:bigint,t:bigint,own:boolean>>")
 
 
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())]))
@@ -154,7 +171,7 @@ def term_counts(docs: DataFrame, words: np.ndarray) -> DataFrame:
     def run(batches):
         for batch in batches:
             for b in common.slices(batch):
-                _, _, h, first = common.words(*common.utf8(b.column("text")), lower=True)
+                *_, h, first = terms(b.column("text"))
                 at = np.flatnonzero(maybe(h, sent.value))
                 doc = np.searchsorted(first, at, "right") - 1
                 order = np.lexsort((doc, h[at]))
@@ -174,8 +191,7 @@ def term_places(docs: DataFrame, words: np.ndarray) -> DataFrame:
     def run(batches):
         for batch in batches:
             for b in common.slices(batch):
-                data, off = common.utf8(b.column("text"))
-                begin, end, h, first = common.words(data, off, lower=True)
+                data, off, begin, end, h, first = terms(b.column("text"))
                 at = np.flatnonzero(maybe(h, sent.value))
                 doc = np.searchsorted(first, at, "right") - 1
                 cp = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
@@ -188,16 +204,16 @@ def term_places(docs: DataFrame, words: np.ndarray) -> DataFrame:
 
 
 def revealing(near: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """t and kind (of KINDS) of the terms whose disclosure of some entity reaches a threshold. near: e, t, row; t 0: the entity itself."""
-    pairs = near.groupBy("e", "t").agg(F.count("*").alias("both"), F.countDistinct("row").alias("texts"))
+    """t and kind (of KINDS) of the terms whose disclosure of some entity reaches a threshold. near: e, t, row, own; t 0: the entity itself."""
+    pairs = near.groupBy("e", "t").agg(F.count("*").alias("both"), F.countDistinct("row").alias("texts"), F.max("own").alias("own"))
     pairs = common.written(pairs, "pairs")
     of = pairs.where("t = 0").select("e", F.col("both").alias("of_e")).where(F.col("of_e") < n)
-    # no term of so few texts can reach the threshold, even if all that hold it hold the entity
+    # other than a part of the entity, no term of so few texts can reach the threshold, even if all that hold it hold the entity
     share = lambda p: 1 + F.log2(p) / F.log2(F.lit(float(n)) / F.col("of_e"))
-    candidates = common.written(pairs.where("t <> 0").join(of, "e").where(share(lower_bound(F.lit(1.0), F.col("texts"))) >= GENERALISE), "candidates")
+    candidates = common.written(pairs.where("t <> 0").join(of, "e").where(F.col("own") | (share(lower_bound(F.lit(1.0), F.col("texts"))) >= GENERALISE)), "candidates")
     common.drop(pairs)
     df = term_counts(docs, term_filter(candidates.select("t").distinct()))
-    rows = candidates.join(df, "t").withColumn("share", share(lower_bound(F.col("both") / F.col("df"), F.col("texts"))))
+    rows = candidates.join(df, "t").withColumn("share", share(F.when(F.col("own"), F.col("both") / F.col("df")).otherwise(lower_bound(F.col("both") / F.col("df"), F.col("texts")))))
     rows = rows.groupBy("t").agg(F.max("share").alias("share"))
     return rows.where(F.col("share") >= GENERALISE).select("t", F.when(F.col("share") >= REMOVE, 5).otherwise(4).alias("kind"))
 
@@ -211,7 +227,7 @@ def lower_bound(p, n):
 def spans_of(docs: DataFrame) -> DataFrame:
     """id, row (hash of the text), base (spans of the patterns) and spans (these and revealing terms), sorted by start, then kind. docs: id, text."""
     base = common.written(found(docs), "base")
-    near = base.select("row", F.explode("near").alias("x")).select("row", "x.e", "x.t")
+    near = base.select("row", F.explode("near").alias("x")).select("row", "x.*")
     marked = common.written(revealing(near, docs, base.count()), "marked")
     places = term_places(docs, term_filter(marked.select("t"))).join(marked, "t").select("id", "row", F.struct("start", "kind", "end").alias("s")).distinct()
     places = places.groupBy("id", "row").agg(F.collect_list("s").alias("terms"))

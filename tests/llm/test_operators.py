@@ -318,6 +318,35 @@ def test_revealing_terms(spark):
     assert all(not s for i, s in out.items() if i >= 8)
 
 
+def test_owners_names(spark):
+    """Names in local parts are marked wherever they stand if few others bear them: the same as PMI / IC of plain counts; common words, digits and short parts aren't."""
+    import math
+    import re
+
+    filler = [document(25, {i: f"w{n % 211}x{i}" for i in range(20)}) for n in range(1500)]
+    plant = {
+        3: "Write to Quennevar.Osteldian-1985@mail.example.com today", 40: "we saw Quennevar, and (OSTELDIAN) left", 41: "about osteldian: gone",
+        50: "send it to hello.it@mail.example.com or it@x.example.com", 60: "ask Brüselda_vann@mail.example.com", 61: "so Brüselda! came", 70: "in 1985 it was",
+    }
+    plant |= {n: "hello there" for n in range(100, 400)}
+    texts = [f"{t} {plant[n]}" if n in plant else t for n, t in enumerate(filler)]
+    df = spark.createDataFrame([*enumerate(texts), (9000, None), (9001, "")], "doc_id long, text string").repartition(5)
+    out = {r["id"]: [(texts[r["id"]][s["start"] : s["end"]].lower(), pii.KINDS[s["kind"]]) for s in r["spans"] if s["kind"] >= 4] for r in pii.personal_data(df).collect()}
+    parts = lambda t: {p for p in re.split(r"[^0-9a-z\u0080-\uffff]+", t.lower()) if len(p.encode()) >= 3}
+    count = Counter(p for t in texts for p in parts(t))
+    mails = Counter(m for t in texts for m in set(re.findall(r"[\w.%+-]+@[\w.-]+", t.lower())))
+    n, share = len(texts) + 2, {}
+    for m, of in mails.items():
+        for p in parts(m.split("@")[0]):
+            if not p.isdigit():
+                share[p] = max(share.get(p, 0), math.log2(n / count[p]) / math.log2(n / of))
+    want = {p: "remove" if x >= pii.REMOVE else "generalise" for p, x in share.items() if x >= pii.GENERALISE}
+    assert {"quennevar", "brüselda"} <= set(want) and "hello" in share and "hello" not in want
+    for i, t in enumerate(texts):
+        alone = re.sub(r"[\w.%+-]+@[\w.-]+", " ", t)
+        assert sorted(out[i]) == sorted((w.lower(), want[w.lower()]) for w in re.findall(r"[^\W_]+", alone) if w.lower() in want)
+
+
 def test_line_dedup(spark, docs, none):
     a, b = document(20), document(20, {3: "changed"})
     df = spark.createDataFrame([(1, f"{a}\nunique first\n\n{a}"), (2, f"{b}\nother line here"), (3, f"  {a.upper()} "), (4, None), (5, "abc"), (5, "abc"), (6, "abd")], "doc_id long, text string")
