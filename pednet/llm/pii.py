@@ -36,6 +36,8 @@ SURE = 1.96
 REMOVE = 0.95
 GENERALISE = 0.9
 LEAST_BYTES = 3
+#: Counts of terms that a task holds before it hands them on.
+HELD = 400_000
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
@@ -165,10 +167,19 @@ def maybe(h: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 
 def term_counts(docs: DataFrame, words: np.ndarray) -> DataFrame:
-    """t and df(t) of the terms that may be in the filter."""
+    """t and df(t) of the terms that may be in the filter; a task adds up what it has read."""
     sent = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def added():
+            u, inv = np.unique(np.concatenate([x for x, _ in held]), return_inverse=True)
+            return u, np.bincount(inv, np.concatenate([n for _, n in held])).astype(np.int64)
+
+        def batch_of(u, n):
+            return pa.record_batch([pa.array(common.as_long(u)), pa.array(n)], names=["t", "n"])
+
         for batch in batches:
             for b in common.slices(batch):
                 *_, h, first = terms(b.column("text"))
@@ -179,7 +190,13 @@ def term_counts(docs: DataFrame, words: np.ndarray) -> DataFrame:
                 new = np.ones(len(t), bool)
                 new[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
                 u, n = np.unique(t[new], return_counts=True)
-                yield pa.record_batch([pa.array(common.as_long(u)), pa.array(n.astype(np.int64))], names=["t", "n"])
+                held.append((u, n.astype(np.int64)))
+                if sum(len(x) for x, _ in held) > HELD:
+                    held = [added()]
+                    if len(held[0][0]) > HELD // 2:
+                        yield batch_of(*held.pop())
+        if held:
+            yield batch_of(*added())
 
     return docs.select("text").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("df"))
 
@@ -203,17 +220,22 @@ def term_places(docs: DataFrame, words: np.ndarray) -> DataFrame:
     return docs.mapInArrow(run, "id long, row long, t long, start int, end int")
 
 
-def revealing(near: DataFrame, docs: DataFrame, n: int) -> DataFrame:
-    """t and kind (of KINDS) of the terms whose disclosure of some entity reaches a threshold. near: e, t, row, own; t 0: the entity itself."""
+def revealing(base: DataFrame, docs: DataFrame) -> DataFrame:
+    """t and kind (of KINDS) of the terms whose disclosure of some entity reaches a threshold. base: near and row of each document, as found."""
+    n = base.count()
+    near = base.select("row", F.explode("near").alias("x")).select("row", "x.*")
+    least = base.select(F.explode(F.array_distinct("near.t")).alias("t")).groupBy("t").agg(F.count("*").alias("least"))  # of df(t): documents where it stands by an entity
     pairs = near.groupBy("e", "t").agg(F.count("*").alias("both"), F.countDistinct("row").alias("texts"), F.max("own").alias("own"))
     pairs = common.written(pairs, "pairs")
     of = pairs.where("t = 0").select("e", F.col("both").alias("of_e")).where(F.col("of_e") < n)
-    # other than a part of the entity, no term of so few texts can reach the threshold, even if all that hold it hold the entity
+    # with so few texts, or so many documents beside those of the entity, no term can reach the threshold, even if all that hold it hold the entity
     share = lambda p: 1 + F.log2(p) / F.log2(F.lit(float(n)) / F.col("of_e"))
-    candidates = common.written(pairs.where("t <> 0").join(of, "e").where(F.col("own") | (share(lower_bound(F.lit(1.0), F.col("texts"))) >= GENERALISE)), "candidates")
+    told = lambda df: share(F.when(F.col("own"), F.col("both") / df).otherwise(lower_bound(F.col("both") / df, F.col("texts"))))
+    candidates = pairs.where("t <> 0").join(of, "e").join(least, "t").where(told(F.col("least")) >= GENERALISE)
+    candidates = common.written(candidates.drop("least"), "candidates")
     common.drop(pairs)
     df = term_counts(docs, term_filter(candidates.select("t").distinct()))
-    rows = candidates.join(df, "t").withColumn("share", share(F.when(F.col("own"), F.col("both") / F.col("df")).otherwise(lower_bound(F.col("both") / F.col("df"), F.col("texts")))))
+    rows = candidates.join(df, "t").withColumn("share", told(F.col("df")))
     rows = rows.groupBy("t").agg(F.max("share").alias("share"))
     return rows.where(F.col("share") >= GENERALISE).select("t", F.when(F.col("share") >= REMOVE, 5).otherwise(4).alias("kind"))
 
@@ -227,8 +249,7 @@ def lower_bound(p, n):
 def spans_of(docs: DataFrame) -> DataFrame:
     """id, row (hash of the text), base (spans of the patterns) and spans (these and revealing terms), sorted by start, then kind. docs: id, text."""
     base = common.written(found(docs), "base")
-    near = base.select("row", F.explode("near").alias("x")).select("row", "x.*")
-    marked = common.written(revealing(near, docs, base.count()), "marked")
+    marked = common.written(revealing(base, docs), "marked")
     places = term_places(docs, term_filter(marked.select("t"))).join(marked, "t").select("id", "row", F.struct("start", "kind", "end").alias("s")).distinct()
     places = places.groupBy("id", "row").agg(F.collect_list("s").alias("terms"))
     same = base["id"].eqNullSafe(places["id"]) & (base["row"] == places["row"])
