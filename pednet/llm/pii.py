@@ -168,7 +168,7 @@ def maybe(h: np.ndarray, words: np.ndarray) -> np.ndarray:
 
 def term_counts(docs: DataFrame, words: np.ndarray) -> DataFrame:
     """t and df(t) of the terms that may be in the filter; a task adds up what it has read."""
-    sent = docs.sparkSession.sparkContext.broadcast(words)
+    sent, most = docs.sparkSession.sparkContext.broadcast(words), HELD
 
     def run(batches):
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -191,9 +191,9 @@ def term_counts(docs: DataFrame, words: np.ndarray) -> DataFrame:
                 new[1:] = (t[1:] != t[:-1]) | (d[1:] != d[:-1])
                 u, n = np.unique(t[new], return_counts=True)
                 held.append((u, n.astype(np.int64)))
-                if sum(len(x) for x, _ in held) > HELD:
+                if sum(len(x) for x, _ in held) > most:
                     held = [added()]
-                    if len(held[0][0]) > HELD // 2:
+                    if len(held[0][0]) > most // 2:
                         yield batch_of(*held.pop())
         if held:
             yield batch_of(*added())

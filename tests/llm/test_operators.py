@@ -318,11 +318,12 @@ def test_revealing_terms(spark):
     assert all(not s for i, s in out.items() if i >= 8)
 
 
-def test_owners_names(spark):
+@pytest.mark.parametrize("held", [2, 400_000])
+def test_owners_names(spark, monkeypatch, held):
     """Names in local parts are marked wherever they stand if few others bear them: the same as PMI / IC of plain counts; common words, digits and short parts aren't."""
     import math
-    import re
 
+    monkeypatch.setattr(pii, "HELD", held)
     filler = [document(25, {i: f"w{n % 211}x{i}" for i in range(20)}) for n in range(1500)]
     plant = {
         3: "Write to Quennevar.Osteldian-1985@mail.example.com today", 40: "we saw Quennevar, and (OSTELDIAN) left", 41: "about osteldian: gone",
