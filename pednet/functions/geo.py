@@ -185,7 +185,7 @@ def in_bounds(df, w: float, s: float, e: float, n: float):
 def robust_slope(distances, elevations) -> Column:
     """Median of the slopes of all pairs of valid samples, in percent; null with fewer than two."""
     both = F.filter(F.arrays_zip(col(distances).alias("d"), col(elevations).alias("h")), lambda p: p["d"].isNotNull() & p["h"].isNotNull() & ~F.isnan(p["d"]) & ~F.isnan(p["h"]))
-    pairs = F.flatten(F.transform(both, lambda p: F.transform(F.filter(both, lambda q: q["d"] > p["d"]), lambda q: (q["h"] - p["h"]) / (q["d"] - p["d"]) * 100)))
+    pairs = F.flatten(F.transform(both, lambda p: F.transform(F.filter(both, lambda q: q["d"] > p["d"]), lambda q: 100 * (q["h"] - p["h"]) / (q["d"] - p["d"]))))
     s = F.array_sort(pairs)
     k = F.size(s)
     half = lambda i: F.get(s, i.cast("int"))

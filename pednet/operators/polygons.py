@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pednet.functions.geo import tile_bounds, tile_x, tile_y
+from pednet.functions.geo import clip, tile_bounds, tile_x, tile_y
 from pednet.operators.shared import checkpointed
 
 #: Tiles across an area, as a power of two: at least, and at most for those of many edges.
@@ -27,8 +27,6 @@ ACROSS = (5, 9)
 EDGES = 64
 #: Degrees by which an edge reaches into its neighbouring tiles.
 SLACK = 1e-11
-#: Degrees beside an edge where it is asked what lies there.
-NUDGE = 1e-10
 CELL = ["z", "row", "col"]
 
 
@@ -107,14 +105,17 @@ def cover(areas: DataFrame, zoom: int | None = None) -> Cover:
     return Cover(pieces, inner, sorted(zooms))
 
 
-def points_in_areas(points: DataFrame, areas: Cover, keys: list[str]) -> DataFrame:
-    """keys and area_id of the points (keys, which tell them apart, lon, lat) inside areas."""
+def points_in_areas(points: DataFrame, areas: Cover, keys: list[str], own: tuple[str, str] | None = None) -> DataFrame:
+    """keys and area_id of the points (keys, which tell them apart, lon, lat) inside areas; with own, columns of either side, only of areas where these agree."""
     if not areas.zooms:
         return points.select(*keys).limit(0).crossJoin(areas.inner.select("area_id").limit(0))  # no rows on either side
     ok = points.where((F.abs("lon") <= 1e6) & (F.abs("lat") <= 90)).select(*keys, F.col("lon").cast("double").alias("lon"), F.col("lat").cast("double").alias("lat"))
     ok = ok.withColumn("z", F.explode(F.array(*[F.lit(z) for z in areas.zooms]))).withColumns({"row": tile_y("lat", F.col("z")), "col": tile_x("lon", F.col("z"))})
-    sure = ok.join(areas.inner, CELL).select(*keys, "area_id")
-    near = ok.join(areas.pieces.select(*CELL, "area_id", "centre", "x1", "y1", "x2", "y2"), CELL)
+    inner, pieces, by = areas.inner, areas.pieces.select(*CELL, "area_id", "centre", "x1", "y1", "x2", "y2"), CELL
+    if own:
+        ok, inner, pieces, by = ok.withColumn("__own", F.col(own[0])), inner.withColumn("__own", F.col(own[1])), pieces.withColumn("__own", F.col(own[1])), [*CELL, "__own"]
+    sure = ok.join(inner, by).select(*keys, "area_id")
+    near = ok.join(pieces, by)
     cx, cy = _middle("col"), _band("row")["middle"]
     x = _x_at(cy)
     y = F.col("y1") + (F.col("lon") - F.col("x1")) * (F.col("y2") - F.col("y1")) / F.nullif(F.col("x2") - F.col("x1"), F.lit(0.0))
@@ -139,12 +140,13 @@ def mask_to_areas(dem: DataFrame, areas: DataFrame, lon0: float, lat0: float, pi
 
 
 def crossings(one: DataFrame, other: DataFrame) -> DataFrame:
-    """Where edges of one meet edges of the other: all columns of one's edges, other_id, and t, the share of one's edge up to there. Both: on_tiles()."""
+    """Where edges of one meet edges of the other, up to SLACK beside their ends: all columns of one's edges, other_id, and t, the share of one's edge up to
+    there. Both: on_tiles(). Edges along one another meet where their neighbours do."""
     b = other.select(*CELL, F.col("area_id").alias("other_id"), *[F.col(c).alias(f"o{c}") for c in ("x1", "y1", "x2", "y2")])
     dx, dy, ex, ey = F.col("x2") - F.col("x1"), F.col("y2") - F.col("y1"), F.col("ox2") - F.col("ox1"), F.col("oy2") - F.col("oy1")
     wx, wy, d = F.col("ox1") - F.col("x1"), F.col("oy1") - F.col("y1"), dx * ey - dy * ex
     t, u = (wx * ey - wy * ex) / F.nullif(d, F.lit(0.0)), (wx * dy - wy * dx) / F.nullif(d, F.lit(0.0))
-    met = one.join(b, CELL).withColumns({"t": t, "u": u}).where("t between 0 and 1 and u between 0 and 1")
+    met = one.join(b, CELL).withColumns({"t": t, "u": u, "st": SLACK / F.hypot(dx, dy), "su": SLACK / F.hypot(ex, ey)}).where("t between -st and 1 + st and u between -su and 1 + su")
     return met.select("area_id", "ring", "edge", "x1", "y1", "x2", "y2", "other_id", "t").distinct()
 
 
@@ -174,7 +176,7 @@ def _oriented(areas: DataFrame) -> DataFrame:
     rings = areas.select(F.struct("area_id", "ring").alias("area_id"), F.lit(0).alias("ring"), "coords")
     own = area_edges(areas).where("edge = 0").select("area_id", "ring", F.col("x1").alias("lon"), F.col("y1").alias("lat"))
     probes = own.select(F.struct("area_id", "ring").alias("of"), "lon", "lat")
-    held = points_in_areas(probes, cover(rings), ["of"]).where("of.area_id = area_id.area_id and of.ring <> area_id.ring").groupBy("of").agg(F.count("*").alias("depth"))
+    held = points_in_areas(probes, cover(rings), ["of"], ("of.area_id", "area_id.area_id")).where("of.ring <> area_id.ring").groupBy("of").agg(F.count("*").alias("depth"))
     depth = ring_areas(areas).join(held.select(F.col("of.area_id").alias("area_id"), F.col("of.ring").alias("ring"), "depth"), ["area_id", "ring"], "left")
     turn = depth.select("area_id", "ring", ((F.col("signed") > 0) != (F.coalesce("depth", F.lit(0)) % 2 == 0)).alias("turn"))
     e = area_edges(areas).join(turn, ["area_id", "ring"])
@@ -182,33 +184,69 @@ def _oriented(areas: DataFrame) -> DataFrame:
     return e.select("area_id", "ring", "edge", *[x.alias(c) for c, x in swap.items()])
 
 
+def _steps(edges: DataFrame, zooms: list[int]) -> DataFrame:
+    """Areas as sums of steps in tiles. edges: oriented, with the zoom own of their area, which is cut at this and all coarser of the zooms.
+
+    A step (z, row, col, a, b, ga, gb, sign) holds all of a tile above the line from (a, ga) to (b, gb); ga and gb count from the tile's south side. A way from a
+    tile's south-west corner along its south side, then north, meets edges: the corner's own state, what crosses the south side and the edges in the tile
+    are the steps, and their signs at a place add up to 1 if it is inside, else to 0. A vertex on the south side lies below it."""
+    e = edges.withColumn("z", F.explode(F.filter(F.array(*[F.lit(z) for z in zooms]), lambda z: z <= F.col("own"))))
+    rows = on_tiles(e)
+    band, n = _band("row"), F.pow(F.lit(2.0), F.col("z"))
+    rows = rows.withColumns({"s": band["s"], "n": band["n"], "w": F.col("col") / n * 360 - 180, "e": (F.col("col") + 1) / n * 360 - 180})
+    x = _x_at(F.col("s"))
+    crosses = ((F.col("y1") <= F.col("s")) != (F.col("y2") <= F.col("s"))) & (tile_x(x, F.col("z")) == F.col("col"))
+    rows = rows.withColumns({"turn": F.when(crosses, F.when(F.col("y2") > F.col("y1"), -1).otherwise(1)), "x": F.when(crosses, x)})
+    rows = checkpointed(rows.withColumn("c", clip("x1", "y1", "x2", "y2", "w", "s", "e", "n")))
+    keys = ["area_id", "own", *CELL]
+    along = Window.partitionBy("area_id", "z", "row").orderBy("col")
+    tiles = rows.groupBy(*keys).agg(F.coalesce(F.sum("turn"), F.lit(0)).alias("t"))
+    tiles = checkpointed(tiles.withColumn("after", F.sum("t").over(along)).withColumn("next", F.lead("col").over(along)))
+    whole = tiles.select(*keys, (F.col("after") - F.col("t")).alias("sign")).unionByName(tiles.where("next > col + 1").select("area_id", "own", "z", "row", F.explode(F.sequence(F.col("col") + 1, F.col("next") - 1)).alias("col"), F.col("after").alias("sign")))
+    band, zero = _band("row"), F.lit(0.0)
+    whole = whole.where("sign <> 0").select(*keys, (F.col("col") / n * 360 - 180).alias("a"), ((F.col("col") + 1) / n * 360 - 180).alias("b"), zero.alias("ga"), zero.alias("gb"), "sign")
+    south = rows.where("turn is not null").select(*keys, F.greatest("x", "w").alias("a"), F.col("e").alias("b"), zero.alias("ga"), zero.alias("gb"), F.col("turn").alias("sign"))
+    east = F.col("c.lon2") > F.col("c.lon1")
+    first = lambda v, u: F.when(east, F.col(f"c.{v}")).otherwise(F.col(f"c.{u}"))
+    rise = rows.where("c.lon1 <> c.lon2 and (c.lat1 > s or c.lat2 > s)").select(*keys, first("lon1", "lon2").alias("a"), first("lon2", "lon1").alias("b"), (first("lat1", "lat2") - F.col("s")).alias("ga"), (first("lat2", "lat1") - F.col("s")).alias("gb"), F.when(east, 1).otherwise(-1).alias("sign"))
+    return whole.unionByName(south).unionByName(rise).where("a < b")
+
+
 def overlaps(one: DataFrame, other: DataFrame) -> DataFrame:
-    """area_id, other_id, overlap: the area in square degrees that two areas share, by Green's theorem over the parts of either's edges inside the other.
-    Edges of one that lie upon edges of the other are taken once. An area's rings may touch, but not cross."""
-    zoom = _common_zoom(one, other)
-    sides = [checkpointed(_oriented(df)) for df in (one, other)]
-    tiles = [checkpointed(on_tiles(e.withColumn("z", F.lit(zoom)))) for e in sides]
-    total = None
-    for i, (mine, its) in enumerate(((0, 1), (1, 0))):
-        cuts = crossings(tiles[mine], tiles[its]).groupBy("area_id", "ring", "edge").agg(F.array_sort(F.collect_set("t")).alias("ts"))
-        e = sides[mine].join(cuts, ["area_id", "ring", "edge"], "left")
-        ts = F.array_distinct(F.array_sort(F.concat(F.array(F.lit(0.0), F.lit(1.0)), F.coalesce("ts", F.array().cast("array<double>")))))
-        e = e.withColumn("ts", ts).select("*", F.posexplode(F.zip_with(F.slice("ts", F.lit(1), F.size("ts") - 1), F.slice("ts", F.lit(2), F.size("ts") - 1), lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("part", "p"))
-        place = lambda t, c: F.col(f"{c}1") + t * (F.col(f"{c}2") - F.col(f"{c}1"))
-        a, b = F.col("p.a"), F.col("p.b")
-        left = (-(F.col("y2") - F.col("y1")), F.col("x2") - F.col("x1"))
-        size = F.hypot(*left)
-        e = e.select(F.struct("area_id", "ring", "edge", "part").alias("piece"), place(a, "x").alias("xa"), place(a, "y").alias("ya"), place(b, "x").alias("xb"), place(b, "y").alias("yb"), *[(place((a + b) / 2, c) + turn * NUDGE * step / size).alias(f"{c}{side}") for side, turn in (("l", 1), ("r", -1)) for c, step in zip("xy", left, strict=True)])
-        e = checkpointed(e)
-        # just left of a part is its own area. Where edges lie upon each other, the part of the first area counts, if the other is on that side too
-        probes = e.select("piece", F.lit("l").alias("side"), F.col("xl").alias("lon"), F.col("yl").alias("lat"))
-        if i == 1:
-            probes = probes.unionByName(e.select("piece", F.lit("r").alias("side"), F.col("xr").alias("lon"), F.col("yr").alias("lat")))
-        within = points_in_areas(probes, cover((one, other)[its]), ["piece", "side"]).groupBy("piece", "area_id").agg(F.count("*").alias("n")).where(F.col("n") == 1 + i)
-        part = within.join(e.select("piece", "xa", "ya", "xb", "yb"), "piece").select(F.col("piece.area_id").alias("m"), F.col("area_id").alias("o"), ((F.col("xa") * F.col("yb") - F.col("xb") * F.col("ya")) / 2).alias("s"))
-        part = part.select(F.col("m" if i == 0 else "o").alias("area_id"), F.col("o" if i == 0 else "m").alias("other_id"), "s")
-        total = part if total is None else total.unionByName(part)
-    return total.groupBy("area_id", "other_id").agg(F.sum("s").alias("overlap"))
+    """area_id, other_id, overlap: the area in square degrees that two areas share. An area's rings may touch, but not cross. Areas that share no more than
+    lines have no row, or one of rounding size.
+
+    Each area is cut into tiles of about half its extent, and for areas that are larger at their zoom too; two areas meet in the tiles of the coarser of both zooms. There each is
+    a sum of steps (_steps), and what two steps share is a closed form, so a pair costs its steps in tiles that both meet, whatever else is there."""
+    sides = []
+    for df in (one, other):
+        e = _oriented(df)
+        d = e.groupBy("area_id").agg(F.greatest(F.max(F.greatest("x1", "x2")) - F.min(F.least("x1", "x2")), F.max(F.greatest("y1", "y2")) - F.min(F.least("y1", "y2")), F.lit(1e-6)).alias("d"), F.count("*").alias("n"))
+        across = F.least(F.lit(ACROSS[1]), F.greatest(F.lit(1), F.floor(F.log2(F.col("n") / EDGES))))
+        z = F.least(F.lit(26), F.greatest(F.lit(0), F.floor(F.log2(F.lit(360.0) / F.col("d"))) + across)).cast("int")
+        sides.append(checkpointed(e.join(d.select("area_id", z.alias("own")), "area_id")))
+    zooms = sorted({r["own"] for s in sides for r in s.select("own").distinct().collect()})  # 27 at most
+    if not zooms:
+        return sides[0].select("area_id").limit(0).crossJoin(sides[1].select(F.col("area_id").alias("other_id")).limit(0)).withColumn("overlap", F.lit(0.0))  # no rows on either side
+    a, b = (checkpointed(_steps(s, zooms)) for s in sides)
+    b = b.select(*CELL, *[F.col(c).alias(f"o{c}") for c in ("area_id", "own", "a", "b", "ga", "gb", "sign")])
+    at = lambda x, o="": F.col(f"{o}ga") + (F.col(x) - F.col(f"{o}a")) * (F.col(f"{o}gb") - F.col(f"{o}ga")) / (F.col(f"{o}b") - F.col(f"{o}a"))
+    met = a.join(b, CELL).where("z = own or z = oown").withColumns({"lo": F.greatest("a", "oa"), "hi": F.least("b", "ob")}).where("lo < hi")
+    band = _band("row")
+    met = met.withColumns({"g0": at("lo"), "g1": at("hi"), "h0": at("lo", "o"), "h1": at("hi", "o")})
+    p, q = F.col("g0") - F.col("h0"), F.col("g1") - F.col("h1")
+    apart = F.when(p * q >= 0, (F.abs(p) + F.abs(q)) / 2).otherwise((p * p + q * q) / (2 * (F.abs(p) + F.abs(q))))  # the mean of their distance
+    height = band["n"] - band["s"] - (F.col("g0") + F.col("g1") + F.col("h0") + F.col("h1")) / 4 - apart / 2
+    return met.groupBy("area_id", F.col("oarea_id").alias("other_id")).agg(F.sum(F.col("sign") * F.col("osign") * (F.col("hi") - F.col("lo")) * height).alias("overlap")).where("overlap > 0")
+
+
+def by_shape(areas: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """areas of the same rings as one: their rings (area_id of one of them, ring, coords), and the members (area_id, shape_id)."""
+    rings = areas.where("area_id is not null").groupBy("area_id").agg(F.array_sort(F.collect_list("coords")).alias("rings"))
+    rings = checkpointed(rings.withColumn("k", F.sha2(F.to_json("rings"), 256)))
+    alike = checkpointed(rings.groupBy("k").agg(F.min("area_id").alias("shape_id")))
+    shapes = rings.join(alike.select(F.col("shape_id").alias("area_id")), "area_id")
+    return shapes.select("area_id", F.posexplode("rings").alias("ring", "coords")), rings.join(alike, "k").select("area_id", "shape_id")
 
 
 def local_projects_by_area(projects: DataFrame, shapes: DataFrame, boundary: DataFrame, ratio: float = 2.0) -> DataFrame:

@@ -66,7 +66,7 @@ def interval_join(left: DataFrame, right: DataFrame, start: str = "start", end:
     """left (struct l) and right (struct r) rows whose intervals [start, end) overlap, and which agree in the columns on.
 
     An interval, in units of unit_s, is made up of few intervals of powers of two (dyadic ones), each a key; two intervals overlap if one's key is the other's, or
-    stands above one of the other's. So the join is by equality on these keys. A pair counts at the key that holds its first common unit, which is one.
+    stands above one of the other's. So the join is by equality on these keys, never of two that only stand above, as all intervals do at the top. A pair counts at the key that holds its first common unit, which is one.
     Intervals that are empty, turned round or without an end overlap nothing."""
     on = on or []
     micros = unit_s * 1_000_000
@@ -82,7 +82,36 @@ def interval_join(left: DataFrame, right: DataFrame, start: str = "start", end:
     for s, n in zip(sides, "lr", strict=True):
         s = s.withColumns({f"{n}a": F.col(f"{n}a") - low, f"{n}b": F.col(f"{n}b") - low})
         cut.append(s.select("*", F.explode(_nodes(F.col(f"{n}a"), F.col(f"{n}b"), levels)).alias("node")).select(*[c for c in s.columns], "node.level", "node.index", F.col("node.whole").alias(f"{n}w")))
-    both = cut[0].join(cut[1], ["level", "index", *[f"__on{i}" for i in range(len(on))]]).where("lw or rw")
+    by = ["level", "index", *[f"__on{i}" for i in range(len(on))]]
+    both = cut[0].where("lw").join(cut[1].where("rw"), by)
+    for mine, its in (("lw", "not rw"), ("not lw", "rw")):
+        both = both.unionByName(cut[0].where(mine).join(cut[1].where(its), by))
     first = F.greatest("la", "ra")
     both = both.where((F.floor(first / F.pow(F.lit(2.0), F.col("level"))) == F.col("index")) & (F.col(f"l.{start}") < F.col(f"r.{end}")) & (F.col(f"r.{start}") < F.col(f"l.{end}")))
     return both.select("l", "r")
+
+
+def overlap_totals(left: DataFrame, right: DataFrame, sums: list[str], start: str = "start", end: str = "end", bucket_s: int = BUCKET_S) -> DataFrame:
+    """left rows whose interval [start, end) overlaps one of right's, with n, their number, and the totals (decimals) of right's whole numbers sums.
+
+    No pair is made: what overlaps is what starts before the end, less what ends by the start. Both are running totals over right's times, a row for each distinct one, by
+    buckets and over buckets as in asof_join. Intervals that are empty, turned round or without an end overlap nothing."""
+    lefts = left.where(F.col(start) < F.col(end)).withColumns({"__s": _micros(F.col(start)), "__e": _micros(F.col(end))})
+    rights = right.where(F.col(start) < F.col(end))
+    total = {"n": F.count("*").cast("decimal(38,0)")} | {c: F.sum(F.col(c).cast("decimal(38,0)")) for c in sums}
+    sides = []
+    for kind, ts, asked in (("s", start, "__e"), ("e", end, "__s")):  # which of right's times, and left's that asks for all before it, or up to it
+        have = rights.groupBy(_micros(F.col(ts)).alias("t")).agg(*[v.alias(c) for c, v in total.items()]).withColumn("after", F.lit(2 if kind == "s" else 0))
+        ask = lefts.select(F.col(asked).alias("t")).distinct().withColumns({c: F.lit(None).cast("decimal(38,0)") for c in total} | {"after": F.lit(1)})
+        sides.append(have.unionByName(ask).withColumn("kind", F.lit(kind)))
+    rows = sides[0].unionByName(sides[1]).withColumn("__b", F.floor(F.col("t") / (bucket_s * 1_000_000)))
+    within = Window.partitionBy("kind", "__b").orderBy("t", "after").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    over = Window.partitionBy("kind").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    before = rows.groupBy("kind", "__b").agg(*[F.sum(c).alias(c) for c in total]).select("kind", "__b", *[F.coalesce(F.sum(c).over(over), F.lit(0)).alias(f"{c}_before") for c in total])
+    known = rows.select("kind", "__b", "t", "after", *[F.coalesce(F.sum(c).over(within), F.lit(0)).alias(c) for c in total]).where("after = 1").join(before, ["kind", "__b"])
+    known = known.select("kind", "t", *[(F.col(c) + F.col(f"{c}_before")).cast("decimal(38,0)").alias(c) for c in total])
+    out = lefts
+    for kind, asked in (("s", "__e"), ("e", "__s")):
+        out = out.join(known.where(F.col("kind") == kind).select(F.col("t").alias(asked), *[F.col(c).alias(f"__{kind}{c}") for c in total]), asked)
+    more = [(F.col(f"__s{c}") - F.col(f"__e{c}")).cast("decimal(38,0)").alias(c) for c in sums]
+    return out.where("__sn > __en").select(*left.columns, (F.col("__sn") - F.col("__en")).cast("long").alias("n"), *more)

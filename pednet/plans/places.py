@@ -34,13 +34,17 @@ def _inside(x: str, y: str, a: str = "a") -> str:
 @query("kerbs_in_areas", f"SELECT od_id AS area_id, count(*) AS n, sum(k.id)::BIGINT AS ids FROM net_kerbs k JOIN net_od o ON {_inside('k.lon::DOUBLE', 'k.lat::DOUBLE')} GROUP BY od_id")
 def kerbs_in_areas(spark, d):
     kerbs = view(spark, d, "net_kerbs").select("id", F.col("lon").cast("double").alias("lon"), F.col("lat").cast("double").alias("lat"))
-    return G.points_in_areas(kerbs, G.cover(areas(spark, d)), ["id"]).groupBy("area_id").agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+    shapes, members = G.by_shape(areas(spark, d))
+    held = G.points_in_areas(kerbs, G.cover(shapes), ["id"]).groupBy(F.col("area_id").alias("shape_id")).agg(F.count("*").alias("n"), F.sum("id").alias("ids"))
+    return members.join(held, "shape_id").select("area_id", "n", "ids")
 
 
 @query("pixels_in_areas", f"SELECT od_id AS area_id, count(*) AS n, round(avg(elev::DOUBLE), 6) AS elev FROM net_dem e JOIN net_od o ON {_inside('(-49.3 + (e.px + 0.5) * 0.0003)', '(-25.46 - (e.py + 0.5) * 0.0003)')} GROUP BY od_id")
 def pixels_in_areas(spark, d):
     dem = view(spark, d, "net_dem").withColumn("elev", F.col("elev").cast("double"))
-    return G.mask_to_areas(dem, areas(spark, d), -49.3, -25.46, 0.0003).groupBy("area_id").agg(F.count("*").alias("n"), F.round(F.avg("elev"), 6).alias("elev"))
+    shapes, members = G.by_shape(areas(spark, d))
+    held = G.mask_to_areas(dem, shapes, -49.3, -25.46, 0.0003).groupBy(F.col("area_id").alias("shape_id")).agg(F.count("*").alias("n"), F.round(F.avg("elev"), 6).alias("elev"))
+    return members.join(held, "shape_id").select("area_id", "n", "elev")
 
 
 _ZOOM = 17
@@ -62,8 +66,9 @@ _TILES = f"""SELECT od_id, lon_a::DOUBLE AS x0, lat_a::DOUBLE AS y0, tx, ty, tx
 @query("tiles_of_areas", f"""SELECT od_id AS area_id, count(*) AS tiles, sum(tx)::BIGINT AS xs, sum(ty)::BIGINT AS ys FROM ({_TILES}) t
        WHERE ({_box_sql('x0', 'y0', OUTER, True)} <= {OUTER} AND {_box_sql('x0', 'y0', HOLE, False)} >= {HOLE}) OR {_box_sql(f'(x0 + {STEP})', 'y0', PART, True)} <= {PART} GROUP BY od_id""")
 def tiles_of_areas(spark, d):
-    tiles = G.tiles_x_areas(areas(spark, d), _ZOOM)
-    return tiles.groupBy("area_id").agg(F.count("*").alias("tiles"), F.sum("x").alias("xs"), F.sum("y").alias("ys"))
+    shapes, members = G.by_shape(areas(spark, d))
+    tiles = G.tiles_x_areas(shapes, _ZOOM).groupBy(F.col("area_id").alias("shape_id")).agg(F.count("*").alias("tiles"), F.sum("x").alias("xs"), F.sum("y").alias("ys"))
+    return members.join(tiles, "shape_id").select("area_id", "tiles", "xs", "ys")
 
 
 def _shared(r1: float, r2: float, dx: float = 0.0) -> str:
@@ -79,15 +84,20 @@ _OVERLAP = " + ".join(f"{s1 * s2} * ({_shared(r1, r2 * 0.9, m2 - m1)})" for r1,
 @query("overlaps_of_areas", f"""SELECT count(*) FILTER (WHERE round(1e9 * o) > 0) AS pairs, round(1e6 * sum(o), 4) AS area FROM (SELECT {_OVERLAP} AS o FROM (
        SELECT a.lon_a::DOUBLE + a.lat_a::DOUBLE AS u, a.lon_a::DOUBLE - a.lat_a::DOUBLE AS p, b.lon_b::DOUBLE + b.lat_b::DOUBLE AS v, b.lon_b::DOUBLE - b.lat_b::DOUBLE AS q FROM net_od a, net_od b) t) w WHERE o > 1e-13""")
 def overlaps_of_areas(spark, d):
-    """What the areas around the origins share with somewhat smaller ones around the destinations, in millionths of square degrees."""
-    o = G.overlaps(areas(spark, d), areas(spark, d, "b", 0.9)).where("overlap > 1e-13")
-    return o.agg(F.count_if(F.round(1e9 * F.col("overlap")) > 0).alias("pairs"), F.round(1e6 * F.sum("overlap"), 4).alias("area"))
+    """What the areas around the origins share with somewhat smaller ones around the destinations, in millionths of square degrees. Areas of the same shape are
+    compared once and count as often as they occur."""
+    (a, of_a), (b, of_b) = G.by_shape(areas(spark, d)), G.by_shape(areas(spark, d, "b", 0.9))
+    o = G.overlaps(a, b).where("overlap > 1e-13")
+    times = lambda members, name: members.groupBy(F.col("shape_id").alias(name)).agg(F.count("*").alias(f"n_{name}"))
+    o = o.join(times(of_a, "area_id"), "area_id").join(times(of_b, "other_id"), "other_id").withColumn("n", F.col("n_area_id") * F.col("n_other_id"))
+    return o.agg(F.sum(F.when(F.round(1e9 * F.col("overlap")) > 0, F.col("n")).otherwise(0)).alias("pairs"), F.round(1e6 * F.sum(F.col("overlap") * F.col("n")), 4).alias("area"))
 
 
-@query("local_projects", f"""SELECT o.od_id AS project_id FROM net_od o, (SELECT lon_a::DOUBLE AS x, lat_a::DOUBLE AS y FROM net_od ORDER BY od_id LIMIT 1) c
-       WHERE o.od_id % 7 = 3 OR (abs(lon_b::DOUBLE - x) + abs(lat_b::DOUBLE - y) <= 0.012 + 0.001 * (1 + o.od_id % 12) AND power(0.001 * (1 + o.od_id % 12), 2) <= 0.7 * power(0.012, 2))""")
+@query("local_projects", f"""SELECT o.od_id AS project_id FROM net_od o, (SELECT lon_a AS x, lat_a AS y FROM net_od ORDER BY od_id LIMIT 1) c
+       WHERE o.od_id % 7 = 3 OR (abs(lon_b - x) + abs(lat_b - y) <= 0.012 + 0.001 * (1 + o.od_id % 12) AND power(0.001 * (1 + o.od_id % 12), 2) <= 0.7 * power(0.012, 2))""")
 def local_projects(spark, d):
-    """Projects of several sizes around the destinations, some without a shape, that are local to the area of the first origin."""
+    """Projects of several sizes around the destinations, some without a shape, that are local to the area of the first origin; those that
+    only touch it too, so the SQL compares decimals."""
     od = view(spark, d, "net_od")
     first = od.orderBy("od_id").limit(1)
     boundary = first.select(F.lit(0).cast("long").alias("area_id"), F.lit(0).alias("ring"), _diamond(F.col("lon_a").cast("double"), F.col("lat_a").cast("double"), 0.012).alias("coords"))

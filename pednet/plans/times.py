@@ -37,7 +37,7 @@ def versions_before_changes(spark, d):
        (SELECT id, make_date(rev_year::INT, rev_month::INT, rev_day::INT)::TIMESTAMP AS "start", make_date(rev_year::INT, rev_month::INT, rev_day::INT)::TIMESTAMP + to_days((n_revs * 3)::INT) AS "end" FROM net_ways) l
        ON w."start" < l."end" AND l."start" < w."end" AND w."start" < w."end" GROUP BY w.id""")
 def ways_alive_in_windows(spark, d):
-    """Ways whose version lives, three days a revision, at some time in a window of a supplier's."""
+    """Ways whose version lives, three days a revision, at some time in a window of a supplier's: counted and added up without a row for each pair."""
     day = lambda base, n: F.timestamp_add("DAY", n.cast("int"), base)
     s = spark.read.parquet(f"{d}/supplier.parquet")
     offset = F.col("s_suppkey") * 13 % 2400
@@ -45,4 +45,5 @@ def ways_alive_in_windows(spark, d):
     windows = s.select(F.col("s_suppkey").alias("id"), day(begin, offset).alias("start"), day(begin, offset + F.col("s_nationkey")).alias("end"))
     made = F.make_date(F.col("rev_year").cast("int"), F.col("rev_month").cast("int"), F.col("rev_day").cast("int")).cast("timestamp")
     lives = view(spark, d, "net_ways").select("id", made.alias("start"), day(made, F.col("n_revs") * 3).alias("end"))
-    return T.interval_join(windows, lives, unit_s=86_400).groupBy(F.col("l.id").alias("window_id")).agg(F.count("*").alias("n"), F.sum("r.id").alias("ids"))
+    totals = T.overlap_totals(windows, lives.withColumnRenamed("id", "ids"), ["ids"])
+    return totals.groupBy(F.col("id").alias("window_id")).agg(F.sum("n").alias("n"), F.sum("ids").cast("long").alias("ids"))

@@ -66,3 +66,48 @@ def test_dyadic_nodes(spark):
         above = {(n["level"], n["index"]) for n in x["n"] if not n["whole"]}
         want = {(k, u >> k) for u in (x["a"], x["b"] - 1) for k in range(7) if not set(range((u >> k) << k, ((u >> k) + 1) << k)) <= set(range(x["a"], x["b"]))}
         assert above == want and len(x["n"]) <= 4 * 7
+
+
+def test_intervals_at_the_top(spark):
+    """Short intervals all over a long time stand above one another at the coarse levels; no rows are made of that."""
+    day = lambda c: F.timestamp_add("DAY", F.col(c).cast("int"), F.lit(BEGIN))
+    side = lambda n, step: spark.range(n).select("id", (F.col("id") * step % 2000).alias("at")).select("id", day("at").alias("start"), F.timestamp_add("HOUR", F.lit(1), day("at")).alias("end"))
+    found = T.interval_join(side(3000, 7), side(2500, 11))
+    assert found.count() == sum(1 for i in range(3000) for j in range(2500) if i * 7 % 2000 == j * 11 % 2000)
+    joins = []
+
+    def walk(node):
+        while node.getClass().getSimpleName() in ("AdaptiveSparkPlanExec", "ResultQueryStageExec") or node.getClass().getSimpleName().endswith("QueryStageExec"):
+            node = node.executedPlan() if hasattr(node, "executedPlan") and node.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else node.plan()
+        if "Join" in node.nodeName() and node.metrics().contains("numOutputRows"):
+            joins.append(node.metrics().apply("numOutputRows").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    found.write.format("noop").mode("overwrite").save()
+    plan = found._jdf.queryExecution().executedPlan()
+    found._jdf.rdd().count()
+    walk(plan)
+    assert joins and sum(joins) < 20 * found.count()
+
+
+@pytest.mark.parametrize("bucket_s", [3600, 86_400, 10**9])
+def test_totals_of_overlaps(spark, bucket_s):
+    r = random.Random(bucket_s)
+    when = lambda: BEGIN + timedelta(minutes=30 * r.randrange(0, 48 * 20))
+    some = lambda n: [(i, s, s + timedelta(minutes=r.choice([0, 30, 60, 600, 6000])), r.randrange(-5, 10**12)) for i, s in ((i, when()) for i in range(n))]
+    odd = [(900, BEGIN, None, 1), (901, None, BEGIN, 1), (902, BEGIN + timedelta(1), BEGIN, 1), (903, BEGIN, BEGIN + timedelta(365), 2**63 - 1), (904, BEGIN, BEGIN + timedelta(365), 2**63 - 1)]
+    left, right = some(200) + odd, some(150) + odd
+    schema = "id long, start timestamp, end timestamp, v long"
+    a, b = spark.createDataFrame(left + left[:2], schema).repartition(3), spark.createDataFrame(right, schema)
+    fine = lambda x: None not in x[1:3] and x[1] < x[2]
+    want = []
+    for x in left + left[:2]:
+        met = [y[3] for y in right if fine(x) and fine(y) and x[1] < y[2] and y[1] < x[2]]
+        want += [(x[0], len(met), sum(met))] * bool(met)
+    out = T.overlap_totals(a.drop("v"), b.select("start", "end", "v"), ["v"], bucket_s=bucket_s)
+    assert out.columns == ["id", "start", "end", "n", "v"] and sorted((x["id"], x["n"], int(x["v"])) for x in out.collect()) == sorted(want)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert T.overlap_totals(a.limit(0), b, ["v"]).count() == 0 and T.overlap_totals(a, b.limit(0), ["v"]).count() == 0
