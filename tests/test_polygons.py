@@ -127,6 +127,25 @@ def test_local_projects(spark):
     assert {r["project_id"] for r in got.collect()} == {1, 4, 6} and got.columns == ["project_id", "name"]  # 5 lies in the hole
 
 
+def test_same_shapes(spark):
+    """Areas of the same rings, in any order of these, are one shape."""
+    a, b, c = square(0.0, 0.0, 1.0), square(3.0, 0.0, 1.0), square(0.0, 0.0, 2.0)
+    shapes, members = G.by_shape(table(spark, {1: [a, b], 2: [c], 3: [b, a], 4: [a], 5: [c]}))
+    assert {(r["area_id"], r["shape_id"]) for r in members.collect()} == {(1, 1), (2, 2), (3, 1), (4, 4), (5, 2)}
+    assert sorted(r["area_id"] for r in shapes.collect()) == [1, 1, 2, 4]
+
+
+def test_overlaps_of_a_crowd(spark):
+    """What a pair costs doesn't go with the crowd around it: steps are those of each area's few tiles."""
+    at = {i: [diamond(0.0005 * (i % 10), 0.0005 * (i // 10), 0.00413)] for i in range(100)}
+    edges = G._oriented(table(spark, at)).withColumn("own", F.lit(16))
+    assert G._steps(edges, [16]).count() <= 40 * len(at)
+    got = {(r["area_id"], r["other_id"]): r["overlap"] for r in G.overlaps(table(spark, at), table(spark, at)).collect()}
+    for k in ((0, 0), (0, 9), (0, 99), (55, 44), (90, 9)):
+        p, q = (((0.0005 * (i % 10)), 0.0005 * (i // 10), 0.00413) for i in k)
+        assert got.get(k, 0.0) == pytest.approx(rotated(*p, *q), abs=1e-12), k
+
+
 def test_plan_without_vertices(spark):
     """The plan of a cover is the same for three vertices and for many."""
     r = random.Random(1)
