@@ -133,3 +133,11 @@ def test_providers_in_order(spark):
     shares = {x["slope_source"]: (x["n"], x["share"]) for x in R.coverage(spark.createDataFrame(list(got.values()), T._parse_datatype_string("id long, slope_percent double, slope_source string, slope_confidence int, slope_resolution_m double, slope_samples int"))).collect()}
     assert shares == {"fine": (3, 0.5), "coarse": (2, 2 / 6), "missing": (1, 1 / 6)}
     assert {x["slope_source"] for x in R.resolve_slopes(spark.createDataFrame([(1, lines[1][0], None)], LINE), []).collect()} == {"missing"}
+
+
+def test_slope_at_the_limit(spark):
+    """A median of exactly 40 % isn't steeper than 40, though its parts are no round doubles."""
+    lines = {1: ((20.0, 0.0), (40.0, 49.0), (40.0, -33.0)), 2: ((20.0, 0.0), (40.0, -49.0), (40.0, 33.0)), 3: ((20.0, 0.0), (40.0, 49.1), (40.0, -33.0))}
+    rows = spark.createDataFrame([(i, d, h) for i, v in lines.items() for d, h in v], "id long, distance_m double, elev double")
+    got = {r["id"]: (r["slope_percent"], r["slope_confidence"]) for r in R.edge_slope(rows, 70).collect()}
+    assert got == {1: (40.0, 30), 2: (-40.0, 30), 3: (None, 0)}
