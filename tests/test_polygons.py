@@ -127,6 +127,20 @@ def test_local_projects(spark):
     assert {r["project_id"] for r in got.collect()} == {1, 4, 6} and got.columns == ["project_id", "name"]  # 5 lies in the hole
 
 
+def test_touching_decimals(spark):
+    """Diamonds that touch along an edge or at a corner by their decimals meet, whichever way doubles round them; those a little farther off don't."""
+    x, y, size = -49.2999, -25.4699, 0.012
+    one, want = {}, set()
+    for i in range(1, 13):
+        for j in range(0, 12 + i + 1):
+            for far in (0, 1):  # steps of 0.001 from the middle, in all 12 + i (touching), or 1e-7 more
+                k = 1000 * i + 10 * j + far
+                one[k] = [diamond(round(x + 0.001 * j + far * 1e-7, 7), round(y + 0.001 * (12 + i - j), 7), 0.001 * i)]
+                want |= set() if far else {k}
+    got = G.meeting_areas(table(spark, one), table(spark, {1: [diamond(x, y, size)]}))
+    assert {r["area_id"] for r in got.collect()} == want
+
+
 def test_same_shapes(spark):
     """Areas of the same rings, in any order of these, are one shape."""
     a, b, c = square(0.0, 0.0, 1.0), square(3.0, 0.0, 1.0), square(0.0, 0.0, 2.0)
