@@ -4,12 +4,13 @@ Targets: the mix's budget is shared over sources by weight; no source takes more
 others by weight. Rates: of all document rates w in (0, MOST) that meet each source's token constraint, those of least (Fermi) entropy
 distance to equal rates are w = MOST / (1 + exp(-(a + b z))), z the document's size over its source's mean: an exponentially tilted odds.
 Newton iterations on the convex dual find b of every source at once; each is an aggregation over (source, size, documents) counts.
-Copies: the whole part of a rate, and one more where a hash of doc_id falls below its fraction; then rounds of one exchange a source
-close the gap to CLOSE of the target: each gives or takes one copy of a document, the largest that still fits, until none does.
+Copies: the whole part of a rate, and one more where a hash of doc_id falls below its fraction; then exchanges close the gap to CLOSE of
+the target: copies of the largest documents that fit are given or taken, and of smaller ones for what is left. How many of each size is found on
+counts alone, in rounds that halve a gap; then the documents are picked, in one pass.
 
 Edge cases: null text has size 0; a null source is a source of its own and the last; documents of size 0 get the copies of their rate;
-rows that repeat a doc_id share its decisions, and those
-without one go by their text; an empty table gives no rows; sources without words have target 0.
+rows that repeat a doc_id share its decisions, so an exchange counts the
+words of all of them, and those without one go by their text; an empty table gives no rows; sources without words have target 0.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ CLOSE = 1e-4
 NEWTON_ROUNDS = 200
 #: Parts of a source in joins by source.
 SALT = 64
+#: Parts, by hash, in which the documents of a size are counted and put in order.
+PARTS = 1024
 #: Log odds of the rate that every document has before any tilt.
 ODDS = math.log(SHARE / MOST / (1 - SHARE / MOST))
 
@@ -53,11 +56,11 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: flo
     return rows.select("absent", "src", "total", F.least("cap", F.coalesce("level", F.lit(float("inf"))) * F.col("w")).alias("target"))
 
 
-def by_source(rows: DataFrame, small: DataFrame) -> DataFrame:
-    """rows with the columns of their source; a source's rows are dealt to SALT keys, so that a hot one doesn't meet in one task."""
+def salted_join(rows: DataFrame, small: DataFrame, on: tuple[str, ...] = ("absent", "src")) -> DataFrame:
+    """rows with the columns of their row in small; rows of a value are dealt to SALT keys, so that a hot one doesn't meet in one task."""
     salted = rows.withColumn("__salt", F.pmod(F.xxhash64("key"), F.lit(SALT)).cast("int"))
     each = small.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
-    return salted.join(each, ["absent", "src", "__salt"]).drop("__salt")
+    return salted.join(each, [*on, "__salt"]).drop("__salt")
 
 
 def rate(b, z):
@@ -113,28 +116,56 @@ def mix(docs: DataFrame) -> DataFrame:
     tilt = state.select("absent", "src", F.col("total").alias("source_size"), "target", "mean", "b", (F.col("target") <= 0).alias("none"))
     w = F.when(F.col("none"), 0.0).otherwise(rate(F.col("b"), F.when(F.col("mean") > 0, F.col("size") / F.col("mean")).otherwise(F.lit(0.0))))
     unit = F.pmod(F.xxhash64("key"), F.lit(1 << 40)) / float(1 << 40)
-    drawn = by_source(slim, tilt).select("doc_id", "key", "absent", "src", "size", "source_size", "target", F.least(F.floor(w) + F.when(unit < w - F.floor(w), 1).otherwise(0), F.lit(MOST)).cast("int").alias("copies"))
+    drawn = salted_join(slim, tilt).select("doc_id", "key", "absent", "src", "size", "source_size", "target", F.least(F.floor(w) + F.when(unit < w - F.floor(w), 1).otherwise(0), F.lit(MOST)).cast("int").alias("copies"))
     drawn = common.written(drawn, "drawn")
     common.drop(slim, counts)
-    more, of = None, ["absent", "src", "key"]
-    while True:  # a row a source and round; a gap gets less with each
-        now = drawn.withColumn("add", F.lit(0)) if more is None else drawn.join(more.groupBy(*of).agg(F.sum("step").alias("add")), of, "left").fillna(0, ["add"])
-        now = now.withColumn("copies", F.col("copies") + F.col("add"))
-        gap = now.groupBy("absent", "src").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"), F.first("target").alias("goal")).where(F.abs("gap") > CLOSE * F.col("goal"))
-        # only documents of one row change: rows that share a document's decisions would all take the step
-        alone = now.where("size > 0").groupBy(*of).agg(F.first("size").alias("size"), F.first("copies").alias("copies"), F.count("*").alias("n")).where("n = 1")
-        fit = by_source(alone, gap)
-        up = F.when((F.col("gap") >= F.col("size") / 2) & (F.col("gap") > 0) & (F.col("copies") < MOST), F.when(F.col("size") <= F.col("gap") * 1.5, F.struct("size", "key")))
-        down = F.when((-F.col("gap") >= F.col("size") / 2) & (F.col("gap") < 0) & (F.col("copies") > 0), F.when(F.col("size") <= -F.col("gap") * 1.5, F.struct("size", "key")))
-        pick = fit.groupBy("absent", "src").agg(F.max(up).alias("u"), F.max(down).alias("d")).where("u is not null or d is not null")
-        pick = pick.select("absent", "src", F.coalesce("u", "d").getField("key").alias("key"), F.when(F.col("u").isNotNull(), 1).otherwise(-1).alias("step"))
-        pick = common.written(pick, "exchange")
-        if pick.isEmpty():
-            break
-        more = pick if more is None else more.unionByName(pick)
-    if more is not None:
-        drawn = drawn.join(more.groupBy(*of).agg(F.sum("step").cast("int").alias("add")), of, "left").fillna(0, ["add"]).withColumn("copies", F.greatest(F.lit(0), F.least(F.lit(MOST), F.col("copies") + F.col("add")))).drop("add")
-    return drawn
+    of = ["absent", "src", "key"]
+    # rows that share a document's decisions take a step together
+    whole = drawn.groupBy(*of).agg(F.sum("size").alias("words"), F.min("copies").alias("copies"), F.max("copies").alias("most")).where("words > 0 and copies = most").drop("most")
+    whole = common.written(whole, "whole")
+    gaps = drawn.groupBy("absent", "src").agg((F.first("target") - F.sum(F.col("copies") * F.col("size"))).alias("gap"), F.first("target").alias("goal"))
+    cells = whole.groupBy("absent", "src", "words").agg(F.sum(MOST - F.col("copies")).alias("up"), F.sum("copies").alias("down"))
+    given = common.written(picked(whole, exchanges(cells.join(gaps, ["absent", "src"]))), "exchange")
+    common.drop(whole)
+    return drawn.join(given, of, "left").withColumn("copies", (F.col("copies") + F.coalesce("add", F.lit(0))).cast("int")).drop("add")
+
+
+def exchanges(cells: DataFrame) -> DataFrame:
+    """absent, src, words, step: how many copies the documents of so many words give (or take, if negative) for their source's gap to close. cells: absent, src,
+    words, up and down (copies that they may take or give), gap and goal.
+
+    A round fills a gap with the largest that fit, in falling order, which leaves less than one of the last of these; where none fits, with one that is up
+    to half as large again. So a gap at least halves, unless nothing is left to move."""
+    by = Window.partitionBy("absent", "src")
+    state = common.written(cells.select("*", F.lit(0).cast("long").alias("step"), F.lit(True).alias("open")), "cells")
+    while not state.where("open").isEmpty():
+        gap = F.abs("gap")
+        can = F.when(gap > CLOSE * F.col("goal"), F.when(F.col("gap") > 0, F.col("up") - F.col("step")).otherwise(F.col("down") + F.col("step"))).otherwise(0)
+        rows = state.withColumn("can", can).withColumn("fits", F.when(F.col("words") <= gap, F.col("can")).otherwise(0))
+        before = F.coalesce(F.sum(F.col("fits") * F.col("words")).over(by.orderBy(F.desc("words")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        rows = rows.withColumn("take", F.greatest(F.lit(0), F.least("fits", F.floor((gap - before) / F.col("words")))).cast("long"))
+        above = F.min(F.when((F.col("can") > 0) & (F.col("words") > gap) & (F.col("words") <= 1.5 * gap), F.col("words")))
+        rows = rows.withColumn("take", F.when(F.max("fits").over(by) > 0, F.col("take")).when(F.col("words") == above.over(by), 1).otherwise(0) * F.signum("gap").cast("long"))
+        after = rows.select("absent", "src", "words", "up", "down", (F.col("gap") - F.sum(F.col("take") * F.col("words")).over(by)).alias("gap"), "goal", (F.col("step") + F.col("take")).alias("step"), (F.col("take") != 0).alias("open"))
+        after = common.written(after, "cells")
+        common.drop(state)
+        state = after
+    return state.where("step <> 0").select("absent", "src", "words", "step")
+
+
+def picked(whole: DataFrame, steps: DataFrame) -> DataFrame:
+    """absent, src, key, add: the documents that exchanges fall on, those of a size in the order of their keys: by hashed parts, and within a part. whole: absent, src,
+    key, words, copies."""
+    cell = ["absent", "src", "words"]
+    rows = salted_join(whole, steps, tuple(cell))
+    rows = rows.select("*", F.when(F.col("step") > 0, MOST - F.col("copies")).otherwise(F.col("copies")).alias("can"), F.pmod(F.xxhash64("key", F.lit(7)), F.lit(PARTS)).cast("int").alias("part")).where("can > 0")
+    parts = rows.groupBy(*cell, "part").agg(F.sum("can").alias("can"), F.first("step").alias("step"))
+    parts = parts.withColumn("before", F.coalesce(F.sum("can").over(Window.partitionBy(*cell).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    parts = parts.where(F.col("before") < F.abs("step")).select(*cell, "part", "before")
+    rows = rows.join(parts, [*cell, "part"])
+    here = F.coalesce(F.sum("can").over(Window.partitionBy(*cell, "part").orderBy("key").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    add = F.greatest(F.lit(0), F.least("can", F.abs("step") - F.col("before") - here)) * F.signum("step")
+    return rows.select("absent", "src", "key", add.cast("long").alias("add")).where("add <> 0")
 
 
 def decided_by():

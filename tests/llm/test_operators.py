@@ -219,6 +219,24 @@ def test_mixing_rows_without_id(spark):
     assert sorted(map(str, out)) == sorted(map(str, mixing.mix(df).collect()))
 
 
+def test_mixing_gaps(spark):
+    """Gaps close by many exchanges at once, over repeated rows too, and joins make a row a document and step, not one for each round."""
+    rows = [(i % 900, document(20 + i % 900 % 37, {0: f"a{i % 900}"}), "a") for i in range(1800)] + [(1000 + i, document(9 + i % 5, {0: f"b{i}"}), "b") for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mixing.mix(df).collect()
+    assert len(out) == len(rows)
+    for s in "ab":
+        mine = [r for r in out if r["src"] == s]
+        assert abs(sum(r["size"] * r["copies"] for r in mine) - mine[0]["target"]) <= max(mixing.CLOSE * mine[0]["target"], 20)
+    for i in range(900):
+        assert len({r["copies"] for r in out if r["doc_id"] == i}) == 1
+    cells = [(False, "a", w, 5, 2, 1e5, 1e6) for w in range(1, 400)] + [(False, "b", w, 3, 1, -777.0, 1e6) for w in (7, 50, 333, 900)] + [(False, "c", 9, 1, 1, 4.0, 10.0)]
+    steps = mixing.exchanges(spark.createDataFrame(cells, "absent boolean, src string, words long, up long, down long, gap double, goal double")).collect()
+    left = {s: next(c[5] for c in cells if c[1] == s) - sum(r["step"] * r["words"] for r in steps if r["src"] == s) for s in "abc"}
+    assert abs(left["a"]) <= 100 and abs(left["b"]) <= 400 and left["c"] == 4.0
+    assert all(-c[4] <= r["step"] <= c[3] for r in steps for c in cells if (c[1], c[2]) == (r["src"], r["words"]))
+
+
 def test_language(spark, docs, none):
     real = spark.read.parquet(f"{SMALL}/documents.parquet")
     model = language.train(real.where(~language.held_out()).select("text", "lang"))
