@@ -2,12 +2,14 @@
 
 A text is cut where every tokenizer here has a boundary anyway: before a single space between two visible characters, and between a
 Latin letter and one of ``. , ! ? ; :``. Neither a pre-token nor a normalisation nor a special token crosses such a place, so the ids of
-the pieces, joined, are the ids of the text. Pieces are looked up by a 64-bit hash in a bounded table; the tokenizers library encodes those not in it.
+the pieces, joined, are the ids of the text. Pieces are looked up by a 64-bit hash in a bounded table; the tokenizers library encodes those not in it,
+words of Latin letters after a space many at a time: the places between them are such boundaries too.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 
@@ -26,6 +28,9 @@ _MARK = np.zeros(256, bool)
 _MARK[[ord(c) for c in ".,!?;:"]] = True
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = True
+#: A word that begins and ends where texts are cut, and how many of these the library gets as one text.
+_WORD = re.compile(r" [A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
+GROUP = 48
 _encoders: dict[str, Encoder] = {}
 
 
@@ -88,7 +93,7 @@ class Encoder:
             one = missing[one]
             raw = data.tobytes()
             pieces = [raw[a:b].decode("utf-8", "replace") for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True)]
-            got = [e.ids for e in self.t.encode_batch_fast(pieces, add_special_tokens=False)]
+            got = self.each(pieces)
             size = np.fromiter(map(len, got), np.int64, len(got))
             if self.used + size.sum() > ARENA:
                 self.clear()
@@ -110,6 +115,26 @@ class Encoder:
         first = np.searchsorted(start, off)
         return ids, np.diff(total[first])
 
+    def each(self, pieces: list[str]) -> list[list[int]]:
+        """The ids of each piece. A group of words whose parts by the library are as many as its words has one for each, as none is without ids; words
+        of other groups are encoded one by one."""
+        got: list[list[int]] = [[]] * len(pieces)
+        words, rest = [], []
+        for i, p in enumerate(pieces):
+            (words if _WORD(p) else rest).append(i)
+        groups = [words[k : k + GROUP] for k in range(0, len(words), GROUP)]
+        for g, e in zip(groups, self.t.encode_batch(["".join([pieces[i] for i in g]) for g in groups], add_special_tokens=False), strict=True):
+            part, ids = e.word_ids, e.ids
+            at = [0, *[k for k in range(1, len(part)) if part[k] != part[k - 1]], len(part)]
+            if len(at) != len(g) + 1:
+                rest += g
+                continue
+            for i, a, b in zip(g, at[:-1], at[1:], strict=True):
+                got[i] = ids[a:b]
+        for i, e in zip(rest, self.t.encode_batch_fast([pieces[i] for i in rest], add_special_tokens=False), strict=True):
+            got[i] = e.ids
+        return got
+
     def _plain(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         raw = data.tobytes()
         got = [e.ids for e in self.t.encode_batch_fast([raw[a:b].decode("utf-8", "replace") for a, b in zip(off[:-1], off[1:], strict=True)], add_special_tokens=False)]

@@ -4,6 +4,7 @@ import random
 import re
 import zlib
 from collections import Counter
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -150,6 +151,32 @@ def test_solve_is_least_squares():
         assert (x >= 0).all() and np.abs(a @ x - h).max() < 0.5 or ((a @ x - h) ** 2).sum() <= ((a @ best - h) ** 2).sum() * 1.01 + 1e-6
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_in_groups(name):
+    """Words go to the library many at a time, with the ids that each has alone; a group that comes back in other parts goes word by word."""
+    e = tokens.Encoder(tokens.tokenizer_path(name))
+    words = [" " + a + b + c for a in ("Größ", "and", "ÀÖ", "straß", "x", "The") for b in ("", "e", "ÿ", "IT", "ing") for c in ("", "n", "ß", "Tion", "é")]
+    pieces = [*words, "first", " 12", " don't", " a-b", ",", " x.y", " \u00aa", " \u0130", " e\u0301", "\n\n", "", " <|endoftext|>"]
+    alone = [x.ids for x in e.t.encode_batch_fast(pieces, add_special_tokens=False)]
+
+    class Counted:
+        def __init__(self, parts):
+            self.n, self.parts = 0, parts
+
+        def encode_batch(self, texts, add_special_tokens):
+            self.n += len(texts)
+            return [SimpleNamespace(ids=x.ids, word_ids=self.parts(x.word_ids)) for x in real.encode_batch(texts, add_special_tokens=add_special_tokens)]
+
+        def encode_batch_fast(self, texts, add_special_tokens):
+            self.n += len(texts)
+            return real.encode_batch_fast(texts, add_special_tokens=add_special_tokens)
+
+    real = e.t
+    for parts, most in ((lambda w: w, 20), (lambda w: [0] * len(w), 1000)):
+        e.t = Counted(parts)
+        assert e.each(pieces) == alone and e.t.n < most
+
+
 def test_mixing(spark, none):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumns({"absent": F.lit(1), "size": F.lit(2)})
     out = mixing.mix(docs).collect()
