@@ -30,6 +30,8 @@ FAN = 32
 BUCKET = 64
 #: A cell is the largest tile around a vertex, of these many zooms, that holds no more vertices than its level allows.
 ZOOMS = 27
+#: Zooms of which tiles are counted at once.
+BAND = 4
 INF = float("inf")
 
 CLIQUE = "level int, cell long, src long, dst long, w double, inner long"
@@ -46,14 +48,27 @@ def nested_cells(vertices: DataFrame, cell: int = CELL, fan: int = FAN) -> DataF
         limits.append(limits[-1] * fan)
     if len(limits) == 1:
         return vertices.select("vertex", F.array(F.lit(0).cast("long")).alias("cells"))
-    tile = lambda z: F.xxhash64(z, F.floor((F.col("lon") + 180) / 360 * F.pow(F.lit(2.0), z)), F.floor((F.col("lat") + 90) / 180 * F.pow(F.lit(2.0), z)))
-    rows = vertices.select("vertex", "lon", "lat", F.explode(F.sequence(F.lit(0), F.lit(ZOOMS - 1))).alias("z")).select("*", tile(F.col("z")).alias("tile"))
-    full = rows.groupBy("tile").agg(F.count("*").alias("n")).where(F.col("n") > limits[0])  # ZOOMS * n / cell tiles at most
+    across, up = (F.col("lon") + 180) / 360, (F.col("lat") + 90) / 180
+    place = lambda z: [F.floor(c * F.pow(F.lit(2.0), z)) for c in (across, up)]
+    tile = lambda z: F.xxhash64(z, *place(z))
+    rows, full, deepest = vertices, None, -1
+    while deepest + 1 < ZOOMS:  # only vertices in tiles that are still too full go on to finer zooms, so few zooms count tiles of single vertices
+        zooms = range(deepest + 1, min(deepest + 1 + BAND, ZOOMS))
+        if full is not None:
+            rows = vertices.withColumn("tile", tile(F.lit(deepest))).join(full.select("tile"), "tile", "left_semi")
+        many = rows.select("lon", "lat", F.explode(F.array(*[F.lit(z) for z in zooms])).alias("z")).groupBy("z", tile(F.col("z")).alias("tile")).agg(F.count("*").alias("n")).where(F.col("n") > limits[0])
+        many = checkpointed(many)
+        full, deepest = many if full is None else full.unionByName(many), zooms[-1]
+        if many.where(F.col("z") == deepest).isEmpty():
+            break
+    leaves = vertices.select(*[c.alias(k) for c, k in zip(place(F.lit(deepest)), "xy", strict=True)]).distinct().withColumn("leaf", F.xxhash64(F.lit(deepest), "x", "y"))
+    above = leaves.select("leaf", "x", "y", F.explode(F.sequence(F.lit(0), F.lit(deepest))).alias("z"))
+    above = above.select("leaf", F.expr(f"xxhash64(z, shiftright(x, {deepest} - z), shiftright(y, {deepest} - z))").alias("tile"))
     deep = [F.max(F.when(F.col("n") > most, F.col("z"))).alias(f"z{i}") for i, most in enumerate(limits[:-1])]
-    deep = rows.join(full, "tile").groupBy("vertex").agg(*deep)
+    deep = above.join(full, "tile").groupBy("leaf").agg(*deep)
     zoom = lambda i: F.least(F.coalesce(F.col(f"z{i}") + 1, F.lit(0)), F.lit(ZOOMS - 1))
     ids = [F.xxhash64(F.lit(i), tile(zoom(i))) for i in range(len(limits) - 1)]
-    return vertices.select("vertex", "lon", "lat").join(deep, "vertex", "left").select("vertex", F.array(*ids, F.lit(0).cast("long")).alias("cells"))
+    return vertices.select("vertex", "lon", "lat", tile(F.lit(deepest)).alias("leaf")).join(deep, "leaf", "left").select("vertex", F.array(*ids, F.lit(0).cast("long")).alias("cells"))
 
 
 @dataclass(frozen=True)
@@ -197,18 +212,23 @@ def _climb(key: tuple[pa.Scalar, ...], labels: pa.Table, graph: pa.Table) -> pa.
     return _table(out, LABEL)
 
 
+def _bucketed(rows: DataFrame) -> DataFrame:
+    """rows (od_id, cell and others) with bucket: about BUCKET pairs of a cell, however many other cells the batch is spread over."""
+    size = rows.groupBy("cell").agg(F.ceil(F.count_distinct("od_id") / BUCKET).alias("buckets"))
+    return rows.join(size, "cell").withColumn("bucket", F.pmod(F.xxhash64("od_id"), F.col("buckets"))).drop("buckets")
+
+
 def search(sources: DataFrame, targets: DataFrame, overlay: Overlay) -> DataFrame:
     """od_id, level, cost, via, back: each pair's best meeting. sources: od_id, node, cost; targets: od_id, node, extra, what it costs from there on. via: the
     vertices by which the source's cells are left, from the source on; back: the same of the target."""
     importable(sources.sparkSession)
-    n = max(1, -(-sources.select("od_id").distinct().count() // BUCKET))
     side = lambda df, cost, forward: df.where(F.col(cost) < INF).select("od_id", F.lit(forward).alias("forward"), F.lit(1).alias("level"), "node", F.col(cost).cast("double").alias("cost"), F.array("node").alias("via"))
     labels = side(sources, "cost", True).unionByName(side(targets, "extra", False))
     cells = overlay.cells.withColumnRenamed("vertex", "node")
     labels = checkpointed(labels.join(cells, "node").withColumn("cell", F.get("cells", F.lit(0))).drop("cells"))
     found = None
     for level in range(1, overlay.levels + 1):
-        rows = labels.withColumn("bucket", F.pmod(F.xxhash64("od_id"), F.lit(n)))
+        rows = checkpointed(_bucketed(labels))
         todo = rows.select("cell", "bucket").distinct()
         graph = overlay.graph.where(F.col("level") == level).join(todo, "cell").select(F.col("cell").alias("g_cell"), F.col("bucket").alias("g_bucket"), F.col("level").alias("g_level"), "src", "dst", "w", "inner", "entry", "exit")
         climbed = checkpointed(rows.groupBy("cell", "bucket", "level").cogroup(graph.groupBy("g_cell", "g_bucket", "g_level")).applyInArrow(_climb, LABEL))
@@ -217,7 +237,7 @@ def search(sources: DataFrame, targets: DataFrame, overlay: Overlay) -> DataFram
         met = met.select("od_id", "level", "cost", F.slice("via", F.lit(1), cut - 1).alias("via"), F.slice("via", cut + 1, F.size("via")).alias("back"))
         found = met if found is None else found.unionByName(met)
         up = climbed.where("forward is not null").drop("cell").join(cells, "node")
-        labels = up.withColumn("cell", F.get("cells", F.lit(level))).drop("cells")
+        labels = checkpointed(up.withColumn("cell", F.get("cells", F.lit(level))).drop("cells"))
     return checkpointed(found.groupBy("od_id").agg(F.min(F.struct("cost", "level", "via", "back")).alias("b")).select("od_id", "b.*"))
 
 
@@ -241,7 +261,6 @@ def _unpack(key: tuple[pa.Scalar, ...], steps: pa.Table, graph: pa.Table) -> pa.
 
 def paths(found: DataFrame, overlay: Overlay) -> DataFrame:
     """od_id and nodes: the vertices of each meeting's path, in order."""
-    n = max(1, -(-found.count() // BUCKET))
     far = F.size("via") + F.size("back")
     stops = F.concat("via", F.reverse("back"))
     legs = F.transform(F.sequence(F.lit(0), far - 2), lambda i: F.struct(F.array(i).alias("place"), F.least(i + 1, far - 1 - i, F.col("level")).cast("int").alias("level"), F.get(stops, i).alias("src"), F.get(stops, i + 1).alias("dst")))
@@ -250,7 +269,7 @@ def paths(found: DataFrame, overlay: Overlay) -> DataFrame:
     steps = checkpointed(legs.join(cells, "src").withColumn("cell", F.get("cells", F.col("level") - 1)).select("od_id", "place", "level", "cell", "src", "dst"))
     done = None
     for level in range(overlay.levels, 0, -1):
-        rows = steps.where(F.col("level") == level).withColumn("bucket", F.pmod(F.xxhash64("od_id"), F.lit(n)))
+        rows = _bucketed(steps.where(F.col("level") == level))
         todo = rows.select("cell", "bucket").distinct()
         graph = overlay.graph.where(F.col("level") == level).join(todo, "cell").select(F.col("cell").alias("g_cell"), F.col("bucket").alias("g_bucket"), F.col("level").alias("g_level"), "src", "dst", "w", "inner", "entry", "exit")
         got = checkpointed(rows.groupBy("cell", "bucket", "level").cogroup(graph.groupBy("g_cell", "g_bucket", "g_level")).applyInArrow(_unpack, STEP))
@@ -262,9 +281,19 @@ def paths(found: DataFrame, overlay: Overlay) -> DataFrame:
 
 
 def overlay_routes(pairs: DataFrame, overlay: Overlay) -> DataFrame:
-    """Least cost from vertex src to vertex dst of many pairs (od_id, src, dst): od_id, cost (null if unreachable), edges and nodes of the path."""
-    found = search(pairs.select("od_id", F.col("src").alias("node"), F.lit(0.0).alias("cost")), pairs.select("od_id", F.col("dst").alias("node"), F.lit(0.0).alias("extra")), overlay)
+    """Least cost from vertex src to vertex dst of many pairs (od_id, src, dst): od_id, cost (null if unreachable), edges and nodes of the path. Pairs of the
+    same ends are searched once."""
+    alike = checkpointed(pairs.groupBy("src", "dst").agg(F.min("od_id").alias("first")))
+    ends = alike.select(F.col("first").alias("od_id"), "src", "dst")
+    found = search(ends.select("od_id", F.col("src").alias("node"), F.lit(0.0).alias("cost")), ends.select("od_id", F.col("dst").alias("node"), F.lit(0.0).alias("extra")), overlay)
     done = found.join(paths(found, overlay), "od_id").select("od_id", "cost", (F.size("nodes") - 1).alias("edges"), "nodes")
-    none = pairs.where("src = dst").select("od_id", F.lit(0.0).alias("cost"), F.lit(0).alias("edges"), F.array("src").alias("nodes"))
+    none = ends.where("src = dst").select("od_id", F.lit(0.0).alias("cost"), F.lit(0).alias("edges"), F.array("src").alias("nodes"))
     done = done.unionByName(none.join(done.select("od_id"), "od_id", "left_anti"))
-    return pairs.select("od_id").join(done, "od_id", "left")
+    return members(pairs, alike, ["src", "dst"]).join(done.withColumnRenamed("od_id", "first"), "first", "left").drop("first")
+
+
+def members(pairs: DataFrame, alike: DataFrame, ends: list[str]) -> DataFrame:
+    """od_id of all pairs, and first, the pair of the same ends (null ones too) that stands for them in alike."""
+    p, a = pairs.alias("p"), alike.alias("a")
+    same = [F.col(f"p.{c}").eqNullSafe(F.col(f"a.{c}")) for c in ends]
+    return p.join(a, same).select("p.od_id", "a.first")

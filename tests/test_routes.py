@@ -67,3 +67,45 @@ def test_snap_far_away(spark):
     got = {r["od_id"]: (r["segment_id"], r["distance_m"]) for r in S.snap(points, segments).collect()}
     assert set(got) == {1, 2} and got[1][0] == 10 and got[2][0] == 11 and got[1][1] == pytest.approx(111.2, rel=0.01) and got[2][1] > 200_000
     assert S.snap(points, segments.limit(0)).count() == 0
+
+
+def test_pairs_of_the_same_ends(spark, monkeypatch):
+    """Pairs of the same ends are searched once, and a cell is read once for BUCKET of its pairs, not once for each bucket of the whole batch."""
+    vertices = [(i, i % 40 * 0.01, i // 40 * 0.01) for i in range(400)]
+    edges = [(i, j, 1.0) for i in range(400) for j in (i - 40, i + 40, i - 1 if i % 40 else -1, i + 1 if i % 40 < 39 else -1) if 0 <= j < 400]
+    pairs = [(i, 7 * i % 400, (7 * i + 1) % 400) for i in range(200)]
+    v = spark.createDataFrame(vertices, "vertex long, lon double, lat double")
+    e = spark.createDataFrame(edges, "src long, dst long, w_distance double")
+    od = spark.createDataFrame(pairs + [(1000 + i, a, b) for i, a, b in pairs] + [(5000, None, 3)], "od_id long, src long, dst long")
+    monkeypatch.setattr(O, "BUCKET", 8)
+    seen = []
+    real = O._bucketed
+    monkeypatch.setattr(O, "_bucketed", lambda rows: seen.append(real(rows)) or seen[-1])
+    got = {r["od_id"]: r["cost"] for r in P.route_batch(od, e, cells=O.nested_cells(v, 16, 4)).collect()}
+    steps = {(min(a, b), max(a, b)) for a, b, _ in edges}
+    assert len(got) == 401 and got[5000] is None
+    assert all(got[i] == got[1000 + i] for i in range(200)) and all(got[i] == 1 for i, a, b in pairs if (min(a, b), max(a, b)) in steps)
+    first = seen[0]
+    assert first.select("od_id").distinct().count() == 201  # with the end of the pair without a start
+    assert first.select("cell", "bucket").distinct().count() < 2 * first.select("cell").distinct().count()
+
+
+def test_nested_cells_of_crowds(spark):
+    """Cells are the largest tiles that hold no more vertices than allowed, beside a crowd of much finer ones; few places without coordinates stay."""
+    import math
+
+    rows = [(i, i % 30 * 0.5, i // 30 * 0.5) for i in range(900)] + [(1000 + i, 5.1 + i % 30 * 1e-6, 5.1 + i // 30 * 1e-6) for i in range(600)] + [(5000, None, None)]
+    cells = {r["vertex"]: r["cells"] for r in O.nested_cells(spark.createDataFrame(rows, "vertex long, lon double, lat double"), 20, 8).collect()}
+    assert len(cells) == len(rows)
+    count = {}
+    at = lambda x, y, z: (z, math.floor((x + 180) / 360 * 2.0**z), math.floor((y + 90) / 180 * 2.0**z))
+    for _, x, y in rows[:-1]:
+        for z in range(O.ZOOMS):
+            count[at(x, y, z)] = count.get(at(x, y, z), 0) + 1
+    for i, most in enumerate((20, 160, 1280)):
+        want, have = {}, {}
+        for v, x, y in rows[:-1]:
+            z = next((z for z in range(O.ZOOMS) if count[at(x, y, z)] <= most), O.ZOOMS - 1)
+            want.setdefault(at(x, y, z), set()).add(v)
+            have.setdefault(cells[v][i], set()).add(v)
+        assert sorted(map(sorted, want.values())) == sorted(map(sorted, have.values()))
