@@ -184,7 +184,11 @@ def snapped(points: DataFrame, edges: DataFrame, vertices: DataFrame, profile: s
 
 def route_points(pairs: DataFrame, edges: DataFrame, vertices: DataFrame, profile: str = "distance", cells: DataFrame | None = None) -> DataFrame:
     """Routes between places (P6): both ends are snapped to their nearest segments, and parts of these are passed at their share of the cost.
-    pairs: od_id, lon_a, lat_a, lon_b, lat_b. Out: od_id, cost and distance_m (null if unreachable), path (array of lon and lat)."""
+    pairs: od_id, lon_a, lat_a, lon_b, lat_b. Out: od_id, cost and distance_m (null if unreachable), path (array of lon and lat). Pairs of the same
+    places are routed once."""
+    places = ["lon_a", "lat_a", "lon_b", "lat_b"]
+    alike = checkpointed(pairs.groupBy(*places).agg(F.min("od_id").alias("first")))
+    every, pairs = pairs, alike.select(F.col("first").alias("od_id"), *places)
     at = {x: checkpointed(snapped(pairs.select("od_id", F.col(f"lon_{x}").alias("lon"), F.col(f"lat_{x}").alias("lat")), edges, vertices, profile)) for x in "ab"}
     one, two = at["a"], at["b"]
     two_rows = lambda df, x, y, name: df.select("od_id", F.inline(F.array(F.struct(F.col("a").alias("node"), x.alias(name)), F.struct(F.col("b").alias("node"), y.alias(name)))))
@@ -209,7 +213,8 @@ def route_points(pairs: DataFrame, edges: DataFrame, vertices: DataFrame, profil
     direct = (F.coalesce("straight", F.lit(INF)) < INF) & (F.col("straight") <= F.coalesce("cost", F.lit(INF)))
     path = F.when(direct, F.array("first", "last")).when(F.col("cost").isNotNull(), _without_repeats(F.concat(F.array("first"), "steps", F.array("last"))))
     whole = whole.select("od_id", F.when(direct, F.col("straight")).otherwise(F.col("cost")).alias("cost"), path.alias("path"))
-    return pairs.select("od_id").join(whole, "od_id", "left").select("od_id", "cost", path_m("path").alias("distance_m"), "path")
+    whole = whole.select(F.col("od_id").alias("first"), "cost", path_m("path").alias("distance_m"), "path")
+    return overlay.members(every, alike, places).join(whole, "first", "left").select("od_id", "cost", "distance_m", "path")
 
 
 def _without_repeats(path: Column) -> Column:
