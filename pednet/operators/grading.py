@@ -11,6 +11,8 @@ from pednet.policies.profiles import PROFILES, Factor, Profile
 
 CATEGORICAL = ("surface", "smoothness", "wheelchair", "highway", "crossing", "lit", "access", "foot")
 SEQUENCES = ("associated_kerbs", "associated_tactile_paving")
+#: Raw columns that prepare_features reads.
+READ = ("edge_kind", "width", "incline", "incline:across", "incline_across", "slope_percent", "slope_source", "slope_confidence", *CATEGORICAL, *SEQUENCES, "associated_transition_states")
 STATES = "array<struct<kerb:string,tactile_paving:string,kerb_surface:string,sidewalk_surface:string>>"
 
 
@@ -162,17 +164,26 @@ def compact_grades(df: DataFrame, policies=PROFILES) -> DataFrame:
     return df.withColumns(out).drop(*gone)
 
 
+def alike(df: DataFrame, policies=PROFILES) -> DataFrame:
+    """Raw tags that grades depend on, each set of them once, and how many features have it (n_alike). Grades of far fewer rows make the same audit."""
+    rules = {c.field for p in policies for c in (*p.factors.values(), *p.barriers, *p.caps)}
+    return df.groupBy(*[c for c in df.columns if c in rules or c in READ]).agg(F.count("*").alias("n_alike"))
+
+
 def profile_audit(df: DataFrame, policies=PROFILES, top: int = 10) -> DataFrame:
-    """Per profile: least, greatest and mean of the worse direction, grades in six bands, the commonest limits."""
+    """Per profile: least, greatest and mean of the worse direction, grades in six bands, the commonest limits (A18). A row counts n_alike times if
+    there is such a column (alike)."""
     from pyspark.sql import Window
 
     parts = [F.struct(F.lit(p.name).alias("profile"), F.least(f"{p.name}_grade_fwd", f"{p.name}_grade_bwd").alias("worst"), F.col(f"{p.name}_limit").alias("limit")) for p in policies if p.mode != "distance"]
-    rows = df.select(F.inline(F.array(*parts)))
+    times = F.col("n_alike") if "n_alike" in df.columns else F.lit(1).cast("long")
+    rows = df.select(times.alias("n"), F.inline(F.array(*parts))).groupBy("profile", "worst", "limit").agg(F.sum("n").alias("n"))
     # The bands' limits.
     edges = (0, 1, 20, 40, 60, 80, 101)
-    bands = [F.count_if((F.col("worst") >= a) & (F.col("worst") < b)).alias(f"band_{a}") for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    sums = rows.groupBy("profile").agg(F.count("*").alias("n"), F.min("worst").alias("least"), F.max("worst").alias("greatest"), F.bround(F.avg("worst"), 2).alias("mean"), *bands)
-    limits = rows.where("limit is not null").groupBy("profile", "limit").agg(F.count("*").alias("c"))
+    bands = [F.sum(F.when((F.col("worst") >= a) & (F.col("worst") < b), F.col("n")).otherwise(0)).alias(f"band_{a}") for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    mean = F.sum(F.col("worst") * F.col("n")) / F.nullif(F.sum(F.when(F.col("worst").isNotNull(), F.col("n"))), F.lit(0))
+    sums = rows.groupBy("profile").agg(F.sum("n").alias("n"), F.min("worst").alias("least"), F.max("worst").alias("greatest"), F.bround(mean, 2).alias("mean"), *bands)
+    limits = rows.where("limit is not null").groupBy("profile", "limit").agg(F.sum("n").alias("c"))
     limits = limits.withColumn("r", F.row_number().over(Window.partitionBy("profile").orderBy(F.desc("c"), "limit"))).where(F.col("r") <= top)
     limits = limits.groupBy("profile").agg(F.array_sort(F.collect_list(F.struct("r", "limit", "c"))).alias("limits"))
     return sums.join(limits, "profile", "left")

@@ -505,5 +505,5 @@ SELECT w.profile, count(*) AS n, min(worst)::INT AS least, max(worst)::INT AS gr
 @query("profile_grades", _profile_sql())
 def profile_grades(spark, d):
     """profile_audit with its limits as text."""
-    out = G.profile_audit(G.compact_grades(G.grade_features(G.prepare_features(ways(spark, d)))))
+    out = G.profile_audit(G.compact_grades(G.grade_features(G.prepare_features(G.alike(ways(spark, d))))))
     return out.withColumn("limits", F.array_join(F.transform("limits", lambda x: F.concat_ws(":", x["limit"], x["c"])), ","))

@@ -101,3 +101,12 @@ def test_slope_and_geometry(spark):
     assert c.select(geo.haversine_m(F.lit(0.0), F.lit(0.0), F.lit(0.001), F.lit(0.0))).first()[0] == pytest.approx(111.195, abs=0.01)
     clip = spark.range(1).select(geo.clip(F.lit(-1.0), F.lit(0.5), F.lit(2.0), F.lit(0.5), F.lit(0.0), F.lit(0.0), F.lit(1.0), F.lit(1.0)).alias("c")).first()["c"]
     assert (clip["lon1"], clip["lon2"]) == (pytest.approx(0), pytest.approx(1))
+
+
+def test_audit_of_features_alike(spark, monkeypatch):
+    rows = [tuple(t.get(n) for n in NAMES) for t in 5 * [{"edge_kind": "sidewalk", "surface": "sand"}] + 3 * [{"edge_kind": "crossing", "incline": "12%"}] + [{"edge_kind": "stairs"}]]
+    df = spark.createDataFrame(rows, FIELDS).withColumn("id", F.monotonically_increasing_id())
+    once = grading.alike(df)
+    assert sorted(r["n_alike"] for r in once.collect()) == [1, 3, 5]  # grades are computed for three rows, not nine
+    audit = lambda rows: sorted(grading.profile_audit(grading.compact_grades(grading.grade_features(grading.prepare_features(rows)))).collect())
+    assert audit(once) == audit(df)
