@@ -372,7 +372,7 @@ def routes_between_places(spark, d):
 
 @query("profile_audit")
 def profile_audit(spark, d):
-    return G.profile_audit(G.compact_grades(G.grade_features(G.prepare_features(ways(spark, d)))))
+    return G.profile_audit(G.compact_grades(G.grade_features(G.prepare_features(G.alike(ways(spark, d))))))
 
 
 @query("edge_weights")
