@@ -55,9 +55,14 @@ def compress(ids: np.ndarray, ends: np.ndarray) -> dict:
         wide = np.uint32 if t + len(left) <= 1 << 16 else np.uint64  # of a pair
         half = wide(4 * wide().itemsize)
         at, key = at[maybe], (a[maybe].astype(wide) << half) | b[maybe].astype(wide)
-        order = np.argsort(key)
-        new = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])) if len(key) else np.zeros(0, np.int64)
-        pair, n = key[order[new]], np.diff(np.append(new, len(key)))
+        if wide is np.uint32 and len(key) < 1 << 32:  # pairs and their places sorted as one number
+            order = np.sort((key.astype(np.uint64) << np.uint64(32)) | np.arange(len(key), dtype=np.uint64))
+            by, order = (order >> np.uint64(32)).astype(np.uint32), (order & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        else:
+            order = np.argsort(key)
+            by = key[order]
+        new = np.flatnonzero(np.concatenate([[True], by[1:] != by[:-1]])) if len(key) else np.zeros(0, np.int64)
+        pair, n = by[new], np.diff(np.append(new, len(key)))
         if not (n >= LEAST_COUNT).any():
             break
         which = np.empty(len(key), np.int64)

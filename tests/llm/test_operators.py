@@ -7,6 +7,7 @@ from collections import Counter
 from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -177,6 +178,17 @@ def test_words_in_groups(name):
         assert e.each(pieces) == alone and e.t.n < most
 
 
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_pieces_at_symbols_and_lines(name):
+    """Words before symbols and after lines' ends are pieces of their own, with the ids of the whole text."""
+    e = tokens.Encoder(tokens.tokenizer_path(name))
+    texts = ["a\nThe\n\nÉt the*** x&&& ý\n Q", "d#$%&*e \nß\n\r\nA\nB", "it's 5\n'll go\n", "a**b &amp; c%d\n\n\nzé$$$ \tq\nÀ×À÷\nñ", "", "\n", "x\u0301y n\u0301\nn", "* a ##b# #\n#c", "\n\na"]
+    ids, n = e.encode(*common.utf8(pa.array(texts)))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [x.ids for x in e.t.encode_batch(texts, add_special_tokens=False)]
+    data, off = common.utf8(pa.array(["a word*** and.\nmore"]))
+    assert e.cuts(data, off)[0].tolist() == [0, 1, 6, 9, 13, 15]
+
+
 def test_mixing(spark, none):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumns({"absent": F.lit(1), "size": F.lit(2)})
     out = mixing.mix(docs).collect()
