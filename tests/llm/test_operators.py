@@ -189,6 +189,18 @@ def test_pieces_at_symbols_and_lines(name):
     assert e.cuts(data, off)[0].tolist() == [0, 1, 6, 9, 13, 15]
 
 
+def test_batches_of_long_rows(spark):
+    """What a worker gets at once is bounded in bytes too, not in rows only."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.nbytes])], names=["size"])
+
+    common.ready(spark)
+    rows = spark.range(0, 400, 1, 1).select(F.repeat(F.lit("x"), 50_000).alias("text"))
+    got = [r["size"] for r in rows.mapInArrow(sizes, "size long").collect()]
+    assert sum(got) >= 400 * 50_000 and max(got) < 5_000_000
+
+
 def test_mixing(spark, none):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet").withColumns({"absent": F.lit(1), "size": F.lit(2)})
     out = mixing.mix(docs).collect()
