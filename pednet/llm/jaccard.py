@@ -2,7 +2,8 @@
 
 A document's set is that of its distinct word shingles, hashed to 64 bits. Two sets link when 100 |A and B| >= PERCENT |A or B|, so they
 differ in at most (|A| + |B|) (100 - PERCENT) / (100 + PERCENT) elements. Each set is cut by hash range into m parts (m by its size, a
-power of two above that number); a part's hash is a compound token. Sets that link agree in all parts but as many as they differ in.
+power of two of at least twice that number); a part's hash is a compound token. Sets that link agree in all parts but as many as they differ
+in, so a set needs about half its tokens in a group, and a few that many sets have open none.
 
 1. Equal sets are one class. A class of whose tokens fewer than needed occur in any other class links with nothing and is left out.
 2. The others are partitioned into groups of similar classes: by the token of theirs that most classes have, large ones split by hash into
@@ -14,6 +15,7 @@ power of two above that number); a part's hash is a compound token. Sets that li
 5. Then the rest, but for what is connected by then: pairs of blocks of a group that is in several components, and blocks of opened groups
    with their visitors. In each such unit token counts choose the pairs to verify exactly; pairs already connected within it are skipped,
    so a unit gives fewer links than it has classes. Union-find over all links gives components.
+   Units are put together in as many slices, one after another, as their sets are larger than all sets once: disk goes with the input.
 
 Edge cases: null or blank text has no set and links with nothing; sets of one to eight shingles link with equal sets only (at 90 %); rows that
 share a doc_id are one document, so all their sets are in one component; a null doc_id gets a null component unless equal texts have an id;
@@ -36,8 +38,6 @@ BLOCK = 128
 GROUP = 1024
 #: Of a group, the sets that every block of it is compared with first.
 PIVOTS = 2
-#: Parts in which units of sets are put together and compared, one after another.
-SLICES = 4
 
 
 def most_apart(sizes, percent: int = PERCENT):
@@ -46,8 +46,8 @@ def most_apart(sizes, percent: int = PERCENT):
 
 
 def largest(level: int, percent: int = PERCENT) -> int:
-    """The largest set that 2 ** level parts serve: two of them share two parts at least."""
-    return ((1 << level) - 2) * (100 + percent) // (2 * (100 - percent))
+    """The largest set that 2 ** level parts serve: two of them share half the parts at least."""
+    return (1 << level - 1) * (100 + percent) // (2 * (100 - percent))
 
 
 def levels_of(n: int, percent: int = PERCENT) -> list[int]:
@@ -62,7 +62,7 @@ def levels_of(n: int, percent: int = PERCENT) -> list[int]:
 
 
 def parts(u: np.ndarray, level: int, percent: int = PERCENT) -> tuple[np.ndarray, int]:
-    """The compound tokens of a sorted set (0: an empty part), and how many non-empty ones a partner must share."""
+    """The compound tokens of a sorted set (0: an empty part), and how many non-empty ones a partner at this level must share."""
     m = 1 << level
     edge = np.searchsorted(u >> np.uint64(64 - level), np.arange(m + 1, dtype=np.uint64))
     with np.errstate(over="ignore"):
@@ -70,7 +70,8 @@ def parts(u: np.ndarray, level: int, percent: int = PERCENT) -> tuple[np.ndarray
         sig = common.mix(run[edge[1:]] - run[edge[:-1]] + np.arange(m, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(level)) | np.uint64(1)
     empty = edge[1:] == edge[:-1]
     sig[empty] = 0
-    return sig, m - int(most_apart(len(u) + len(u) * 100 // percent, percent)) - int(empty.sum())
+    partner = min(len(u) * 100 // percent, largest(level, percent))
+    return sig, m - int(most_apart(len(u) + partner, percent)) - int(empty.sum())
 
 
 def tokens_of(sig: np.ndarray, need: int, level: int) -> np.ndarray:
@@ -145,7 +146,7 @@ def shared_tokens(docs: DataFrame, bits: int, shingle: int, percent: int) -> Dat
 
 
 def full_sets(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """id, level and the set itself."""
+    """id, level, and the set itself with its bytes."""
 
     def build(batches):
         for batch in batches:
@@ -156,9 +157,10 @@ def full_sets(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
                         rows.append((ids[i], level))
                         us.append(u.tobytes())
                 cols = list(zip(*rows, strict=True)) if rows else [[], []]
-                yield pa.record_batch([pa.array(list(cols[0]), pa.int64()), pa.array(list(cols[1]), pa.int32()), pa.array(us, pa.binary())], names=["id", "level", "u"])
+                size = pa.array([len(u) for u in us], pa.int64())
+                yield pa.record_batch([pa.array(list(cols[0]), pa.int64()), pa.array(list(cols[1]), pa.int32()), size, pa.array(us, pa.binary())], names=["id", "level", "bytes", "u"])
 
-    return docs.mapInArrow(build, "id long, level int, u binary")
+    return docs.mapInArrow(build, "id long, level int, bytes long, u binary")
 
 
 def open_units(units: DataFrame, percent: int) -> DataFrame:
@@ -226,6 +228,7 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     qualify = common.written(qualify, "qualify")
     common.drop(mine)
     sets = common.written(full_sets(common.restrict(rows, active.select("id").distinct(), "id"), shingle, percent), "full")
+    once = sets.agg(F.sum("bytes")).first()[0] or 1
     tables: list[DataFrame] = []
     upto = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
     unit = lambda *of: F.xxhash64(*of).alias("unit")
@@ -239,10 +242,12 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         return at.unionByName(come.select(unit("g", "block", "v", F.lit(name)), *as_guest))
 
     def links_in(units: DataFrame) -> DataFrame:
-        """The links of units, a slice of them after another, so that the sets of one slice are on disk at once."""
+        """The links of units, a slice of them after another: the sets of one slice, about as many bytes as all sets have once, are on disk at once."""
         units, links = common.written(units, "units"), None
-        for i in range(SLICES):
-            part = units.where(F.pmod(F.xxhash64("unit", F.lit("slice")), F.lit(SLICES)) == i)
+        placed = units.groupBy("id", "level").agg(F.count("*").alias("times")).join(sets.select("id", "level", "bytes"), ["id", "level"])
+        slices = max(1, -(-(placed.agg(F.sum(F.col("times") * F.col("bytes"))).first()[0] or 0) // once))
+        for i in range(slices):
+            part = units.where(F.pmod(F.xxhash64("unit", F.lit("slice")), F.lit(slices)) == i)
             part = part.join(sets, ["id", "level"]).select("unit", "own", "role", "id", "level", "u")
             found = common.written(open_units(part.repartition("unit").sortWithinPartitions("unit", "role", "id"), percent), "links")
             links = found if links is None else links.unionByName(found)
