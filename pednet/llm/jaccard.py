@@ -2,14 +2,15 @@
 
 A document's set is that of its distinct word shingles, hashed to 64 bits. Two sets link when 100 |A and B| >= PERCENT |A or B|, so they
 differ in at most (|A| + |B|) (100 - PERCENT) / (100 + PERCENT) elements. Each set is cut by hash range into m parts (m by its size, a
-power of two of at least twice that number); a part's hash is a compound token. Sets that link agree in all parts but as many as they differ
-in, so a set needs about half its tokens in a group, and a few that many sets have open none.
+power of two above that number, below 90 % of at least twice that number); a part's hash is a compound token. Sets that link agree in all parts
+but as many as they differ in: with twice as many parts, a set needs about half its tokens in a group, and a few that many sets have open none.
 
 1. Equal sets are one class. A class of whose tokens fewer than needed occur in any other class links with nothing and is left out.
 2. The others are partitioned into groups of similar classes: by the token of theirs that most classes have, large ones split by hash into
    about GROUP classes, and these into blocks of about BLOCK.
 3. The token-group matrix holds each group's union of tokens. The tokens a query shares with that union bound those it shares with any
-   member, so only groups with as many as needed are opened; others can't hold a link.
+   member, so only groups with as many as needed are opened; others can't hold a link. Pivots enter first; the others (5) without the tokens
+   that only classes of their own component have in a group, so near copies that are connected by then don't meet token by token.
 4. First each block is verified with a few pivots of its group, and the pivots with those of the groups that they may have links in.
    Distributed union-find joins these links.
 5. Then the rest, but for what is connected by then: pairs of blocks of a group that is in several components, and blocks of opened groups
@@ -46,8 +47,9 @@ def most_apart(sizes, percent: int = PERCENT):
 
 
 def largest(level: int, percent: int = PERCENT) -> int:
-    """The largest set that 2 ** level parts serve: two of them share half the parts at least."""
-    return (1 << level - 1) * (100 + percent) // (2 * (100 - percent))
+    """The largest set that 2 ** level parts serve: two of them share two parts at least; below 90 %, where a part is so small that many sets have it
+    by chance, half of the parts."""
+    return ((1 << level - 1) if percent < 90 else (1 << level) - 2) * (100 + percent) // (2 * (100 - percent))
 
 
 def levels_of(n: int, percent: int = PERCENT) -> list[int]:
@@ -220,13 +222,17 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     grouped = active.join(split, ["level", "t"]).select("owner", "id", "level", "need", group.alias("g"), "blocks", F.pmod(F.xxhash64("id", F.lit(1)), F.col("blocks")).cast("int").alias("b"))
     place = F.row_number().over(Window.partitionBy("g").orderBy(F.xxhash64("id", F.lit(2)), "id"))
     grouped = common.written(grouped.withColumn("pivot", place <= PIVOTS), "groups")
-    # 3: the matrix, and the groups that each class may have links in
-    mine = common.written(met.select("owner", "t").join(grouped, "owner").select("t", "id", "level", "need", "g"), "tokens")
+    # 3: the matrix, and the groups that pivots may have links in
+    mine = common.written(met.select("owner", "t").join(grouped, "owner").select("t", "id", "level", "need", "g", "pivot"), "tokens")
     common.drop(met)
-    matrix = mine.select("t", "g").distinct().withColumnRenamed("g", "to")
-    qualify = mine.join(matrix, "t").where("`to` > g").groupBy("id", "level", "need", "to").agg(F.count("*").alias("c")).where("c >= need").select("id", "level", F.col("to").alias("g"))
-    qualify = common.written(qualify, "qualify")
-    common.drop(mine)
+    matrix = mine.select("t", "g").distinct().select("t", F.col("g").alias("to"))
+
+    def opened(rows: DataFrame, matrix: DataFrame, where: str = "true") -> DataFrame:
+        """id, level and the groups that have as many of its tokens as it needs."""
+        shared = rows.join(matrix, (rows["t"] == matrix["t"]) & F.expr(f"`to` > g and ({where})"))
+        return shared.groupBy("id", "level", "need", "to").agg(F.count("*").alias("c")).where("c >= need").select("id", "level", F.col("to").alias("g"))
+
+    qualify = common.written(opened(mine.where("pivot"), matrix), "qualify")
     sets = common.written(full_sets(common.restrict(rows, active.select("id").distinct(), "id"), shingle, percent), "full")
     once = sets.agg(F.sum("bytes")).first()[0] or 1
     tables: list[DataFrame] = []
@@ -260,24 +266,29 @@ def join(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     pivots = grouped.where("pivot")
     units = grouped.select(unit("g", "b", F.lit("block")), *alike)
     units = units.unionByName(pivots.select("*", upto("blocks").alias("to")).where("b <> to").select(unit("g", "to", F.lit("block")), *alike))
-    come = qualify.join(pivots.select("id", "level"), ["id", "level"]).withColumn("blocks", F.lit(1))
+    come = qualify.withColumn("blocks", F.lit(1))
     links = links_in(units.unionByName(visiting(come, pivots.select("id", "level", "g", F.lit(0).alias("block")), "pivots")))
     found = common.components(links)
     roots = found.withColumnRenamed("id", "r")
     rooted = common.written(grouped.join(roots, grouped["id"] == F.col("r"), "left").select("id", "level", "g", "blocks", "b", F.coalesce("root", "id").alias("root")), "rooted")
     common.drop(grouped, found)
-    # 5: what isn't connected by then: pairs of blocks of a group of several components, and visitors of a group not all of their own
+    # 5: what isn't connected by then: pairs of blocks of a group of several components, and visitors of a group in which classes of other
+    # components have the tokens
     mixed = rooted.groupBy("g").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.first("blocks").alias("blocks"))
     apart = rooted.join(mixed.where("lo <> hi and blocks > 1").select("g"), "g", "left_semi").select("*", upto("blocks").alias("to")).where("b <> to")
     apart = apart.select(unit("g", F.least("b", "to"), F.greatest("b", "to")), F.lit(False).alias("own"), (F.col("b") > F.col("to")).cast("int").alias("role"), "id", "level")
-    come = qualify.join(rooted.select("id", "level", "root"), ["id", "level"]).join(mixed, "g").where("lo <> hi or root <> lo").select("id", "level", "g", "blocks")
+    of = mine.join(rooted.select("id", "level", "root"), ["id", "level"])
+    others = of.groupBy("t", F.col("g").alias("to")).agg(F.min("root").alias("lo"), F.max("root").alias("hi"))
+    later = common.written(opened(of, others, "lo <> hi or root <> lo"), "qualify")
+    common.drop(mine)
+    come = later.join(mixed.select("g", "blocks"), "g").select("id", "level", "g", "blocks")
     more = links_in(apart.unionByName(visiting(come, rooted.select("id", "level", "g", F.col("b").alias("block")), "blocks")))
     # 6; rows that share a doc_id link their classes
     first = members.where("n > 0").groupBy("k").agg(F.min("id").alias("c"))
     several = members.where("n > 0 and id is not null").groupBy("id").agg(F.min("k").alias("lo"), F.max("k").alias("hi")).where("lo <> hi").select("id")
     shared = members.where("n > 0").join(several, "id").join(first, "k").select(F.col("id").alias("a"), F.col("c").alias("b"))
     roots = common.components(links.unionByName(more).unionByName(shared))
-    common.drop(one, active, qualify, sets, rooted, *tables)
+    common.drop(one, active, qualify, later, sets, rooted, *tables)
     first = first.join(roots, first["c"] == roots["id"], "left").select("k", F.coalesce("root", "c").alias("root"))
     out = members.join(first, "k", "left")
     return out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.coalesce("root", "id").alias("component_id"))
